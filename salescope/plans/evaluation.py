@@ -100,27 +100,28 @@ def _(spark, sf):
 
 @query("dual_scale_metrics_raw", pred_sql("""
   , shifted AS (SELECT split, y_true_raw AS t, y_pred_raw - 500 AS p FROM res),
-  both AS (SELECT split, t, p, ln(1 + t) AS tl, ln(1 + greatest(p, 0)) AS pl FROM shifted)
+  scaled AS (SELECT split, t, p, ln(1 + t) AS tl, ln(1 + greatest(p, 0)) AS pl FROM shifted)
   SELECT split, count(*) AS n, round(sqrt(avg((pl - tl) * (pl - tl))), 6) AS rmse_log, round(avg(abs(pl - tl)), 6) AS mae_log,
          round(1 - sum((pl - tl) * (pl - tl)) / (var_pop(tl) * count(*)), 6) AS r2_log,
          round(sqrt(avg((p - t) * (p - t))), 4) AS rmse_raw, round(avg(abs(p - t)), 4) AS mae_raw
-  FROM both GROUP BY split"""))
+  FROM scaled GROUP BY split"""))
 def _(spark, sf):
     raw = predictions(spark, sf).select(
         "split", F.expm1("y_true_log").alias("t"), (F.expm1("y_pred_log") - 500.0).alias("p"))
     return _metrics(V.dual_scale_metrics(raw, ["split"], "t", "p", scale="raw"))
 
 
-_MODEL_METRICS = _METRICS.replace("residual * residual", "(p - y_true_log) * (p - y_true_log)").replace(
-    "abs_residual", "abs(p - y_true_log)").replace("ae_raw", "abs(exp(p) - exp(y_true_log))")
+_STACKED = "residual, abs(residual) AS abs_residual, abs(exp(y_true_log + residual) - exp(y_true_log)) AS ae_raw"
 
 
 @query("union_summaries", pred_sql(f"""
   , models AS (
     SELECT 'cell_mean' AS model, split, y_true_log, y_pred_log AS p FROM res
     UNION ALL SELECT 'train_mean', split, y_true_log,
-      (SELECT avg(log_copies_sold) FROM split WHERE split = 'train') FROM res)
-  SELECT model, split, {_MODEL_METRICS} FROM models WHERE split = 'val' GROUP BY model, split"""))
+      (SELECT avg(log_copies_sold) FROM split WHERE split = 'train') FROM res
+  ), diff AS (SELECT model, split, y_true_log, p - y_true_log AS residual FROM models WHERE split = 'val'
+  ), stacked AS (SELECT model, split, y_true_log, {_STACKED} FROM diff)
+  SELECT model, split, {_METRICS} FROM stacked GROUP BY model, split"""))
 def _(spark, sf):
     df = materialize(predictions(spark, sf), "predictions")
     mean = df.where(F.col("split") == "train").agg(F.avg("y_true_log")).scalar()
@@ -144,7 +145,7 @@ def _(spark, sf):
 
 
 @query("residual_moments", pred_sql("""
-  SELECT split, count(*) AS n, round(avg(residual), 6) AS mean, round(stddev_pop(residual), 6) AS std_population,
+  SELECT split, count(*) AS n, round(avg(residual), 6) + 0.0::DOUBLE AS mean, round(stddev_pop(residual), 6) AS std_population,
          round(stddev_samp(residual), 6) AS std_sample FROM res GROUP BY split"""))
 def _(spark, sf):
     return rounded(V.residual_moments(V.residual_table(predictions(spark, sf), "entity_id"), ["split"]))
