@@ -29,21 +29,32 @@ def boosted_trees(iterations: int = 500, rate: float = 0.05, depth: int = 6, sub
     )
 
 
-def gbt_early_stop(bundle: FeatureBundle, **params):
-    """Boosting that stops on the validation split. Returns (model, curve, best).
-
-    ``curve`` has the train and validation RMSE after each iteration.
+def gbt_early_stop(bundle: FeatureBundle, patience: int = 50, truncate: bool = True, **params):
+    """Boosting with a validation curve. Returns (model, curve, best iteration).
+
+    ``curve`` has the train and validation error after each iteration (RMSE for the
+    squared loss). The best iteration is the lowest validation error seen before
+    ``patience`` iterations pass without a lower one. Spark's own validation stop
+    gives up at the first small gain, so the full path is fitted; ``truncate``
+    refits the first ``best + 1`` iterations, which the seed makes the same trees.
     """
-    fit_rows = bundle.data.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
-    model = boosted_trees(**params).setValidationIndicatorCol("is_val").fit(fit_rows)
-    loss = model.getOrDefault(model.lossType)
-    to_error = (lambda v: v ** 0.5) if loss == "squared" else (lambda v: v)
-    train = [to_error(v) for v in model.evaluateEachIteration(bundle.part("train"), loss)]
-    val = [to_error(v) for v in model.evaluateEachIteration(bundle.part("val"), loss)]
-    best = min(range(len(val)), key=lambda i: val[i])
-    rows = [(i, float(t), float(v), i == best) for i, (t, v) in enumerate(zip(train, val))]
+    train, val = bundle.part("train"), bundle.part("val")
+    estimator = boosted_trees(**params)
+    model = estimator.fit(train)
+    loss = estimator.getLossType()
+    curves = [[v ** 0.5 if loss == "squared" else v for v in model.evaluateEachIteration(part, loss)]
+              for part in (train, val)]
+    best = 0
+    for i, v in enumerate(curves[1]):
+        if v < curves[1][best]:
+            best = i
+        if i - best >= patience:
+            break
+    rows = [(i, float(t), float(v), i == best) for i, (t, v) in enumerate(zip(*curves))]
     curve = bundle.data.sparkSession.createDataFrame(
         rows, "iteration int, train_rmse double, val_rmse double, is_best boolean")
+    if truncate and best + 1 < len(rows):
+        model = estimator.copy({estimator.maxIter: best + 1}).fit(train)
     return model, curve, best
 
 
