@@ -23,13 +23,20 @@ SMALL_GROUP = 100_000      # groups up to this size are ordered whole
 _MARGIN = 4.0 / SKETCH_ACCURACY
 
 
+# Keys made by this library and never null: plain equality keeps an existing
+# partitioning on them usable, where a null-safe comparison would shuffle again.
+_NEVER_NULL = {"__all", "__bucket", "__local", "rep", "variable"}
+
+
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where null matches null; keeps the left keys once."""
     renamed = right.select(
         *[F.col(k).alias(f"__r_{k}") for k in keys],
         *[F.col(c) for c in right.columns if c not in keys],
     )
-    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    cond = reduce(lambda a, b: a & b, [
+        F.col(k) == F.col(f"__r_{k}") if k in _NEVER_NULL else F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys
+    ])
     return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
@@ -50,9 +57,9 @@ def exact_quantiles(
     long = df.select(
         *keys,
         F.explode(F.array(*[
-            F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("v")) for v in values
+            F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("__v")) for v in values
         ])).alias("__e"),
-    ).select(*keys, "__e.variable", "__e.v").where(F.col("v").isNotNull())
+    ).select(*keys, "__e.variable", "__e.__v").where(F.col("__v").isNotNull())
     group = [*keys, "variable"]
     qs = list(quantiles.values())
 
@@ -60,65 +67,65 @@ def exact_quantiles(
     for q in qs:
         probes += [max(0.0, q - _MARGIN), min(1.0, q + _MARGIN)]
     summary = long.groupBy(*group).agg(
-        F.count("*").alias("n"),
-        F.min("v").alias("v_min"),
-        F.max("v").alias("v_max"),
-        F.percentile_approx("v", probes, SKETCH_ACCURACY).alias("probe"),
+        F.count("*").alias("__n"),
+        F.min("__v").alias("__min"),
+        F.max("__v").alias("__max"),
+        F.percentile_approx("__v", probes, SKETCH_ACCURACY).alias("__probe"),
     )
     whole = F.array(F.struct(
-        F.lit(-1).alias("b"), F.col("v_min").alias("lo"), F.col("v_max").alias("hi")
+        F.lit(-1).alias("b"), F.col("__min").alias("lo"), F.col("__max").alias("hi")
     ))
     per_rank = F.array(*[
         F.struct(
             F.lit(i).alias("b"),
-            F.col("v_min").alias("lo") if q <= _MARGIN else F.col("probe")[2 * i].alias("lo"),
-            F.col("v_max").alias("hi") if q >= 1 - _MARGIN else F.col("probe")[2 * i + 1].alias("hi"),
+            F.col("__min").alias("lo") if q <= _MARGIN else F.col("__probe")[2 * i].alias("lo"),
+            F.col("__max").alias("hi") if q >= 1 - _MARGIN else F.col("__probe")[2 * i + 1].alias("hi"),
         )
         for i, q in enumerate(qs)
     ])
     brackets = materialize(
         summary.select(
-            *group, "n",
-            F.when(F.col("n") <= SMALL_GROUP, whole).otherwise(per_rank).alias("brackets"),
+            *group, "__n",
+            F.when(F.col("__n") <= SMALL_GROUP, whole).otherwise(per_rank).alias("__brackets"),
         ),
         "brackets",
     )
 
     hits = (
         null_safe(long, brackets, group)
-        .select(*group, "n", "v", F.explode("brackets").alias("k"))
-        .where(F.col("v") <= F.col("k.hi"))
-        .groupBy(*group, "n", F.col("k.b").alias("b"),
-                 F.when(F.col("v") >= F.col("k.lo"), F.col("v")).alias("v"))
-        .agg(F.count("*").alias("c"))
+        .select(*group, "__n", "__v", F.explode("__brackets").alias("__k"))
+        .where(F.col("__v") <= F.col("__k.hi"))
+        .groupBy(*group, "__n", F.col("__k.b").alias("__b"),
+                 F.when(F.col("__v") >= F.col("__k.lo"), F.col("__v")).alias("__v"))
+        .agg(F.count("*").alias("__c"))
     )
-    upto = Window.partitionBy(*group, "b").orderBy(F.col("v").asc_nulls_first()).rowsBetween(
+    upto = Window.partitionBy(*group, "__b").orderBy(F.col("__v").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    ranked = hits.withColumn("upto", F.sum("c").over(upto))
+    ranked = hits.withColumn("__upto", F.sum("__c").over(upto))
 
     def at_rank(i: int, rank: Column) -> Column:
-        inside = (F.col("b").isin(-1, i)) & (F.col("upto") > rank) & (F.col("upto") - F.col("c") <= rank)
-        return F.max(F.when(inside, F.col("v")))
+        inside = (F.col("__b").isin(-1, i)) & (F.col("__upto") > rank) & (F.col("__upto") - F.col("__c") <= rank)
+        return F.max(F.when(inside, F.col("__v")))
 
     aggs = []
     for i, q in enumerate(qs):
-        pos = F.lit(float(q)) * (F.col("n") - 1)
+        pos = F.lit(float(q)) * (F.col("__n") - 1)
         low = F.floor(pos)
-        aggs += [at_rank(i, low).alias(f"lo{i}"),
-                 at_rank(i, F.least(low + 1, F.col("n") - 1)).alias(f"hi{i}")]
-    found = ranked.groupBy(*group, "n").agg(*aggs)
+        aggs += [at_rank(i, low).alias(f"__lo{i}"),
+                 at_rank(i, F.least(low + 1, F.col("__n") - 1)).alias(f"__hi{i}")]
+    found = ranked.groupBy(*group, "__n").agg(*aggs)
 
     out = []
     for i, (name, q) in enumerate(quantiles.items()):
-        pos = F.lit(float(q)) * (F.col("n") - 1)
-        lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
+        pos = F.lit(float(q)) * (F.col("__n") - 1)
+        lo, hi = F.col(f"__lo{i}"), F.col(f"__hi{i}")
         value = lo + (hi - lo) * (pos - F.floor(pos))
         out.append(
             F.when(lo.isNull() | hi.isNull(), F.raise_error(F.lit("rank outside its bracket")).cast("double"))
             .otherwise(value).alias(name)
         )
-    return found.select(*group, "n", *out)
+    return found.select(*group, F.col("__n").alias("n"), *out)
 
 
 def with_quantiles(
@@ -155,37 +162,37 @@ def hash_cuts(
     Comparing a row's hash with the cut then answers "is this row among the first
     r of its stratum" by a map-side test. The hash is uniform, so counting 65,536
     hash buckets finds the bucket of every cut, and only that bucket is ordered.
-    A rank of 0 gives a null cut.
+    A rank of 0 gives a null cut. No stratum may be called ``n``.
     """
     anchor = list(strata) or ["__all"]
     src = df if strata else df.withColumn("__all", F.lit(0))
-    src = src.select(*anchor, F.col(hash_col).alias("h"), hex_bucket(F.col(hash_col)).alias("bucket"))
-    counts = src.groupBy(*anchor, "bucket").agg(F.count("*").alias("c"))
+    src = src.select(*anchor, F.col(hash_col).alias("__hash"), hex_bucket(F.col(hash_col)).alias("__bucket"))
+    counts = src.groupBy(*anchor, "__bucket").agg(F.count("*").alias("__c"))
     per_stratum = Window.partitionBy(*anchor)
-    upto = per_stratum.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = per_stratum.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = counts.select(
-        *anchor, "bucket", "c",
-        F.sum("c").over(upto).alias("upto"), F.sum("c").over(per_stratum).alias("n"),
+        *anchor, "__bucket", "__c",
+        F.sum("__c").over(upto).alias("__upto"), F.sum("__c").over(per_stratum).alias("n"),
     )
-    before = F.col("upto") - F.col("c")
+    before = F.col("__upto") - F.col("__c")
     picks = materialize(
         placed.select(
-            *anchor, "bucket",
+            *anchor, "__bucket",
             F.explode(F.array(*[
-                F.struct(F.lit(name).alias("cut"), (r - before).alias("local"),
-                         ((r > before) & (r <= F.col("upto"))).alias("here"))
+                F.struct(F.lit(name).alias("__cut"), (r - before).alias("__local"),
+                         ((r > before) & (r <= F.col("__upto"))).alias("here"))
                 for name, r in ranks.items()
-            ])).alias("p"),
-        ).where("p.here").select(*anchor, "bucket", "p.cut", "p.local"),
+            ])).alias("__p"),
+        ).where("__p.here").select(*anchor, "__bucket", "__p.__cut", "__p.__local"),
         "cut-buckets",
     )
-    nearby = null_safe(src, picks.select(*anchor, "bucket").distinct(), [*anchor, "bucket"], "left_semi")
-    order = Window.partitionBy(*anchor, "bucket").orderBy("h")
-    ordered = nearby.withColumn("local", F.row_number().over(order))
-    cuts = null_safe(ordered, picks, [*anchor, "bucket", "local"])
+    nearby = null_safe(src, picks.select(*anchor, "__bucket").distinct(), [*anchor, "__bucket"], "left_semi")
+    order = Window.partitionBy(*anchor, "__bucket").orderBy("__hash")
+    ordered = nearby.withColumn("__local", F.row_number().over(order))
+    cuts = null_safe(ordered, picks, [*anchor, "__bucket", "__local"])
     table = materialize(
         cuts.groupBy(*anchor).agg(*[
-            F.max(F.when(F.col("cut") == name, F.col("h"))).alias(name) for name in ranks
+            F.max(F.when(F.col("__cut") == name, F.col("__hash"))).alias(name) for name in ranks
         ]),
         "cuts",
     )
@@ -202,11 +209,11 @@ def hash_ranks(df: DataFrame, strata: Sequence[str], hash_col: str, out: str) ->
     src = (df if strata else df.withColumn("__all", F.lit(0))).withColumn(
         "__bucket", hex_bucket(F.col(hash_col))
     )
-    counts = src.groupBy(*anchor, "__bucket").agg(F.count("*").alias("c"))
+    counts = src.groupBy(*anchor, "__bucket").agg(F.count("*").alias("__c"))
     earlier = Window.partitionBy(*anchor).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         *anchor, "__bucket",
-        F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("__offset"),
+        F.coalesce(F.sum("__c").over(earlier), F.lit(0)).alias("__offset"),
     )
     local = src.withColumn(
         "__local", F.row_number().over(Window.partitionBy(*anchor, "__bucket").orderBy(hash_col))
