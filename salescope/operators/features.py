@@ -72,20 +72,17 @@ def column_roles(
 ) -> DataFrame:
     """``(column, role)``: binary, ordinal or continuous, from one aggregate."""
     ordinal = set(ordinal)
-    one = df.agg(*[
-        F.coalesce(F.min(F.col(c).cast("double").isin(0.0, 1.0).cast("int")), F.lit(1)).alias(f"b{i}")
-        for i, c in enumerate(columns)
+    tested = [c for c in columns if c not in ordinal and c.startswith(prefixes)]
+    one = df.agg(F.count("*"), *[
+        F.coalesce(F.min(F.col(c).cast("double").isin(0.0, 1.0).cast("int")), F.lit(1)).alias(f"is_{c}")
+        for c in tested
     ])
-    records = []
-    for i, c in enumerate(columns):
-        if c in ordinal:
-            role = F.lit("ordinal")
-        elif c.startswith(prefixes):
-            role = F.when(F.col(f"b{i}") == 1, "binary").otherwise("continuous")
-        else:
-            role = F.lit("continuous")
-        records.append(F.struct(F.lit(c).alias("column"), role.alias("role")))
-    return one.select(F.explode(F.array(*records)).alias("r")).select("r.*")
+    roles = {c: F.when(F.col(f"is_{c}") == 1, "binary").otherwise("continuous") for c in tested}
+    return one.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"),
+                 roles.get(c, F.lit("ordinal" if c in ordinal else "continuous")).alias("role"))
+        for c in columns
+    ])).alias("r")).select("r.*")
 
 
 def fit_medians(train: DataFrame, columns: Sequence[str]) -> dict[str, float]:

@@ -12,6 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salescope.sources.readers import read_table
+
 _LINE_COLUMNS = {"copies_sold", "positive", "negative", "achievements", "estimated_owners"}
 
 _SQL = """
@@ -64,10 +66,6 @@ WITH li AS (
 REF_YEAR = 2000
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _label_text(pairs: DataFrame, label: str) -> DataFrame:
     """Distinct labels per part as sorted comma text. The distinct runs first, so
     one part's list holds at most the label vocabulary however many lines it has."""

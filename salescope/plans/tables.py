@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from salescope.operators import relational as R
 from salescope.operators.preprocess import encode_class, preprocess
-from salescope.plans.entity import ALL_COLUMNS, entity_sql, entity_table, read_table
+from salescope.plans.entity import ALL_COLUMNS, entity_sql, entity_table
 from salescope.plans.registry import ENTITY, LINE_GROUPS, SEGMENT_WORDS, pre_sql, query, rounded
 from salescope.session import new_table_path
-from salescope.sources.readers import scan_csv, scan_parquet
+from salescope.sources.readers import read_table, scan_csv, scan_parquet
 from salescope.sources.sinks import sink_by_segment, sink_parquet, sink_report
 
 _LAUNCH_INTS = [
@@ -35,7 +35,7 @@ def _(spark, sf):
 @query("scan_parquet", "SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01'")
 def _(spark, sf):
     return scan_parquet(spark, f"{sf}/lineitem.parquet").where(
-        F.col("l_shipdate") >= F.lit("1996-01-01").cast("timestamp")
+        F.col("l_shipdate") >= F.lit("1996-01-01").cast("timestamp_ntz")
     )
 
 

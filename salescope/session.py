@@ -7,7 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_DIRS: dict[str, str] = {}
+_LOCAL_DIRS: dict[str, tempfile.TemporaryDirectory] = {}
+_WRITTEN: list[str] = []
 
 
 def get_spark(app: str = "salescope", master: str | None = None, **conf: str) -> SparkSession:
@@ -19,6 +20,7 @@ def get_spark(app: str = "salescope", master: str | None = None, **conf: str) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.dataFrameQueryContext.enabled": "false",
         "spark.ui.enabled": "false",
     }
     for k, v in {**defaults, **conf}.items():
@@ -40,8 +42,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app_id = spark.sparkContext.applicationId
     if app_id not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app_id] = tempfile.mkdtemp(prefix="salescope-")
-    return _LOCAL_DIRS[app_id]
+        _LOCAL_DIRS[app_id] = tempfile.TemporaryDirectory(prefix="salescope-", ignore_cleanup_errors=True)
+    return _LOCAL_DIRS[app_id].name
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
@@ -59,4 +61,13 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = new_table_path(spark, name)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this process, once no plan reads them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)

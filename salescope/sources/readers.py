@@ -34,6 +34,18 @@ SALES_SCHEMA = T.StructType([
     T.StructField("publisherClass", T.StringType()), T.StructField("steamUrl", T.StringType()),
 ])
 
+# The star-schema tables read by the registered queries.
+STAR_SCHEMAS = {
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """Header CSV with quoted free text. Columns are bound by their header names.
@@ -63,5 +75,11 @@ def load_merged(spark: SparkSession, path: str) -> DataFrame:
     return scan_csv(spark, path, T.StructType(fields))
 
 
-def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """Parquet table; a given schema spares the job that reads footers to infer one."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return scan_parquet(spark, f"{sf_dir}/{name}.parquet", STAR_SCHEMAS[name])
