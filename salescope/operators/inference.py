@@ -28,6 +28,7 @@ from salescope.session import materialize
 
 TOLERANCE = 1e-9
 REPLICATES_PER_BATCH = 500
+RANK_SLICES = 4096
 
 
 def _batches(n_rep: int, size: int = REPLICATES_PER_BATCH):
@@ -178,34 +179,44 @@ def perm_ols_coef(df: DataFrame, key: str, price: str, target: str, controls: Se
 def values_at_ranks(df: DataFrame, value: str, ranks: DataFrame) -> DataFrame:
     """``(rank, v)``: the value at each 0-based rank of ``ranks.rank``.
 
-    A sketch brackets the span of wanted ranks; only distinct values inside the
-    bracket are ordered.
+    A sketch brackets the span of wanted ranks. The values inside are counted in
+    equal-width slices; each slice's starting rank is known from those counts, so
+    slices are ordered apart from each other.
     """
-    n = df.count()
-    span = ranks.agg(F.min("rank").alias("lo"), F.max("rank").alias("hi")).first()
     src = df.select(F.col(value).cast("double").alias("v"))
+    n = src.count()
+    span = ranks.agg(F.min("rank").alias("lo"), F.max("rank").alias("hi")).first()
+    below, (lo, hi) = 0, src.agg(F.min("v"), F.max("v")).first()
     if n > SMALL_GROUP:
         margin = 4.0 / SKETCH_ACCURACY
         probe = [max(0.0, span.lo / n - margin), min(1.0, span.hi / n + margin)]
-        lo, hi = src.agg(F.percentile_approx("v", probe, SKETCH_ACCURACY)).first()[0]
-        below = 0
-        if probe[0] > 0.0:
-            below = src.where(F.col("v") < lo).count()
-            src = src.where(F.col("v") >= lo)
-        if probe[1] < 1.0:
-            src = src.where(F.col("v") <= hi)
-    else:
-        below = 0
-    counts = src.groupBy("v").agg(F.count("*").alias("c"))
-    running = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        (F.coalesce(F.sum("c").over(running), F.lit(0)) + below).alias("rank"), "v", F.lit(False).alias("ask"))
-    asked = ranks.select("rank").distinct().select("rank", F.lit(None).cast("double").alias("v"), F.lit(True).alias("ask"))
-    seen = Window.orderBy("rank", "ask").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        starts.unionByName(asked).withColumn("v", F.last("v", ignorenulls=True).over(seen))
-        .where("ask").select("rank", "v")
-    )
+        at = src.agg(F.percentile_approx("v", probe, SKETCH_ACCURACY)).first()[0]
+        lo = at[0] if probe[0] > 0.0 else lo
+        hi = at[1] if probe[1] < 1.0 else hi
+        below = src.where(F.col("v") < lo).count()
+    width = (hi - lo) or 1.0
+    inside = src.where(F.col("v").between(lo, hi)).withColumn(
+        "slice", F.least(F.floor((F.col("v") - lo) / width * RANK_SLICES), F.lit(RANK_SLICES - 1)))
+    counts = inside.groupBy("slice", "v").agg(F.count("*").alias("c"))
+    totals = counts.groupBy("slice").agg(F.sum("c").alias("c"))
+    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # RANK_SLICES rows at most
+    starts = materialize(totals.select(
+        "slice", (F.coalesce(F.sum("c").over(before), F.lit(0)) + below).alias("start")), "slices")
+
+    def lookup(known: DataFrame, wanted: DataFrame, out: str, by: Sequence[str] = ()) -> DataFrame:
+        """Give each wanted rank the ``out`` of the last known start at or before it."""
+        window = Window.partitionBy(*by) if by else Window
+        seen = window.orderBy("rank", "ask").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        both = known.withColumn("ask", F.lit(False)).unionByName(
+            wanted.withColumn("ask", F.lit(True)), allowMissingColumns=True)
+        return both.withColumn(out, F.last(out, ignorenulls=True).over(seen)).where("ask")
+
+    asked = ranks.select("rank").distinct()
+    placed = lookup(starts.withColumnRenamed("start", "rank"), asked, "slice").select("rank", "slice")
+    inner = Window.partitionBy("slice").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    known = counts.join(starts, "slice").select(
+        "slice", "v", (F.col("start") + F.coalesce(F.sum("c").over(inner), F.lit(0))).alias("rank"))
+    return lookup(known, placed, "v", ["slice"]).select("rank", "v")
 
 
 def bootstrap_medians(df: DataFrame, value: str, n_rep: int, seed: int | str = 42) -> DataFrame:

@@ -21,6 +21,9 @@ from salescope.session import materialize
 SKETCH_ACCURACY = 20_000   # rank error of the sketch is n / SKETCH_ACCURACY
 SMALL_GROUP = 100_000      # groups up to this size are ordered whole
 _MARGIN = 4.0 / SKETCH_ACCURACY
+REFINE_ABOVE = 100_000_000  # groups beyond this size get narrower brackets first
+REFINE_BUCKETS = 4096
+MAX_REFINEMENTS = 8
 
 
 # Keys made by this library and never null: plain equality keeps an existing
@@ -51,8 +54,9 @@ def exact_quantiles(
     Returns ``keys, variable, n`` and one column per entry of ``quantiles``.
     Pass 1 keeps a mergeable sketch per group, whose error bound gives a value
     bracket around every wanted rank. Pass 2 counts the rows below each bracket
-    and combines equal values inside it on the map side, so one task orders at
-    most the distinct values of one bracket (about n / 2,500 of a large group).
+    and combines equal values inside it on the map side, so one task orders only
+    the distinct values of one bracket (at most n / 2,500 of a large group). For
+    very large groups extra counting passes narrow the brackets in between.
     """
     long = df.select(
         *keys,
@@ -90,6 +94,8 @@ def exact_quantiles(
         ),
         "brackets",
     )
+    if (brackets.agg(F.max("__n")).first()[0] or 0) > REFINE_ABOVE:
+        brackets = _narrowed(long, brackets, group, qs)
 
     hits = (
         null_safe(long, brackets, group)
@@ -128,6 +134,48 @@ def exact_quantiles(
     return found.select(*group, F.col("__n").alias("n"), *out)
 
 
+def _narrowed(long: DataFrame, brackets: DataFrame, group: list[str], qs: Sequence[float]) -> DataFrame:
+    """Narrow each per-rank bracket to the slices that hold its ranks.
+
+    One round cuts a bracket into equal-width slices, counts them with a plain
+    hash aggregate, and keeps the slices around the two wanted ranks. Rounds stop
+    once no bracket holds more than ``SMALL_GROUP`` rows of differing value.
+    """
+    for _ in range(MAX_REFINEMENTS):
+        lo, hi = F.col("__k.lo"), F.col("__k.hi")
+        rows = (
+            null_safe(long, brackets.where(F.col("__n") > SMALL_GROUP), group)
+            .select(*group, "__n", "__v", F.explode("__brackets").alias("__k")).where(F.col("__v") <= hi)
+        )
+        piece = F.floor((F.col("__v") - lo) / F.nullif(hi - lo, F.lit(0.0)) * REFINE_BUCKETS)
+        sliced = rows.select(
+            *group, "__n", F.col("__k.b").alias("__b"), "__v",
+            F.when(F.col("__v") < lo, -1).otherwise(F.coalesce(F.least(piece, F.lit(REFINE_BUCKETS - 1)), F.lit(0)))
+            .alias("__s"),
+        )
+        counts = sliced.groupBy(*group, "__n", "__b", "__s").agg(
+            F.count("*").alias("__c"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+        order = Window.partitionBy(*group, "__b").orderBy("__s").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        q = F.element_at(F.array(*[F.lit(float(x)) for x in qs]), F.col("__b") + 1)
+        low = F.floor(q * (F.col("__n") - 1))
+        high = F.least(low + 1, F.col("__n") - 1)
+        first, last = F.col("__upto") - F.col("__c"), F.col("__upto") - 1
+        kept = counts.withColumn("__upto", F.sum("__c").over(order)).where(
+            (F.col("__s") >= 0) & (first <= high) & (last >= low))
+        per_rank = kept.groupBy(*group, "__n", "__b").agg(
+            F.min("__lo").alias("lo"), F.max("__hi").alias("hi"), F.sum("__c").alias("__inside"))
+        narrow = per_rank.groupBy(*group, "__n").agg(
+            F.collect_list(F.struct(F.col("__b").alias("b"), "lo", "hi")).alias("__brackets"),
+            F.max(F.when(F.col("lo") < F.col("hi"), F.col("__inside")).otherwise(0)).alias("__widest"))
+        table = materialize(narrow, "brackets")
+        widest = table.agg(F.max("__widest")).first()[0]
+        brackets = brackets.where(F.col("__n") <= SMALL_GROUP).unionByName(table.drop("__widest"))
+        if widest <= SMALL_GROUP:
+            break
+    return brackets
+
+
 def with_quantiles(
     agg: DataFrame,
     source: DataFrame,

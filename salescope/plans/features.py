@@ -17,8 +17,12 @@ from salescope.session import materialize
 
 
 def launch_bundle(spark, sf, *, keep=(), use_age=True, use_year=False):
-    """The launch-time feature bundle of the entity table."""
-    cleaned = S.preprocess(entity_table(spark, sf, ALL_COLUMNS), ENTITY)
+    """The launch-time feature bundle of the entity table.
+
+    The raw table is written once: choosing tags, counting studios and cleaning all
+    read it, and none should repeat the line-item aggregation.
+    """
+    cleaned = S.preprocess(materialize(entity_table(spark, sf, ALL_COLUMNS), "entity"), ENTITY)
     names = leakage_gate(cleaned, ENTITY.metadata, ENTITY.post_outcome, age_column="entity_age",
                          year_column="release_year", use_age=use_age, use_year=use_year)
     return B.assemble_features(cleaned, names, "entity_id", "log_copies_sold", stratum="publisher_class_ord",

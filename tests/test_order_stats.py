@@ -24,11 +24,14 @@ def table(spark, n, seed):
     return rows, spark.createDataFrame(rows, "id int, g string, v double")
 
 
-@pytest.mark.parametrize("small", [10**9, 500])
-def test_quantiles_match_numpy(spark, monkeypatch, small):
+@pytest.mark.parametrize("small,refine", [(10**9, 10**9), (500, 10**9), (500, 1000), (30, 30)])
+def test_quantiles_match_numpy(spark, monkeypatch, small, refine):
     monkeypatch.setattr(O, "SMALL_GROUP", small)
-    if small == 500:  # margins sized for the sketch bound must still hold two ranks of slack
+    monkeypatch.setattr(O, "REFINE_ABOVE", refine)
+    if small < 10**9:  # margins sized for the sketch bound must still hold two ranks of slack
         monkeypatch.setattr(O, "_MARGIN", 0.01)
+    if small == 30:  # several rounds of narrowing
+        monkeypatch.setattr(O, "REFINE_BUCKETS", 4)
     rows, df = table(spark, 8000, 3)
     got = {r.g: r for r in O.exact_quantiles(df, ["g"], ["v"], QS).collect()}
     for g in ("hot", "a", "b", None):
