@@ -25,7 +25,8 @@ def segment_by_class(ordinal: Column, names: Mapping[int, str] | None = None) ->
     return expr
 
 
-MERGED_CLASSES = {0: "Hobbyist", 1: "Indie", 2: "AA+AAA", 3: "AA+AAA"}
+# The variant that pools the two small top classes.
+MERGED_CLASSES = {0: "Hobbyist", 1: "Indie", 2: "AA_AAA", 3: "AA_AAA"}
 
 
 def segment_by_price(price: Column, edges: Sequence[float] = vocab.PRICE_EDGES) -> Column:

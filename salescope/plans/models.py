@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from salescope.functions import parsing as P
@@ -10,8 +12,8 @@ from salescope.operators import linear as L
 from salescope.operators import selection as X
 from salescope.operators import trees as T
 from salescope.operators.evaluate import dual_scale_metrics, split_summary
-from salescope.operators.features import stratified_split
-from salescope.operators.preprocess import preprocess
+from salescope.operators.features import FeatureBundle, stratified_split
+from salescope.operators.preprocess import add_log_target, encode_class, log_skewed, preprocess
 from salescope.operators.profile import corr_with_target
 from salescope.plans.entity import ALL_COLUMNS, entity_table
 from salescope.plans.evaluation import SPLIT_SQL, predictions
@@ -25,16 +27,6 @@ def _forest():
     return T.random_forest(trees=10, depth=6)
 
 
-@query("model_save_load")
-def _(spark, sf):
-    bundle = launch_bundle(spark, sf)
-    model = T.boosted_trees(5, rate=0.1, depth=4).fit(bundle.part("train"))
-    path = new_table_path(spark, "model")
-    save_model(PipelineModel([model]), path)
-    scored = load_model(path).transform(bundle.data)
-    return rounded(scored.select("entity_id", "split", "label", "prediction"), 4)
-
-
 @query("mean_predictor", pre_sql(SPLIT_SQL + """
   SELECT entity_id, split, round(log_copies_sold, 6) AS label,
          (SELECT round(avg(log_copies_sold), 6) FROM split WHERE split = 'train') AS prediction FROM split"""))
@@ -50,15 +42,36 @@ _SINGLE = SPLIT_SQL + """
   s AS (SELECT *, (syy - b * sxy) / (n - 2) AS v FROM m)"""
 
 
-def _single(spark, sf):
-    """One-predictor training rows: log price against the log target."""
+def _single_rows(spark, sf):
+    """One-predictor rows with their split: log price against the log target."""
     df = entity_table(spark, sf, ["entity_id", "publisher_class", "copies_sold", "price"]).where(
         F.col("copies_sold").isNotNull())
-    df = df.select("entity_id", P.ordinal_code(F.col("publisher_class"), {"Hobbyist": 0, "Indie": 1, "AA": 2, "AAA": 3})
-                   .alias("publisher_class_ord"), P.log1p_floor(F.col("price")).alias("z_price"),
-                   F.log1p(F.col("copies_sold").cast("double")).alias("label"))
+    df = add_log_target(log_skewed(encode_class(df, ENTITY), ENTITY), ENTITY).select(
+        "entity_id", "publisher_class_ord", F.col("price").alias("z_price"), F.col("log_copies_sold").alias("label"))
     split = stratified_split(materialize(df, "single"), "entity_id", ["publisher_class_ord"])
-    return L.moments(materialize(split.where(F.col("split") == "train"), "train"), ["price"])
+    return materialize(split, "single-split")
+
+
+def _single(spark, sf):
+    return L.moments(_single_rows(spark, sf).where(F.col("split") == "train"), ["price"])
+
+
+@query("model_save_load", pre_sql(_SINGLE + """
+  SELECT entity_id, split.split, round(log_copies_sold, 6) AS label, round(a + b * price, 6) AS prediction FROM split, s"""))
+def _(spark, sf):
+    data = _single_rows(spark, sf)
+    pipeline = Pipeline(stages=[VectorAssembler(inputCols=["z_price"], outputCol="features"), LinearRegression()])
+    path = new_table_path(spark, "model")
+    save_model(pipeline.fit(data.where(F.col("split") == "train")), path)
+    return rounded(load_model(path).transform(data).select("entity_id", "split", "label", "prediction"))
+
+
+@query("lasso_single", pre_sql(_SINGLE + """
+  SELECT 'price' AS feature, round(sign(sxy) * greatest(abs(sxy) / n - 0.05, 0) / (sxx / n), 4) AS coef FROM s"""))
+def _(spark, sf):
+    data = VectorAssembler(inputCols=["z_price"], outputCol="features").transform(_single_rows(spark, sf))
+    fit = L.lasso(FeatureBundle(data, ["price"], None), 0.05)
+    return rounded(spark.createDataFrame([("price", float(fit.coef[0]))], "feature string, coef double"), 4)
 
 
 @query("ols_single", pre_sql(_SINGLE + """

@@ -27,7 +27,7 @@ def _stats(df, segment):
 
 @query("segment_by_class", pre_sql("""
   SELECT entity_id, CASE publisher_class_ord WHEN 0 THEN 'Hobbyist' WHEN 1 THEN 'Indie' WHEN 2 THEN 'AA' WHEN 3 THEN 'AAA' END AS segment,
-    CASE publisher_class_ord WHEN 0 THEN 'Hobbyist' WHEN 1 THEN 'Indie' WHEN 2 THEN 'AA+AAA' WHEN 3 THEN 'AA+AAA' END AS merged
+    CASE publisher_class_ord WHEN 0 THEN 'Hobbyist' WHEN 1 THEN 'Indie' WHEN 2 THEN 'AA_AAA' WHEN 3 THEN 'AA_AAA' END AS merged
   FROM pre"""))
 def _(spark, sf):
     df = entity_table(spark, sf, ["entity_id", "publisher_class", "copies_sold"]).where(F.col("copies_sold").isNotNull())
@@ -130,6 +130,36 @@ def _(spark, sf):
     return rounded(table, 4)
 
 
+_SEG_METRICS = ", ".join(
+    f"round(max(CASE WHEN split = '{split}' THEN {m} END), 6) AS {split}_{name}"
+    for split, m, name in (("train", "rmse", "RMSE_log"), ("val", "rmse", "RMSE_log"), ("test", "rmse", "RMSE_log"),
+                           ("val", "mae", "MAE_log"), ("val", "r2", "R2_log")))
+
+
+@query("segment_ols_single", pre_sql(f"""
+  , t AS (SELECT entity_id, price AS x, log_copies_sold AS y,
+      CASE publisher_class_ord WHEN 0 THEN 'Hobbyist' WHEN 1 THEN 'Indie' ELSE 'AA_AAA' END AS segment
+      FROM pre WHERE publisher_class_ord >= 0),
+  numbered AS (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY md5('42:' || entity_id)) AS rk,
+      (count(*) OVER (PARTITION BY segment) * 15 + 50) // 100 AS share FROM t),
+  s AS (SELECT *, CASE WHEN rk <= share THEN 'test' WHEN rk <= 2 * share THEN 'val' ELSE 'train' END AS split FROM numbered),
+  f AS (SELECT segment, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM s WHERE split = 'train' GROUP BY segment),
+  p AS (SELECT s.segment, split, y, a + b * x - y AS d FROM s JOIN f USING (segment)),
+  m AS (SELECT segment, split, sqrt(avg(d * d)) AS rmse, avg(abs(d)) AS mae, 1 - sum(d * d) / (var_pop(y) * count(*)) AS r2
+      FROM (SELECT * FROM p UNION ALL SELECT 'Combined', split, y, d FROM p) GROUP BY segment, split)
+  SELECT segment, {_SEG_METRICS} FROM m GROUP BY segment"""))
+def _(spark, sf):
+    df = entity_table(spark, sf, ["entity_id", "publisher_class", "copies_sold", "price"]).where(
+        F.col("copies_sold").isNotNull())
+    df = S.add_log_target(S.log_skewed(S.encode_class(df, ENTITY), ENTITY), ENTITY).select(
+        "entity_id", F.col("price").alias("z_price"), F.col("log_copies_sold").alias("label"),
+        G.segment_by_class(F.col("publisher_class_ord"), G.MERGED_CLASSES).alias("class_name"))
+    known = materialize(df.where(F.col("class_name").isNotNull()), "single")
+    data = materialize(segment_split(known, "entity_id", "class_name"), "by-segment")
+    table, _, _ = L.segment_ols(data, ["price"], "class_name")
+    return rounded(table.drop("val_RMSE_raw", "val_MAE_raw"))
+
+
 @query("segment_ols_coefficients")
 def _(spark, sf):
     bundle, data = _segment_bundle(spark, sf)
