@@ -31,6 +31,12 @@ def flag(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False)).cast("int")
 
 
+def binary_round(c: Column, places: int) -> Column:
+    """Half-even rounding of the scaled binary value, as array libraries round."""
+    scale = F.lit(10.0 ** places)
+    return F.rint(c * scale) / scale
+
+
 def parse_utc(c: Column) -> Column:
     """Timestamp whose fields read as UTC in any session zone; null if invalid."""
     return F.to_utc_timestamp(F.try_to_timestamp(c), F.current_timezone())
@@ -101,7 +107,7 @@ def review_columns(pos: Column, neg: Column) -> dict[str, Column]:
     """Review total and damped positive share, rounded half to even."""
     zero = F.lit(0).cast("bigint")
     p, n = F.coalesce(pos.cast("bigint"), zero), F.coalesce(neg.cast("bigint"), zero)
-    return {"total_reviews": p + n, "review_ratio": F.bround(p / (p + n + 1), 4)}
+    return {"total_reviews": p + n, "review_ratio": binary_round(p / (p + n + 1), 4)}
 
 
 def positive_flag(c: Column) -> Column:

@@ -32,7 +32,10 @@ def on_both_scales(df: DataFrame, y_true: str, y_pred: str, scale: str = "log")
 
 def dual_scale_metrics(df: DataFrame, by: Sequence[str], y_true: str = "y_true", y_pred: str = "y_pred",
                        scale: str = "log") -> DataFrame:
-    """RMSE, MAE and R2 on the log scale, RMSE and MAE on the raw scale, per group."""
+    """RMSE, MAE and R2 on the log scale, RMSE and MAE on the raw scale, per group.
+
+    R2 of a constant actual is 1 for a perfect fit and 0 otherwise; one row has none.
+    """
     both = on_both_scales(df, y_true, y_pred, scale).where(
         F.col("y_true_log").isNotNull() & F.col("y_pred_log").isNotNull()
     )
@@ -43,7 +46,9 @@ def dual_scale_metrics(df: DataFrame, by: Sequence[str], y_true: str = "y_true",
         F.count("*").alias("n"),
         F.sqrt(F.avg(d * d)).alias("rmse_log"),
         F.avg(F.abs(d)).alias("mae_log"),
-        (1 - F.sum(d * d) / F.nullif(total, F.lit(0.0))).alias("r2_log"),
+        F.when(F.count("*") >= 2, F.coalesce(
+            1 - F.sum(d * d) / F.nullif(total, F.lit(0.0)), F.when(F.sum(d * d) == 0, 1.0).otherwise(0.0)
+        )).alias("r2_log"),
         F.sqrt(F.avg(r * r)).alias("rmse_raw"),
         F.avg(F.abs(r)).alias("mae_raw"),
     )

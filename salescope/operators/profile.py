@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from salescope.functions.hashing import md5_of
-from salescope.functions.parsing import split_labels
+from salescope.functions.parsing import binary_round, split_labels
 from salescope.operators.order_stats import null_safe, with_quantiles
 
 
@@ -26,7 +26,7 @@ def null_profile(df: DataFrame, above: float = 0.0) -> DataFrame:
     """Percent null per column, largest first."""
     one = df.agg(*[F.avg(F.isnull(c).cast("int")).alias(f"c{i}") for i, c in enumerate(df.columns)])
     return (
-        melt_row(one, [{"column": F.lit(c), "null_pct": F.round(F.col(f"c{i}") * 100, 4)}
+        melt_row(one, [{"column": F.lit(c), "null_pct": binary_round(F.col(f"c{i}") * 100, 4)}
                        for i, c in enumerate(df.columns)])
         .where(F.col("null_pct") > above)
         .orderBy(F.desc("null_pct"), "column")
@@ -51,7 +51,7 @@ def column_audit(df: DataFrame, approximate: bool = False) -> DataFrame:
     base = melt_row(one, [{
         "column": F.lit(c),
         "dtype": F.lit(types[c]),
-        "null_pct": F.round(F.lit(100.0) * (F.col("rows") - F.col(f"n{i}")) / F.col("rows"), 2),
+        "null_pct": binary_round((F.col("rows") - F.col(f"n{i}")) / F.col("rows") * 100, 2),
         "non_null": F.col(f"n{i}"),
         "sample": F.col(f"m{i}"),
         **({"n_distinct": F.col(f"d{i}")} if approximate else {}),

@@ -67,7 +67,7 @@ def _(spark, sf):
 
 
 @query("lasso_single", pre_sql(_SINGLE + """
-  SELECT 'price' AS feature, round(sign(sxy) * greatest(abs(sxy) / n - 0.05, 0) / (sxx / n), 4) AS coef FROM s"""))
+  SELECT 'price' AS feature, round(sign(sxy) * greatest(abs(sxy) / n - 0.05, 0) / (sxx / n), 4) + 0.0::DOUBLE AS coef FROM s"""))
 def _(spark, sf):
     data = VectorAssembler(inputCols=["z_price"], outputCol="features").transform(_single_rows(spark, sf))
     fit = L.lasso(FeatureBundle(data, ["price"], None), 0.05)

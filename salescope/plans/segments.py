@@ -145,7 +145,9 @@ _SEG_METRICS = ", ".join(
   s AS (SELECT *, CASE WHEN rk <= share THEN 'test' WHEN rk <= 2 * share THEN 'val' ELSE 'train' END AS split FROM numbered),
   f AS (SELECT segment, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM s WHERE split = 'train' GROUP BY segment),
   p AS (SELECT s.segment, split, y, a + b * x - y AS d FROM s JOIN f USING (segment)),
-  m AS (SELECT segment, split, sqrt(avg(d * d)) AS rmse, avg(abs(d)) AS mae, 1 - sum(d * d) / (var_pop(y) * count(*)) AS r2
+  m AS (SELECT segment, split, sqrt(avg(d * d)) AS rmse, avg(abs(d)) AS mae,
+      CASE WHEN count(*) < 2 THEN NULL WHEN var_pop(y) = 0 THEN CAST(sum(d * d) = 0 AS DOUBLE)
+           ELSE 1 - sum(d * d) / (var_pop(y) * count(*)) END AS r2
       FROM (SELECT * FROM p UNION ALL SELECT 'Combined', split, y, d FROM p) GROUP BY segment, split)
   SELECT segment, {_SEG_METRICS} FROM m GROUP BY segment"""))
 def _(spark, sf):

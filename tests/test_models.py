@@ -163,3 +163,11 @@ def test_bundle_statistics_come_from_training_rows(spark):
     train = bundle.part("train").agg(F.avg("z_b"), F.stddev_pop("z_b"), F.count("*")).first()
     assert train[0] == pytest.approx(0, abs=1e-12) and train[1] == pytest.approx(1) and train[2] == 280
     assert bundle.select(["b"]).data.first().features.size == 1
+
+
+def test_r2_of_constant_and_single_rows(spark):
+    from salescope.operators.evaluate import dual_scale_metrics
+    rows = [("off", 2.0, 1.0), ("off", 2.0, 3.0), ("exact", 2.0, 2.0), ("exact", 2.0, 2.0), ("one", 2.0, 2.5)]
+    df = spark.createDataFrame(rows, "g string, y_true double, y_pred double")
+    got = {r.g: r.r2_log for r in dual_scale_metrics(df, ["g"]).collect()}
+    assert got == {"off": 0.0, "exact": 1.0, "one": None}
