@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import line_dedup, pfair, url_rules, winnowing
+from salescope.llm import line_dedup, pfair, secret_scan, suffix_groups, url_rules, winnowing
 from salescope.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,27 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.dedup_lines(docs, min_docs=10)
     return kept.select("doc_id", "n_lines", "n_dropped", sha256(F.col("text")).alias("kept_sha256"))
+
+
+@query()
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", sha256(F.col("base")).alias("base_sha256"), "spans")
+
+
+@query(r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    win AS (SELECT doc_id, i, sha256(array_to_string(w[i + 1 : i + 35], ' ')) AS g
+            FROM (SELECT doc_id, w, unnest(range(len(w) - 34)) AS i FROM d WHERE len(w) >= 35)),
+    rep AS (SELECT doc_id, i FROM win WHERE g IN (SELECT g FROM win GROUP BY g HAVING count(*) > 1)),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM rep),
+    word AS (SELECT doc_id, unnest(w) AS x, unnest(range(len(w))) AS p FROM d)
+    SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM d LEFT JOIN (
+        SELECT word.doc_id, count(gone.p) AS n_removed,
+               string_agg(x, ' ' ORDER BY word.p) FILTER (gone.p IS NULL) AS kept
+        FROM word LEFT JOIN gone ON word.doc_id = gone.doc_id AND word.p = gone.p GROUP BY 1) k USING (doc_id)
+""")
+def op10_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_groups.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
