@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import line_dedup, pfair, secret_scan, suffix_groups, url_rules, winnowing
+from salescope.llm import count_rtree, line_dedup, pfair, secret_scan, suffix_groups, url_rules, winnowing
 from salescope.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def op10_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_groups.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
+
+
+@query()
+def op7_count_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_rtree.similar_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
