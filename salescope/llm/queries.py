@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import count_rtree, line_dedup, pfair, secret_scan, suffix_groups, url_rules, winnowing
+from salescope.llm import count_rtree, cover_tree, line_dedup, pfair, secret_scan, suffix_groups, url_rules, winnowing
 from salescope.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,14 @@ def op10_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_count_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_rtree.similar_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query(r"""
+    WITH v AS (SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v FROM embeddings),
+    s AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.v, d.v) AS BIGINT) AS score
+          FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+""")
+def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.exact_top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
