@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import count_rtree, cover_tree, line_dedup, pfair, secret_scan, suffix_groups, url_rules, winnowing
+from salescope.llm import count_rtree, cover_tree, line_dedup, pfair, secret_scan, suffix_groups, toxicity, url_rules, winnowing
 from salescope.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,13 @@ def op7_count_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def op3_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.exact_top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").filter(~toxicity.held_out(F.col("doc_id")))
+    scored = toxicity.score_documents(docs, toxicity.fit(docs, labels))
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
