@@ -37,12 +37,15 @@ def gram_hashes(hashes: str, k: int) -> str:
 
 
 def window_minima(grams: str, width: int) -> str:
-    """SQL: (position, hash) of the smallest gram in every run of ``width``, leftmost on ties."""
+    """SQL: (pos, fp) of the smallest gram in every run of ``width``, leftmost on ties.
+
+    Repeats are dropped while they are plain positions, which is linear in their number.
+    """
     run = ", ".join(f"try_element_at({grams}, i + {j})" for j in range(1, width + 1))
     last = f"greatest(size({grams}) - {width}, 0)"
-    least = f"transform(sequence(0, {last}), i -> least({run}))"
-    pairs = f"zip_with(sequence(0, {last}), {least}, (i, m) -> named_struct('pos', cast(array_position(slice({grams}, i + 1, {width}), m) - 1 + i as int), 'fp', m))"
-    return f"if(size({grams}) = 0, cast(array() as array<struct<pos: int, fp: bigint>>), array_distinct({pairs}))"
+    least = f"transform(sequence(0, {last}), i -> cast(i + array_position(slice({grams}, i + 1, {width}), least({run})) - 1 as int))"
+    pairs = f"transform(array_distinct({least}), p -> named_struct('pos', p, 'fp', {grams}[p]))"
+    return f"if(size({grams}) = 0, cast(array() as array<struct<pos: int, fp: bigint>>), {pairs})"
 
 
 def fingerprints(df: DataFrame, k: int, window: int) -> DataFrame:
@@ -92,7 +95,8 @@ def contaminated_spans(
     for n in lengths:
         each = f"if(size(_words) < {n}, cast(array() as array<struct<pos: int, fp: bigint>>), transform(sequence(0, size(_words) - {n}), i -> named_struct('pos', i, 'fp', xxhash64(slice(_words, i + 1, {n})))))"
         marked = marked.unionByName(texts.select("k1", "k2", F.lit(n).alias("len"), F.expr(each).alias("f")))
-    marked = marked.select("k1", "k2", "len", F.explode("f").alias("f")).select("k1", "k2", "len", F.col("f.fp").alias("fp"), F.col("f.pos").alias("pos"))
+    # the outer form, as the plain one repeats the whole array expression in a filter of its own
+    marked = marked.select("k1", "k2", "len", F.inline_outer("f")).filter("fp is not null")
     found = marked.join(wanted, ["len", "fp"], "left_semi")
     found = materialize(found.groupBy("k1", "k2").agg(F.collect_set(F.struct("len", "fp", "pos")).alias("found")), "found")
 
