@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import count_rtree, cover_tree, line_dedup, pfair, secret_scan, suffix_groups, toxicity, url_rules, winnowing
+from salescope.llm import count_rtree, cover_tree, line_dedup, pfair, role_repair, secret_scan, suffix_groups, toxicity, url_rules, winnowing
 from salescope.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+@query()
+def op6_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return role_repair.repair_roles(read_table(spark, sf_dir, "conversations"))
