@@ -110,7 +110,8 @@ def op10_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op7_count_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_rtree.similar_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = count_rtree.similar_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @query(r"""

@@ -139,3 +139,11 @@ def decontaminate(
     return rows.join(verdicts, ["k1", "k2"], "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"))
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, with all columns, in which no item window occurs; null texts stay."""
+    spans = contaminated_spans(docs, items, text, **options).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
+    hit = materialize(spans.distinct(), "hit")
+    k1, k2 = text_key(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    return docs.join(hit, (k1 == F.col("_k1")) & (k2 == F.col("_k2")), "left_anti")
