@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,8 +77,10 @@ def _find(window: int, prefix: int):
     return find
 
 
-def _digest(words: list[str]) -> str:
-    return hashlib.sha256(" ".join(words).encode()).hexdigest()
+def _digests(offsets: np.ndarray, words: pa.Array) -> list[str]:
+    """SHA-256 of each text's words, joined by one space without a Python object per word."""
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), words), pa.scalar(" ", words.type)).cast(pa.large_binary())
+    return [hashlib.sha256(x.as_buffer()).hexdigest() for x in joined]
 
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,9 +89,8 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(whole, "text"):
             offsets, words = split_words(batch.column("text"))
             done = batch.column("anchors").is_null().to_numpy(zero_copy_only=False)
-            words = words.to_pylist()
-            digests = [_digest(words[offsets[i] : offsets[i + 1]]) if d else None for i, d in enumerate(done)]
-            text = pa.array([None if d else t for d, t in zip(done, batch.column("text").to_pylist())], pa.string())
+            digests = [x if d else None for x, d in zip(_digests(offsets, words), done)]
+            text = pc.if_else(pa.array(done), pa.scalar(None, batch.column("text").type), batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("th"), pa.array(np.diff(offsets)), pa.array(digests, pa.string()), text, batch.column("anchors")],
                 names=["doc_id", "th", "n_words", "kept_sha256", "text", "anchors"])
@@ -219,16 +221,15 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
             offsets, words = split_words(batch.column("text"))
-            words, gone, digests = words.to_pylist(), [], []
-            for i, spans in enumerate(batch.column("spans").to_pylist()):
-                own = words[offsets[i] : offsets[i + 1]]
-                edge = np.zeros(len(own) + 1, np.int64)
+            edge = np.zeros(len(words) + 1, np.int64)
+            for start, spans in zip(offsets.tolist(), batch.column("spans").to_pylist()):
                 for x in spans or ():
-                    edge[x["s"]] += 1
-                    edge[x["e"]] -= 1
-                covered = np.cumsum(edge[:-1]) > 0
-                gone.append(int(covered.sum()))
-                digests.append(_digest([w for w, c in zip(own, covered.tolist()) if not c]))
+                    edge[start + x["s"]] += 1
+                    edge[start + x["e"]] -= 1
+            kept = np.cumsum(edge[:-1]) == 0
+            upto = np.concatenate([[0], np.cumsum(kept)])[offsets]
+            gone = np.diff(offsets) - np.diff(upto)
+            digests = _digests(upto, words.filter(pa.array(kept)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("n_words"), pa.array(gone, pa.int64()), pa.array(digests, pa.string())],
                 names=["doc_id", "n_words", "n_removed", "kept_sha256"])
