@@ -118,18 +118,18 @@ def mix_sources(
     upto = Window.partitionBy("source").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
     starts = materialize(ranges.select("source", "r", F.coalesce(F.sum("rows").over(upto), F.lit(0)).alias("start")), "ranges")
 
-    placed = base.join(counts.select(F.col("source").alias("_cs"), "n"), F.col("_s").eqNullSafe(F.col("_cs")))
-    placed = placed.withColumn("_r", hash_range(F.col("_o"), F.col("n")))
+    placed = base.join(counts.select(F.col("source").alias("_cs"), F.col("n").alias("_n")), F.col("_s").eqNullSafe(F.col("_cs")))
+    placed = placed.withColumn("_r", hash_range(F.col("_o"), F.col("_n")))
     inside = F.row_number().over(Window.partitionBy("_s", "_r").orderBy("_o", "_i")).cast("long") - 1
     placed = placed.withColumn("_w", inside).join(
-        starts.select(F.col("source").alias("_ss"), F.col("r").alias("_rr"), "start"),
+        starts.select(F.col("source").alias("_ss"), F.col("r").alias("_rr"), F.col("start").alias("_start")),
         F.col("_s").eqNullSafe(F.col("_ss")) & (F.col("_r") == F.col("_rr")))
-    rank = F.col("start") + F.col("_w")
-    placed = placed.withColumn("_b", F.expr(f"(start + _w) div {block_docs}")).withColumn("place", rank % block_docs)
-    sizes = materialize(parts.select(F.col("source").alias("_ps"), "parts"), "parts")
+    rank = F.col("_start") + F.col("_w")
+    placed = placed.withColumn("_b", F.expr(f"(_start + _w) div {block_docs}")).withColumn("place", rank % block_docs)
+    sizes = materialize(parts.select(F.col("source").alias("_ps"), F.col("parts").alias("_parts")), "parts")
     placed = placed.join(sizes, F.col("_s").eqNullSafe(F.col("_ps")))
-    placed = placed.withColumn("_turn", F.col("_b") % F.col("parts"))
+    placed = placed.withColumn("_turn", F.col("_b") % F.col("_parts"))
     plan = plan.select(F.col("source").alias("_qs"), F.col("turn").alias("_qt"), F.col("slot").alias("_slot"), F.col("p").alias("_p"))
     placed = placed.join(plan, F.col("_s").eqNullSafe(F.col("_qs")) & (F.col("_turn") == F.col("_qt")))
-    slot = F.expr("(_b div parts) * _p + _slot")
+    slot = F.expr("(_b div _parts) * _p + _slot")
     return placed.select(*[F.col(f"`{c}`") for c in own], (F.col("_b") + 1).alias("block"), slot.alias("slot"), "place")
