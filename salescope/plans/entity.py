@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salescope.sources.readers import read_table
@@ -20,22 +20,28 @@ _SQL = """
 WITH li AS (
   SELECT l_partkey, sum(l_quantity) AS qty, count(*) AS n_lines,
          count(*) FILTER (WHERE l_returnflag = 'N') AS pos,
-         count(*) FILTER (WHERE l_returnflag = 'R') AS neg,
-         array_to_string(list_sort(list_distinct(list(l_returnflag || '-' || l_linestatus)
-             FILTER (WHERE l_tax >= 0.08::DOUBLE))), ',') AS categories
+         count(*) FILTER (WHERE l_returnflag = 'R') AS neg
   FROM lineitem GROUP BY l_partkey
+), cat_counts AS (
+  SELECT l_partkey, l_returnflag || '-' || l_linestatus AS label, count(*) AS c FROM lineitem GROUP BY 1, 2
+), cat AS (
+  SELECT l_partkey, string_agg(label, ',' ORDER BY label) AS categories
+  FROM (SELECT *, sum(c) OVER (PARTITION BY l_partkey) AS lines FROM cat_counts) WHERE c * 4 >= lines GROUP BY l_partkey
+), seg_counts AS (
+  SELECT l_partkey, c_mktsegment AS label, count(*) AS c
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2
 ), seg AS (
-  SELECT l_partkey, array_to_string(list_sort(list_distinct(list(c_mktsegment))), ',') AS genres
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-  WHERE l_discount >= 0.09::DOUBLE GROUP BY l_partkey
+  SELECT l_partkey, string_agg(label, ',' ORDER BY label) AS genres
+  FROM (SELECT *, sum(c) OVER (PARTITION BY l_partkey) AS lines FROM seg_counts) WHERE c * 5 >= lines GROUP BY l_partkey
 ), base AS (
-  SELECT p.*, li.qty, li.n_lines, li.pos, li.neg, nullif(li.categories, '') AS categories, seg.genres, d.text AS about,
+  SELECT p.*, li.qty, li.n_lines, li.pos, li.neg, cat.categories, seg.genres, d.text AS about,
          CASE WHEN p_partkey % 97 = 0 THEN NULL ELSE
            CAST(floor(exp((p_partkey * 7919 % 1000) / 125.0::DOUBLE
              + 2 * (CASE WHEN p_size = 49 THEN 3 WHEN p_size = 48 THEN 2
                          WHEN p_size BETWEEN 29 AND 47 THEN 1 ELSE 0 END)
              + li.qty / 1000.0::DOUBLE)) AS BIGINT) END AS copies_sold
   FROM part p LEFT JOIN li ON p_partkey = li.l_partkey
+  LEFT JOIN cat ON p_partkey = cat.l_partkey
   LEFT JOIN seg ON p_partkey = seg.l_partkey
   LEFT JOIN documents d ON d.doc_id = p_partkey
 ), entity AS (
@@ -66,13 +72,15 @@ WITH li AS (
 REF_YEAR = 2000
 
 
-def _label_text(pairs: DataFrame, label: str) -> DataFrame:
-    """Distinct labels per part as sorted comma text. The distinct runs first, so
-    one part's list holds at most the label vocabulary however many lines it has."""
-    return (
-        pairs.distinct().groupBy("l_partkey")
-        .agg(F.array_join(F.array_sort(F.collect_list(label)), ",").alias(label))
-    )
+def _label_text(pairs: DataFrame, label: str, least: int) -> DataFrame:
+    """Labels that at least one in ``least`` of a part's lines has, as sorted comma text.
+
+    All lines are counted first, so the window and the list of a part hold at most
+    the label vocabulary however many lines it has."""
+    counts = pairs.groupBy("l_partkey", label).agg(F.count("*").alias("c"))
+    lines = F.sum("c").over(Window.partitionBy("l_partkey"))
+    kept = counts.withColumn("lines", lines).where(F.col("c") * least >= F.col("lines"))
+    return kept.groupBy("l_partkey").agg(F.array_join(F.array_sort(F.collect_list(label)), ",").alias(label))
 
 
 def entity_table(spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> DataFrame:
@@ -91,20 +99,20 @@ def entity_table(spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> Da
         df = df.join(lines, df.p_partkey == lines.l_partkey, "left").drop("l_partkey")
     if "categories" in need:
         cats = _label_text(
-            read_table(spark, sf_dir, "lineitem").where(F.col("l_tax") >= 0.08)
+            read_table(spark, sf_dir, "lineitem")
             .select("l_partkey", F.concat_ws("-", "l_returnflag", "l_linestatus").alias("categories")),
-            "categories",
+            "categories", 4,
         )
         df = df.join(cats, df.p_partkey == cats.l_partkey, "left").drop("l_partkey")
     if "genres" in need:
-        lines = read_table(spark, sf_dir, "lineitem").where(F.col("l_discount") >= 0.09)
+        lines = read_table(spark, sf_dir, "lineitem")
         orders = read_table(spark, sf_dir, "orders")
         customer = read_table(spark, sf_dir, "customer")
         seg = _label_text(
             lines.join(orders, lines.l_orderkey == orders.o_orderkey)
             .join(customer, orders.o_custkey == customer.c_custkey)
             .select("l_partkey", F.col("c_mktsegment").alias("genres")),
-            "genres",
+            "genres", 5,
         )
         df = df.join(seg, df.p_partkey == seg.l_partkey, "left").drop("l_partkey")
     if "about" in need:

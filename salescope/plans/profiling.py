@@ -26,8 +26,12 @@ def _(spark, sf):
     return E.null_profile(entity_table(spark, sf, ALL_COLUMNS))
 
 
-_AUDIT = {"entity_id": "bigint", "price": "double", "publisher_class": "string", "tags": "string",
-          "copies_sold": "bigint", "first_release": "string", "required_age": "int"}
+_TYPES = {
+    "entity_id": "bigint", "price": "double", "copies_sold": "bigint", "positive": "bigint", "negative": "bigint",
+    "required_age": "int", "windows": "boolean", "mac": "boolean", "linux": "boolean", "early_access": "boolean",
+    "dlc_count": "bigint", "achievements": "bigint", "score": "int",
+}
+_AUDIT = {c: _TYPES.get(c, "string") for c in ALL_COLUMNS}
 
 
 @query("column_audit", entity_sql(" UNION ALL ".join(
