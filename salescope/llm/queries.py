@@ -33,12 +33,51 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-@query()
+@query(r"""
+    WITH rules(verdict, h, p) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+                                         ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+    a AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
+    u AS (SELECT page_id, url, rest IS NOT NULL AS ok,
+                 coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                 coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+                 [x FOR x IN string_split(regexp_extract(rest, '\?([^#]*)', 1), '&')
+                    IF x <> '' AND NOT regexp_matches(x, '^(?:utm_[^=&]*|ref|fbclid|gclid)(?:=|$)')] AS q FROM a),
+    -- without redirects and canonical links, as in these pages, a class is what shares a plain form
+    f AS (SELECT *, regexp_replace(host, '^(?:www|m)\.', '') AS ph, regexp_replace(path, '(?:/index)?\.html?$|/+$', '') AS pp,
+                 CASE WHEN len(q) > 0 THEN '?' || array_to_string(list_sort(q), '&') ELSE '' END AS pq FROM u),
+    nodes AS (SELECT ph, pp, pq, host, path FROM f WHERE ok UNION SELECT ph, pp, pq, ph, pp FROM f WHERE ok),
+    voted AS (SELECT ph, pp, pq, host, path, arg_max(verdict, length(h || p)) AS v FROM nodes
+              JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY ALL),
+    votes AS (SELECT ph, pp, pq, min(v) AS class_verdict FROM voted GROUP BY ALL),
+    own AS (SELECT DISTINCT host, path FROM f),
+    fits AS (SELECT host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS v FROM own
+             JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY ALL)
+    SELECT page_id, f.host, f.path, rule, coalesce(v, class_verdict, 'allow') AS verdict, rule IS NULL AND class_verdict IS NOT NULL AS by_alias
+    FROM f LEFT JOIN fits ON f.host = fits.host AND f.path = fits.path
+           LEFT JOIN votes ON ok AND f.ph = votes.ph AND f.pp = votes.pp AND f.pq = votes.pq
+""")
 def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
-@query()
+@query(r"""
+    WITH RECURSIVE c AS (SELECT source, count(*) AS n FROM documents GROUP BY 1),
+    cum AS (SELECT source, CAST(floor(round(sum(sqrt(n)) OVER (ORDER BY source NULLS FIRST) / sum(sqrt(n)) OVER () * 1000, 6)) AS BIGINT) AS upto FROM c),
+    parts AS (SELECT source, upto - coalesce(lag(upto) OVER (ORDER BY source NULLS FIRST), 0) + 1 AS parts,
+                     row_number() OVER (ORDER BY source NULLS FIRST) AS i FROM cum),
+    s AS (SELECT list(parts ORDER BY i) AS a, CAST(sum(parts) AS BIGINT) AS p FROM parts),
+    sched AS (
+      SELECT CAST(0 AS BIGINT) AS t, [CAST(0 AS BIGINT) FOR x IN a] AS done, CAST(0 AS BIGINT) AS pick, a, p FROM s
+      UNION ALL
+      SELECT t + 1, [CASE WHEN i = best THEN done[i] + 1 ELSE done[i] END FOR i IN range(1, len(a) + 1)], best, a, p
+      FROM (SELECT *, list_sort([{'due': ((done[i] + 1) * p + a[i] - 1) // a[i], 'tight': CASE WHEN (done[i] + 1) * p % a[i] = 0 THEN 1 ELSE 0 END,
+                                  'gap': p // a[i], 'i': i} FOR i IN range(1, len(a) + 1) IF done[i] * p < a[i] * (t + 1) AND done[i] < a[i]])[1].i AS best
+            FROM sched WHERE t < p)),
+    turns AS (SELECT pick, t - 1 AS slot, p, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS turn FROM sched WHERE t > 0),
+    r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id) - 1 AS rank FROM documents)
+    SELECT doc_id, r.source, rank // 16 + 1 AS block, (rank // 16) // parts * p + slot AS slot, rank % 16 AS place
+    FROM r JOIN parts ON r.source IS NOT DISTINCT FROM parts.source JOIN turns ON pick = i AND turn = (rank // 16) % parts
+""")
 def op4_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
     return pfair.mix_sources(docs)
