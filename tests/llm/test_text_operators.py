@@ -35,7 +35,7 @@ def corpus(seed, n=60, length=60):
 def test_similar_components(spark, seed):
     texts = corpus(seed)
     want = brute.similar_components(list(enumerate(texts)))
-    got = count_rtree.similar_components(table(spark, texts), few=3, block=4).collect()
+    got = count_rtree.similar_components(table(spark, texts), few=3, rare=3, block=4).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
     assert len(got) == len(texts)
 
