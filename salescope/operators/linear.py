@@ -272,7 +272,8 @@ def segment_ols(data: DataFrame, names: Sequence[str], segment: str) -> tuple[Da
     every prediction. ``data`` carries ``split`` drawn inside each segment.
     """
     spark = data.sparkSession
-    values = sorted(r[0] for r in data.where(F.col(segment).isNotNull()).select(segment).distinct().collect())
+    fitted = data.where(F.col(segment).isNotNull() & (F.col("split") == "train"))  # no model without training rows
+    values = sorted(r[0] for r in fitted.select(segment).distinct().collect())
     fits = {}
     for v in values:
         train = data.where((F.col(segment) == v) & (F.col("split") == "train"))

@@ -164,8 +164,13 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def corr_with_target(df: DataFrame, columns: Sequence[str], target: str, k: int) -> DataFrame:
     """Features by absolute correlation with the target; constant ones come last."""
-    one = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"p{i}")
-                   for i, c in enumerate(columns)])
+    def corr(c: str) -> Column:
+        x, y = F.col(c).cast("double"), F.col(target).cast("double")
+        both = x.isNotNull() & y.isNotNull()
+        spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+        return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))  # a constant gives null, where corr() raises
+
+    one = df.agg(*[corr(c).alias(f"p{i}") for i, c in enumerate(columns)])
     return (
         melt_row(one, [{"feature": F.lit(c), "corr": F.nanvl(F.col(f"p{i}"), F.lit(None).cast("double"))}
                        for i, c in enumerate(columns)])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from salescope.functions import parsing as P
@@ -161,12 +163,12 @@ def _(spark, sf):
     return rounded(I.bootstrap_median_ci(_rows(spark, sf), "is_free_to_play", "log_copies_sold", 1, 0, REPS))
 
 
-_CLASS_CODES = [0, 1, 2]
+_CLASS_CODES = [-1, 0, 1, 2, 3]
 
 
 @query("bootstrap_pairwise_ci", pre_sql(
-    _REPS_SQL + "".join(_resample_sql(f"k{c}", f"publisher_class_ord = {c}", f"42:{c}") for c in _CLASS_CODES)
-    + " UNION ALL ".join(_ci_select(f"k{a}", f"k{b}", str(a), str(b)) for a, b in ((0, 1), (0, 2), (1, 2)))))
+    _REPS_SQL + "".join(_resample_sql(f"k{c + 1}", f"publisher_class_ord = {c}", f"42:{c}") for c in _CLASS_CODES)
+    + " UNION ALL ".join(_ci_select(f"k{a + 1}", f"k{b + 1}", str(a), str(b)) for a, b in combinations(_CLASS_CODES, 2))))
 def _(spark, sf):
     return rounded(I.bootstrap_pairwise_ci(
         _rows(spark, sf), "publisher_class_ord", "log_copies_sold", _CLASS_CODES, REPS))

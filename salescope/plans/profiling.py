@@ -8,7 +8,7 @@ from salescope.functions import parsing as P
 from salescope.operators import profile as E
 from salescope.operators.preprocess import parse_categories, parse_genres, preprocess
 from salescope.plans.entity import ALL_COLUMNS, entity_sql, entity_table
-from salescope.plans.registry import ENTITY, LINE_GROUPS, SEGMENT_WORDS, pre_sql, query, rounded
+from salescope.plans.registry import ENTITY, LINE_GROUPS, PRE_FEATURES, SEGMENT_WORDS, pre_sql, query, rounded
 from salescope.session import materialize
 
 _CLASSES = ["Hobbyist", "Indie", "AA", "AAA"]
@@ -130,14 +130,14 @@ def _(spark, sf):
     return rounded(E.corr_matrix(df, _CORR))
 
 
-_CORR_FEATURES = ["price", "publisher_class_ord", "positive", "negative", "tag_count", "description_length",
-                  "entity_age", "achievements", "dlc_count", "platform_count", "language_count", "developer_freq"]
+#: Every numeric column of the cleaned table but the key and the target.
+_CORR_FEATURES = PRE_FEATURES
 
 
 @query("corr_with_target", pre_sql(
     "SELECT * FROM (" + " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, round(corr(CAST({c} AS DOUBLE), log_copies_sold), 6) AS corr FROM pre"
-        for c in _CORR_FEATURES) + ") ORDER BY abs(corr) DESC, feature LIMIT 10"))
+        f"SELECT '{c}' AS feature, CASE WHEN var_pop({c}) > 0 THEN round(corr(CAST({c} AS DOUBLE), log_copies_sold), 6) END AS corr FROM pre"
+        for c in _CORR_FEATURES) + ") ORDER BY abs(round(corr, 9)) DESC NULLS LAST, feature LIMIT 10"))
 def _(spark, sf):
     df = preprocess(entity_table(spark, sf, ALL_COLUMNS), ENTITY, post_release=True)
     return rounded(E.corr_with_target(df, _CORR_FEATURES, "log_copies_sold", 10))

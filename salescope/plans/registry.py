@@ -119,6 +119,15 @@ _PRE = f""", parsed AS (
 """
 
 
+PRE_FEATURES = [
+    "release_year", "release_month", "release_quarter", "entity_age", "language_count", "estimated_owners_midpoint",
+    *("genre_" + g.lower() for g in SEGMENT_WORDS), *LINE_GROUPS, "tag_count", "total_reviews", "review_ratio",
+    "is_free_to_play", "windows", "mac", "linux", "platform_count", "description_length", "required_age",
+    "required_age_flag", "has_dlc", "early_access", "has_score", "score", "publisher_class_ord", "developer_freq",
+    "publisher_freq", "price", "positive", "negative", "dlc_count", "achievements",
+]
+
+
 def pre_sql(body: str) -> str:
     """SQL over ``pre``, the fully cleaned table (without the chosen-tag flags);
     ``flagged`` holds the same rows before the log scale."""

@@ -8,9 +8,10 @@ from salescope.operators import linear as L
 from salescope.operators import preprocess as S
 from salescope.operators import segments as G
 from salescope.operators.features import segment_split
-from salescope.plans.entity import entity_sql, entity_table
+from salescope.operators.preprocess import preprocess
+from salescope.plans.entity import ALL_COLUMNS, entity_sql, entity_table
 from salescope.plans.features import launch_bundle
-from salescope.plans.registry import ENTITY, pre_sql, query, rounded
+from salescope.plans.registry import ENTITY, PRE_FEATURES, pre_sql, query, rounded
 from salescope.session import materialize
 
 _BAND_SQL = """CASE WHEN price < 5 THEN '[0,5)' WHEN price < 20 THEN '[5,20)'
@@ -81,8 +82,11 @@ def _(spark, sf):
     return rounded(out.withColumns({c: F.round(c, 4) for c in ("mean_target", "median_target")}))
 
 
+_DESCRIBED = [c for c in PRE_FEATURES if c != "publisher_class_ord"]
+
+
 @query("cluster_top_features", pre_sql(f"""
-  , means AS ({' UNION ALL '.join(f"SELECT publisher_class_ord AS cluster, '{c}' AS feature, abs(avg({c})) AS s FROM pre GROUP BY 1" for c in _PROFILE)}),
+  , means AS ({' UNION ALL '.join(f"SELECT publisher_class_ord AS cluster, '{c}' AS feature, abs(avg(CAST({c} AS DOUBLE))) AS s FROM pre GROUP BY 1" for c in _DESCRIBED)}),
   placed AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY round(s, 9) DESC, feature) AS p FROM means),
   top AS (SELECT cluster, string_agg(feature, ', ' ORDER BY p) AS top_features FROM placed WHERE p <= 3 GROUP BY cluster)
   SELECT publisher_class_ord AS cluster, count(*) AS n, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM pre), 6) AS pct,
@@ -90,7 +94,10 @@ def _(spark, sf):
     round(stddev_samp(copies_sold), 3) AS std_target, any_value(top_features) AS top_features
   FROM pre JOIN top ON publisher_class_ord = top.cluster GROUP BY 1"""))
 def _(spark, sf):
-    out = G.cluster_top_features(_labelled(spark, sf), "cluster", "copies_sold", _PROFILE)
+    df = preprocess(entity_table(spark, sf, ALL_COLUMNS), ENTITY, post_release=True)
+    df = df.withColumnRenamed("publisher_class_ord", "cluster").select(
+        "cluster", "copies_sold", *[F.col(c).cast("double").alias(c) for c in _DESCRIBED])
+    out = G.cluster_top_features(materialize(df, "described"), "cluster", "copies_sold", _DESCRIBED)
     return rounded(out.withColumns({
         "mean_target": F.round("mean_target", 4), "median_target": F.round("median_target", 4),
         "std_target": F.round("std_target", 3)}))
@@ -99,14 +106,31 @@ def _(spark, sf):
 @query("kmeans")
 def _(spark, sf):
     bundle = launch_bundle(spark, sf, keep=["copies_sold"])
-    _, labelled, inertia = G.fit_kmeans(bundle.part("train"), k=3, n_init=3)
+    _, labelled, inertia = G.fit_kmeans(bundle.part("train"), k=3, n_init=10)
     out = G.cluster_profile(labelled, "cluster", "copies_sold", ["z_price", "z_achievements"])
     return rounded(out.withColumn("inertia", F.lit(float(inertia))), 4)
 
 
+@query("kmeans_top_features")
+def _(spark, sf):
+    """The fitted clusters, each with its strongest scaled features."""
+    bundle = launch_bundle(spark, sf, keep=["copies_sold"])
+    _, labelled, _ = G.fit_kmeans(bundle.part("train"), k=3, n_init=10)
+    scaled = [c for c in labelled.columns if c.startswith("z_")]
+    return rounded(G.cluster_top_features(labelled, "cluster", "copies_sold", scaled), 4)
+
+
+@query("segment_ols_predictions")
+def _(spark, sf):
+    """Each row's prediction by the model of its segment."""
+    bundle, data = _segment_bundle(spark, sf)
+    _, _, predicted = L.segment_ols(data, bundle.names, "class_name")
+    return rounded(predicted.select("entity_id", "class_name", "split", "y_true", "y_pred"), 4)
+
+
 @query("kmeans_elbow")
 def _(spark, sf):
-    return rounded(G.kmeans_elbow(launch_bundle(spark, sf).part("train"), range(2, 7), n_init=1), 4)
+    return rounded(G.kmeans_elbow(launch_bundle(spark, sf).part("train"), range(2, 11), n_init=10), 4)
 
 
 @query("pca_2d")
@@ -165,6 +189,6 @@ def _(spark, sf):
 @query("segment_ols_coefficients")
 def _(spark, sf):
     bundle, data = _segment_bundle(spark, sf)
-    _, coefs, _ = L.segment_ols(data.withColumn("class_code", F.col("publisher_class_ord")).where("class_code < 2"),
+    _, coefs, _ = L.segment_ols(data.withColumn("class_code", F.col("publisher_class_ord")),
                                 bundle.names, "class_code")
     return rounded(coefs, 4)

@@ -3,7 +3,8 @@
 import pytest
 from harness import compare, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from salescope.plans.catalog import QUERIES, SQL
 
 SLOW = {"rfe_cv", "rfe_fixed", "topn_refit", "step_size_sweep", "kmeans_elbow", "skew_aware_losses",
         "feature_toggle_ab", "tree_table", "gbt_early_stop"}
@@ -13,11 +14,11 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, sf, name):
-    assert compare(queries()[name](spark, sf), duck(sf), oracle_sql()[name]) is None
+    assert compare(QUERIES[name](spark, sf), duck(sf), SQL[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - SLOW))
 def test_has_rows(spark, sf, name):
-    assert queries()[name](spark, sf).count() > 0
+    assert QUERIES[name](spark, sf).count() > 0
