@@ -50,6 +50,16 @@ def test_keep_one(spark):
     assert sorted(r.doc_id for r in kept.collect()) == alone
 
 
+def test_keep_one_of_each_component_of_null_and_shared_ids(spark):
+    a, b = ([f"{x}{i}" for i in range(40)] for x in "ab")
+    near = " ".join([*b[:-1], "z"])
+    texts = [" ".join(f"u{i}w{j}" for j in range(12)) for i in range(30)]
+    rows = [(None, t) for t in texts] + [(None, texts[0]), (5, " ".join(a)), (5, " ".join(b)), (7, near), (None, near)]
+    kept = count_rtree.keep_one(table(spark, [t for _, t in rows], [i for i, _ in rows]))
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got == sorted([*((None, t) for t in texts), (5, " ".join(a)), (5, " ".join(b))], key=str)
+
+
 def test_components_with_null_ids(spark):
     docs = table(spark, ["p q r s t u"] * 2 + ["w"], [None, 4, None])
     got = sorted(((r.doc_id, r.component_id) for r in count_rtree.similar_components(docs).collect()), key=str)
