@@ -18,6 +18,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +38,15 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c", "£": "l",
 }
 SIGNS = re.escape("".join(LOOKALIKES))
-#: A token that may be disguised: a sign beside letters, a letter three times, marks between single letters.
-SUSPICIOUS = re.compile(rf"[^\W\d_][{SIGNS}]{{1,2}}[^\W\d_]|^[{SIGNS}]{{1,2}}[^\W\d_]{{2}}|[^\W\d_]{{2}}[{SIGNS}]{{1,2}}$|([^\W\d_])\1\1|[^\W_](?:[.\-_*~][^\W_]){{2}}")
-SUBSTITUTED, REPEATED, PARTED = -1.5, -0.7, -0.5
+#: A token that may be disguised: a letter and a look-alike sign, a letter twice in a row, or a mark between letters.
+SUSPICIOUS = re.compile(rf"[^\W\d_].*[{SIGNS}]|[{SIGNS}].*[^\W\d_]|([^\W\d_])\1|[^\W\d_](?:[^\w\s]|_)+[^\W\d_]", re.S)
+#: Single letters with marks between them.
+MARKED = re.compile(r"(?:[^\W_](?:[^\w\s]|_)){3}")
+NOT_LETTERS = re.compile(r"[\W\d_]+")
+SUBSTITUTED, REPEATED, PARTED, SPLIT, SPACE = -1.5, -0.7, -0.5, -3.0, -1.0
 BEGINNINGS = (4, 5, 6)
-#: Single letters in a row that are read as one spaced word.
-SPACED = 4
+#: Single letters and signs in a row that are read as spaced words.
+SPACED = 2
 
 
 def symbol(c: str) -> int:
@@ -50,18 +54,26 @@ def symbol(c: str) -> int:
     return at if 1 <= at <= 26 else OTHER
 
 
+def is_single(token: str) -> bool:
+    return len(token) == 1 and (token.isalnum() or token in LOOKALIKES)
+
+
 def restore_word(token: str, logp: np.ndarray) -> str:
     """The likeliest reading of a token; ``logp[a, b, c]`` is the log-probability of c after a, b.
 
     Each sign is read as itself if it is a letter, as a letter it looks like, or as
-    nothing if it repeats the sign before or is a mark between letters. Signs with no
-    other reading are dropped. The empty token reads as itself.
+    nothing if it repeats the sign before or is a mark between letters. Marks, and spaces
+    that spaced letters are joined with, may also end a word, so that the reading can be
+    several words with a space between. Signs with no other reading are dropped. The
+    empty token reads as itself.
     """
     states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     last = ""
     for c in token.lower():
+        gap = c == " "
         reads = [(c, 0.0)] if c.isalpha() else [(x, SUBSTITUTED) for x in LOOKALIKES.get(c, "")]
-        skip = REPEATED if c == last else PARTED if not c.isalnum() else None if reads else 0.0
+        skip = 0.0 if gap else REPEATED if c == last else PARTED if not c.isalnum() else None if reads else 0.0
+        ends = SPACE if gap else SPLIT if not c.isalnum() else None
         new: dict[tuple[int, int], tuple[float, tuple]] = {}
         for (a, b), (score, path) in states.items():
             for letter, cost in reads:
@@ -71,23 +83,25 @@ def restore_word(token: str, logp: np.ndarray) -> str:
                     new[b, s] = (got, (path, letter))
             if skip is not None and score + skip > new.get((a, b), (-math.inf,))[0]:
                 new[a, b] = (score + skip, path)
-        states, last = new, c
-    _, path = max((score + logp[a, b, 0], path) for (a, b), (score, path) in states.items())
+            if ends is not None and b and score + ends + logp[a, b, 0] > new.get((b, 0), (-math.inf,))[0]:
+                new[b, 0] = (score + ends + logp[a, b, 0], (path, " "))
+        states, last = new, last if gap else c
+    _, path = max((score + (logp[a, b, 0] if b or not path else 0.0), path) for (a, b), (score, path) in states.items())
     out = []
     while path:
         path, letter = path
         out.append(letter)
-    return "".join(reversed(out)) or token
+    return "".join(reversed(out)).strip() or token
 
 
 def restore_text(text: str, logp: np.ndarray) -> str:
     """The text with suspicious tokens, and runs of spaced single letters, restored."""
     out, run = [], []
     for token in [*text.split(" "), ""]:
-        if len(token) == 1 and token.isalnum():
+        if is_single(token):
             run.append(token)
             continue
-        out += [restore_word("".join(run), logp)] if len(run) >= SPACED else run
+        out += [restore_word(" ".join(run), logp)] if len(run) >= SPACED and any(map(str.isalpha, run)) else run
         run = []
         out.append(restore_word(token, logp) if SUSPICIOUS.search(token.lower()) else token)
     return " ".join(out[:-1])
@@ -123,15 +137,23 @@ def character_model(docs: DataFrame, text: str = "text") -> np.ndarray:
     return np.log((n + 5 * bi[None]) / (n.sum(2)[:, :, None] + 5))
 
 
+def bare(low: str) -> str:
+    return low.strip("\"'.,;:!?()[]{}<>*#%&$-_|")
+
+
+def features_of(words) -> tuple[str, ...]:
+    return tuple({x for w in words if w for x in (w, *(w[:k] + "*" for k in BEGINNINGS if len(w) > k))})
+
+
 def word_features(token: str, logp: np.ndarray, cache: dict) -> tuple[str, ...]:
-    """Features of a token: the bare word and its beginnings, as written and as restored."""
+    """Features of a token: words and their beginnings, as written, as split at what is no letter, and as restored."""
     got = cache.get(token)
     if got is None:
         low = token.lower()
-        forms = {low.strip("\"'.,;:!?()[]{}<>*#%&$-_|")}
-        if SUSPICIOUS.search(low):
-            forms.add(restore_word(low, logp))
-        got = tuple({x for w in forms if w for x in (w, *(w[:k] + "*" for k in BEGINNINGS if len(w) > k))})
+        forms = {bare(low), *(w for w in NOT_LETTERS.split(low) if len(w) > 1)}
+        if " " in low or SUSPICIOUS.search(low):
+            forms.update(restore_word(low, logp).split(" "))
+        got = features_of(forms)
         if len(cache) > 200_000:
             cache.clear()
         cache[token] = got
@@ -139,21 +161,22 @@ def word_features(token: str, logp: np.ndarray, cache: dict) -> tuple[str, ...]:
 
 
 def _tokens(batch: pa.RecordBatch):
-    """(offsets, codes, distinct tokens, extra): extra lists (row, joined letters) of spaced words."""
+    """(offsets, codes, distinct tokens, extra): extra lists (row, letters with a space between) of spaced words."""
     offsets, words = split_words(batch.column("text"))
     coded = words.dictionary_encode()
     if isinstance(coded, pa.ChunkedArray):
         coded = coded.combine_chunks()
     tokens = coded.dictionary.to_pylist()
     codes = coded.indices.to_numpy() if len(words) else np.empty(0, np.int64)
-    single = np.array([len(t) == 1 and t.isalnum() for t in tokens], bool)[codes] if len(tokens) else np.empty(0, bool)
+    single = np.array([is_single(t) for t in tokens], bool)[codes] if len(tokens) else np.empty(0, bool)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     start = single.copy()
     start[1:] &= ~single[:-1] | (row[1:] != row[:-1])
     at = np.flatnonzero(start)
     if len(at):
         sizes = np.bincount(np.cumsum(start)[single] - 1, minlength=len(at))
-        extra = [(row[a], "".join(tokens[c] for c in codes[a : a + m])) for a, m in zip(at, sizes) if m >= SPACED]
+        extra = [(row[a], " ".join(tokens[c] for c in codes[a : a + m])) for a, m in zip(at, sizes) if m >= SPACED]
+        extra = [(r, x) for r, x in extra if any(map(str.isalpha, x))]
     else:
         extra = []
     return offsets, codes, tokens, extra
@@ -165,6 +188,41 @@ class ToxicityModel:
     weights: dict[str, float] = field(default_factory=dict)
     coefficients: np.ndarray = field(default_factory=lambda: np.zeros(6))
 
+    @cached_property
+    def pieces(self) -> tuple[set[str], set[str], set[str]]:
+        """What words with a weight can be split into: first, middle and last pieces."""
+        words = [w for w in self.weights if len(w) > 3 and w.isalpha()]
+        return ({w[:k] for w in words for k in range(1, len(w))}, {w[i:k] for w in words for k in range(2, len(w)) for i in range(1, k)},
+                {w[k:] for w in words for k in range(1, len(w))})
+
+    def split_words(self, row: np.ndarray, codes: np.ndarray, tokens: list[str]) -> list[tuple[int, float]]:
+        """(row, weight) of the words with a weight that two or three tokens in a row make up."""
+        forms = [t.lower() if t.isalpha() else NOT_LETTERS.sub("", restore_word(t.lower(), self.logp)) if len(t) < 16 and SUSPICIOUS.search(t.lower()) else bare(t.lower()) for t in tokens]
+        first, middle, last = (np.array([f in known for f in forms], bool)[codes] for known in self.pieces)
+        out = []
+        for n in (2, 3):
+            if len(codes) < n:
+                break
+            fit = first[: 1 - n] & last[n - 1 :] & (row[: 1 - n] == row[n - 1 :])
+            if n == 3:
+                fit &= middle[1:-1]
+            for i in np.flatnonzero(fit).tolist():
+                w = self.weights.get("".join(forms[c] for c in codes[i : i + n]))
+                if w:
+                    out.append((int(row[i]), w))
+        return out
+
+    def inside(self, spaced: str) -> float:
+        """The largest weight of a word of four letters or more in letters whose word ends are not told."""
+        best = 0.0
+        for x in {restore_word(spaced, self.logp).replace(" ", ""), NOT_LETTERS.sub("", spaced.lower())}:
+            for i in range(len(x) - 3):
+                k = i + 1
+                while k <= len(x) and (k == len(x) or x[i:k] in self.pieces[0]):
+                    k += 1
+                best = max([best, *(self.weights.get(x[i:e], 0.0) for e in range(i + 4, min(k, len(x)) + 1))])
+        return best
+
     def sums(self, batch: pa.RecordBatch, cache: dict) -> np.ndarray:
         """Per text: 1, number of hits, their sum, the largest, hits per word, log of the words."""
         offsets, codes, tokens, extra = _tokens(batch)
@@ -172,15 +230,20 @@ class ToxicityModel:
         w = np.zeros(len(tokens) + 1)
         for i, t in enumerate(tokens):
             w[i] = max((self.weights.get(x, 0.0) for x in word_features(t, self.logp, cache)), default=0.0)
+            if MARKED.search(t):
+                w[i] = max(w[i], self.inside(t))
         size = np.diff(offsets)
         row = np.repeat(np.arange(n), size)
         value = w[codes] if len(codes) else np.empty(0)
         hit = value > 0
         row, value = row[hit], value[hit]
-        for r, joined in extra:
-            v = max(self.weights.get(x, 0.0) for f in (joined.lower(), restore_word(joined, self.logp)) for x in (f, *(f[:k] + "*" for k in BEGINNINGS if len(f) > k)))
-            if v > 0:
-                row, value = np.append(row, r), np.append(value, v)
+        more = self.split_words(np.repeat(np.arange(n), size), codes, tokens) if len(tokens) else []
+        for r, spaced in extra:
+            v = max((self.weights.get(f, 0.0) for f in word_features(spaced, self.logp, cache)), default=0.0)
+            v = max(v, self.inside(spaced))
+            more += [(int(r), v)] if v > 0 else []
+        row = np.concatenate([row, np.array([r for r, _ in more], np.int64)])
+        value = np.concatenate([value, np.array([v for _, v in more], float)])
         hits = np.bincount(row, minlength=n).astype(float)
         total = np.bincount(row, weights=value, minlength=n)
         most = np.zeros(n)
@@ -212,8 +275,8 @@ def _count_features(logp):
                 offsets, codes, tokens, extra = _tokens(batch)
                 seen: tuple[Counter, Counter] = (Counter(), Counter())
                 more: dict[int, set] = {}
-                for r, joined in extra:
-                    more.setdefault(int(r), set()).update(word_features(restore_word(joined, logp.value), logp.value, cache))
+                for r, spaced in extra:
+                    more.setdefault(int(r), set()).update(word_features(spaced, logp.value, cache))
                 for i, y in enumerate(batch.column("y").to_pylist()):
                     own = {x for c in np.unique(codes[offsets[i] : offsets[i + 1]]) for x in word_features(tokens[c], logp.value, cache)}
                     seen[y].update(own | more.get(i, set()))

@@ -7,6 +7,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,6 +213,21 @@ def test_restores_disguised_words(model):
     assert toxicity.restore_word("", model.logp) == ""
 
 
+def test_decodes_the_whole_channel(model):
+    for seen, word in [("l053r", "loser"), ("1053r", "loser"), ("1d107", "idiot"), ("stuupid", "stupid"), ("ssttuuppiidd", "stupid"),
+                       ("id-iot", "idiot"), ("st.upid", "stupid"), ("i,d,i,o,t", "idiot"), ("you-stupid", "stupid")]:
+        assert word in toxicity.word_features(seen, model.logp, {}), seen
+    assert "loser" in toxicity.restore_text("a l o s e r he", model.logp).split(" ")
+
+    def hits(text):
+        return model.sums(pa.record_batch([pa.array([text])], names=["text"]), {})[0, 3]
+
+    assert "stupid" in model.weights
+    for text in ("you stu pid", "you s t u p i d", "a s t u p i d he", "s tup id", "y o u a r e s t u p i d", "a.s.t.u.p.i.d"):
+        assert hits(text) >= model.weights["stupid"], text
+    assert hits("1 2 3") == 0
+
+
 def test_held_out_accuracy(spark, sf, model):
     docs = spark.read.parquet(f"{sf}/../sf0.01/documents.parquet")
     labels = spark.read.parquet(f"{sf}/../sf0.01/labels.parquet").filter(toxicity.held_out(F.col("doc_id")))
