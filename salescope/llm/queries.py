@@ -144,7 +144,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM word LEFT JOIN gone ON word.doc_id = gone.doc_id AND word.p = gone.p GROUP BY 1) k USING (doc_id)
 """)
 def op10_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_groups.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
+    found = suffix_groups.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", sha256(F.col("kept")).alias("kept_sha256"))
 
 
 @query()

@@ -19,7 +19,6 @@ a map-side combine. No group holds more than ``group_rows`` rows and no text is
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,23 +76,21 @@ def _find(window: int, prefix: int):
     return find
 
 
-def _digests(offsets: np.ndarray, words: pa.Array) -> list[str]:
-    """SHA-256 of each text's words, joined by one space without a Python object per word."""
-    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), words), pa.scalar(" ", words.type)).cast(pa.large_binary())
-    return [hashlib.sha256(x.as_buffer()).hexdigest() for x in joined]
+def _texts(offsets: np.ndarray, words: pa.Array) -> pa.Array:
+    """Each text's words, joined by one space without a Python object per word."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), words), pa.scalar(" ", words.type)).cast(pa.string())
 
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows without shared grams are done; the others keep their text and get no digest."""
+    """The number of words of each text; rows without shared grams keep all of them."""
     for whole in batches:
         for batch in slices(whole, "text"):
             offsets, words = split_words(batch.column("text"))
-            done = batch.column("anchors").is_null().to_numpy(zero_copy_only=False)
-            digests = [x if d else None for x, d in zip(_digests(offsets, words), done)]
-            text = pc.if_else(pa.array(done), pa.scalar(None, batch.column("text").type), batch.column("text"))
+            done = batch.column("anchors").is_null()
+            text = pc.if_else(done, _texts(offsets, words), batch.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("th"), pa.array(np.diff(offsets)), pa.array(digests, pa.string()), text, batch.column("anchors")],
-                names=["doc_id", "th", "n_words", "kept_sha256", "text", "anchors"])
+                [batch.column("doc_id"), batch.column("th"), pa.array(np.diff(offsets)), text, batch.column("anchors")],
+                names=["doc_id", "th", "n_words", "text", "anchors"])
 
 
 def _contexts(window: int, group_rows: int, hot: bool):
@@ -218,6 +215,7 @@ def _trees(window: int):
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
     for whole in batches:
         for batch in slices(whole, "text"):
             offsets, words = split_words(batch.column("text"))
@@ -229,23 +227,39 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept = np.cumsum(edge[:-1]) == 0
             upto = np.concatenate([[0], np.cumsum(kept)])[offsets]
             gone = np.diff(offsets) - np.diff(upto)
-            digests = _digests(upto, words.filter(pa.array(kept)))
+            text = _texts(upto, words.filter(pa.array(kept)))
+            first = ~kept & np.insert(kept[:-1], 0, True)[: len(kept)]
+            last = ~kept & np.append(kept[1:], True)[: len(kept)]
+            at = offsets[:-1][offsets[:-1] < len(kept)]
+            first[at] = ~kept[at]  # a removed run ends with its text
+            at = offsets[1:][offsets[1:] > 0] - 1
+            last[at] = ~kept[at]
+            start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+            owner, _ = places(offsets)
+            own = owner[start]
+            lists = pa.StructArray.from_arrays([pa.array(start - offsets[own]), pa.array(end - offsets[own])], names=["s", "e"])
+            removed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(own, minlength=batch.num_rows))]), pa.int32()), lists)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("n_words"), pa.array(gone, pa.int64()), pa.array(digests, pa.string())],
-                names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+                [batch.column("doc_id"), batch.column("n_words"), pa.array(gone, pa.int64()), text, removed.cast(kind)],
+                names=["doc_id", "n_words", "n_removed", "kept", "removed"])
 
 
 def remove_repeats(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = 35, prefix: int = 12, group_rows: int = 256,
 ) -> DataFrame:
-    """One row per row of ``docs``: (doc_id, n_words, n_removed, kept_sha256).
+    """One row per row of ``docs``: (doc_id, n_words, n_removed, kept, removed, kept_sha256).
 
     Words are runs without ASCII whitespace, taken unchanged. A word goes when a window
-    over it also starts anywhere else, be it in its own text; ``kept_sha256`` is of the
-    kept words joined by one space. Null texts have no words, texts shorter than a window
+    over it also starts anywhere else, be it in its own text; ``kept`` is the kept words
+    joined by one space, ``kept_sha256`` is its digest, and ``removed`` lists the removed
+    runs of words in order as (s, e), the first word's place and that after the last.
+    The digest costs nothing where the column isn't asked for. A ``window`` less ``prefix``
+    of 255 or more raises. Null texts have no words, texts shorter than a window
     keep all. Rows with the same id are told apart by a 64-bit text hash; rows alike in
     both repeat each other. A null id is a value like any other. Other columns are ignored.
     """
+    if not 0 < prefix <= window or window - prefix + 1 >= _RUN:
+        raise ValueError(f"window - prefix must be 0 to {_RUN - 2}")
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
     anchors = base.mapInArrow(_find(window, prefix), "h long, doc_id long, th long, pos long")
     shared = anchors.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
@@ -254,8 +268,9 @@ def remove_repeats(
     kept = materialize(kept, "suffixes").select(F.col("doc_id").alias("_i"), F.col("th").alias("_h"), "anchors")
     rows = base.join(kept, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("th") == F.col("_h")), "left").select("doc_id", "th", "text", "anchors")
     kinds = "anchors array<struct<h: bigint, n: bigint, pos: bigint>>"
-    rows = materialize(rows.mapInArrow(_split, f"doc_id long, th long, n_words long, kept_sha256 string, text string, {kinds}"), "split")
-    done = rows.filter("anchors is null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256")
+    rows = materialize(rows.mapInArrow(_split, f"doc_id long, th long, n_words long, text string, {kinds}"), "split")
+    done = rows.filter("anchors is null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("text").alias("kept"),
+                                                F.array().cast("array<struct<s: bigint, e: bigint>>").alias("removed"))
     open_ = rows.filter("anchors is not null").select("doc_id", "th", "n_words", "text", "anchors")
 
     source = open_.select("doc_id", "th", "text", "anchors")
@@ -267,5 +282,6 @@ def remove_repeats(
     spans = spans.union(long_).groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     spans = materialize(spans, "spans").select(F.col("doc_id").alias("_i"), F.col("th").alias("_h"), "spans")
     open_ = open_.drop("anchors").join(spans, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("th") == F.col("_h")), "left")
-    removed = open_.select("doc_id", "n_words", "text", "spans").mapInArrow(_remove, "doc_id long, n_words long, n_removed long, kept_sha256 string")
-    return done.union(removed)
+    kinds = "doc_id long, n_words long, n_removed long, kept string, removed array<struct<s: bigint, e: bigint>>"
+    removed = open_.select("doc_id", "n_words", "text", "spans").mapInArrow(_remove, kinds)
+    return done.union(removed).withColumn("kept_sha256", F.sha2(F.col("kept").cast("binary"), 256))

@@ -77,6 +77,18 @@ def test_remove_repeats(spark, seed, group_rows):
     assert got == {i: (n, n - len(k), hashlib.sha256(" ".join(k).encode()).hexdigest()) for i, (n, k) in enumerate(want)}
 
 
+def test_remove_repeats_gives_texts_and_spans(spark):
+    texts = [*corpus(3, 12), "k l m n o p q r s t u v w", "x k l m n o p q r s t u v w", " ".join(["y"] * 30)]
+    want = brute.remove_repeats(texts, 12)
+    for r in suffix_groups.remove_repeats(table(spark, texts), window=12, prefix=4).collect():
+        n, kept = want[r.doc_id]
+        assert r.kept == " ".join(kept)
+        gone = [i for s, e in r.removed for i in range(s, e)]
+        assert len(gone) == n - len(kept) and [w for i, w in enumerate((texts[r.doc_id] or "").split()) if i not in gone] == kept
+    with pytest.raises(ValueError):
+        suffix_groups.remove_repeats(table(spark, texts), window=300, prefix=12)
+
+
 def test_repeated_rows_repeat_each_other(spark):
     docs = table(spark, ["k l m n o p q"] * 2 + ["k l m n"], [5, 5, None])
     got = sorted((r.n_words, r.n_removed) for r in suffix_groups.remove_repeats(docs, window=5, prefix=2).collect())
