@@ -3,8 +3,10 @@
 Three patterns give the base findings: assignments, access key ids and hex runs. On
 top, base64 and hex runs are decoded and parsed, and are reported when their structure
 holds: DER key encodings whose nested lengths add up, key blobs made of length-prefixed
-fields, and signed tokens whose header is a JSON object that names an algorithm. PEM
-bodies are joined over their lines before they are parsed. Whole texts are scanned, row
+fields, and signed tokens whose header is a JSON object that names an algorithm. Base64
+and PEM bodies are joined over real and escaped line ends before they are parsed; a DER
+encoding in a run is as long as its own header says, so that what stands before or after
+it in the run does no harm. Whole texts are scanned, row
 by row, in Arrow batches; no row needs another.
 """
 
@@ -32,7 +34,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 JOINED = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}={0,2}")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{10,}+)\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]*)")
+ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{32,}")
+BREAK = r"(?:(?:\\{1,2}r)?\\{1,2}n|\r?\n)[\x20\t]*"
+#: A base64 run that may go on over line ends; places in a run where an encoding may begin.
+WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{24,}}+(?:{BREAK}[A-Za-z0-9+/_-]++)*={{0,2}}")
+BEGIN = re.compile(r"(?:(?<![A-Za-z0-9])|(?<=\\n))(?:M|AAAA|b3Bl)")
+CHARS = re.compile(rf"{BREAK}|([A-Za-z0-9+/_-]+)")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----((?:[^-]|-(?!----))++)-----END \1-----")
 BLOB_NAMES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-")
 
 
@@ -94,6 +103,52 @@ def is_token(header: str, payload: str) -> bool:
         return False
 
 
+def der_size(data: bytes) -> int:
+    """The size of the encoding that begins ``data``, by its header; 0 if it has none."""
+    if len(data) < 6 or data[0] != 0x30:
+        return 0
+    n = data[1] & 0x7F if data[1] & 0x80 else 0
+    return 0 if n > 4 or data[1] == 0x80 else 2 + n + (int.from_bytes(data[2 : 2 + n], "big") if n else data[1])
+
+
+def encodings(text: str, start: int, end: int) -> Iterator[tuple[int, str, int]]:
+    """(start, kind, end) of the structures in a base64 run with or without line ends."""
+    after = start
+    for m in BEGIN.finditer(text, start, end):
+        if m.start() < after:
+            continue
+        parts = [(c.start(1), c[1]) for c in CHARS.finditer(text, m.start(), min(end, m.start() + 64)) if c[1]]
+        head = decode_base64("".join(x for _, x in parts)[:20]) or b""
+        size = der_size(head)
+        if m[0] != "M" and not head[4:].startswith(BLOB_NAMES) and not head.startswith(b"openssh-key-v1\0"):
+            continue
+        if m[0] == "M" and (size < 16 or size > (end - m.start()) * 3 // 4 + 2):
+            continue
+        parts = [(c.start(1), c[1]) for c in CHARS.finditer(text, m.start(), end) if c[1]]
+        run = "".join(x for _, x in parts)
+        need = -(-size * 4 // 3) if m[0] == "M" else len(run)
+        kind = structure_of(decode_base64(run[:need]))
+        if kind is None:
+            continue
+        for at, x in parts:
+            if need <= len(x):
+                break
+            need -= len(x)
+        after = at + need
+        after += len(text[after : after + 2]) - len(text[after : after + 2].lstrip("="))
+        yield m.start(), kind, after
+
+
+def pem_holds(body: str) -> bool:
+    """Whether a PEM body, header lines and string quotes aside, parses or is enciphered as it says."""
+    lines = re.split(r"(?:\\{1,2}r)?\\{1,2}n|[\r\n]+", body)
+    plain = [re.sub(r"^[\s\"']+|[\s\"']*[+.,;]?\s*$" if quoted else r"\s+", "", x) for x in lines
+             for quoted in (("\"" in x or "'" in x),) if ":" not in x]
+    data = decode_base64("".join("".join(plain).split()))
+    enciphered = "DEK-Info:" in body and "ENCRYPTED" in body
+    return structure_of(data) is not None or (enciphered and data is not None and len(data) >= 16 and len(data) % 8 == 0)
+
+
 def structure_of(data: bytes | None) -> str | None:
     if data is None:
         return None
@@ -114,8 +169,23 @@ def secret_spans(text: str | None) -> tuple[list[tuple[int, int, int]], list[tup
     for m in BASE64.finditer(text):
         if kind := structure_of(decode_base64(m[0])):
             added.append((m.start(), KINDS.index(kind), m.end()))
+    for m in TOKEN.finditer(text):
+        starts = [0, *(i.end() for i in re.finditer(r"[-_](?=e)", m[1]))]
+        if (at := next((i for i in starts if is_token(m[1][i:], m[2])), None)) is not None:
+            added.append((m.start() + at, 3, m.end()))
+    for m in ANY_HEX.finditer(text):
+        for i in (i.start() for i in re.finditer("(?=30)|^(?=0000)", m[0])):
+            size = der_size(bytes.fromhex(m[0][i : i + 12])) if len(m[0]) >= i + 12 else 0
+            if 16 <= size and i + 2 * size <= len(m[0]) and is_der(bytes.fromhex(m[0][i : i + 2 * size])):
+                added.append((m.start() + i, KINDS.index("der"), m.start() + i + 2 * size))
+                break
+        else:
+            if len(m[0]) % 2 == 0 and is_blob(bytes.fromhex(m[0])):
+                added.append((m.start(), KINDS.index("blob"), m.end()))
+    for m in WRAPPED.finditer(text):
+        added += [(s, KINDS.index(kind), e) for s, kind, e in encodings(text, m.start(), m.end())]
     for m in PEM.finditer(text) if "-----BEGIN" in text else ():
-        if structure_of(decode_base64("".join(m[2].split()))):
+        if pem_holds(m[2]):
             added.append((m.start(), 6, m.end()))
     return sorted(base), sorted(set(added))
 

@@ -131,6 +131,34 @@ def test_secrets(spark):
     assert got == [(0, 0, 0, "", "")] * 3 + [(1, 0, 0, "assign:0:50007", "assign:0:50007")]
 
 
+def test_secrets_in_other_dress():
+    key = der((2, b"\1"), (2, bytes(range(1, 60))), (4, bytes(range(40))))
+    b64 = base64.b64encode(key).decode()
+    lines = [b64[i : i + 64] for i in range(0, len(b64), 64)]
+
+    def kinds(text):
+        return {secret_scan.KINDS[k] for _, k, _ in secret_scan.secret_spans(text)[1]}
+
+    for end in ("\n", "\r\n", "\\n", "\\\\n", "\n    "):
+        pem = end.join(["-----BEGIN PRIVATE KEY-----", *lines, "-----END PRIVATE KEY-----"])
+        assert "pem" in kinds('{"private_key": "' + pem + '"}'), repr(end)
+        assert "der" in kinds(f"key: {end.join(lines)} end"), repr(end)
+    code = '-----BEGIN RSA PRIVATE KEY-----\\n" +\n' + "".join(f'  "{x}\\n" +\n' for x in lines) + '  "-----END RSA PRIVATE KEY-----'
+    assert "pem" in kinds(code)
+    secret = base64.b64encode(bytes(range(64))).decode()
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n"
+    assert "pem" in kinds(f"-----BEGIN RSA PRIVATE KEY-----\n{head}{secret}\n-----END RSA PRIVATE KEY-----")
+    assert "pem" not in kinds(f"-----BEGIN RSA PRIVATE KEY-----\n{secret}\n-----END RSA PRIVATE KEY-----")
+    for text in (key.hex().upper(), key.hex()[:40] + key.hex()[40:].upper(), "key_" + b64, "id-" + b64,
+                 "key_" + base64.urlsafe_b64encode(key).decode(), b64.rstrip("=") + "\nSincerely"):
+        assert "der" in kinds(text), text
+    header = base64.urlsafe_b64encode(b'{ "alg": "HS256"}').decode().rstrip("=")
+    assert kinds(f"{header}.e30.c2ln") == kinds(f"id-{header}.e30.c2ln") == {"token"}
+    spaced = base64.urlsafe_b64encode(b'\n {"alg": "HS256"}').decode().rstrip("=")
+    assert kinds(f"{spaced}.e30.c2ln") == {"token"}
+    assert kinds("www.example.com 0123456789.abc.def " + "M" * 99 + " " + "30" * 80) == set()
+
+
 def cheapest(roles):
     """The least (cost, turns), by trying every way."""
     best = (math.inf, math.inf)
