@@ -6,7 +6,8 @@ dealt earliest deadline first among the released blocks. Ties go to the block th
 leaves its successor the least room (a deadline that overlaps the next release),
 then to the smaller remaining interval, then to the source in name order. At every
 slot the number of blocks a source has had differs from w times the slot number by
-less than one block.
+less than one block. This w is the source's whole parts over the slots of the cycle, not
+the target weight, from which the mix drifts with every cycle.
 
 Weights are whole parts of a cycle, so the schedule repeats: one cycle is computed
 once, by a fold over its slots on one row (work and size are set by the parameter
