@@ -195,9 +195,16 @@ class ToxicityModel:
         return ({w[:k] for w in words for k in range(1, len(w))}, {w[i:k] for w in words for k in range(2, len(w)) for i in range(1, k)},
                 {w[k:] for w in words for k in range(1, len(w))})
 
-    def split_words(self, row: np.ndarray, codes: np.ndarray, tokens: list[str]) -> list[tuple[int, float]]:
+    def split_words(self, row: np.ndarray, codes: np.ndarray, tokens: list[str], cache: dict) -> list[tuple[int, float]]:
         """(row, weight) of the words with a weight that two or three tokens in a row make up."""
-        forms = [t.lower() if t.isalpha() else NOT_LETTERS.sub("", restore_word(t.lower(), self.logp)) if len(t) < 16 and SUSPICIOUS.search(t.lower()) else bare(t.lower()) for t in tokens]
+        forms = []
+        for t in tokens:
+            f = t.lower() if t.isalpha() else cache.get((t,))
+            if f is None:
+                low = t.lower()
+                f = NOT_LETTERS.sub("", restore_word(low, self.logp)) if len(t) < 16 and SUSPICIOUS.search(low) else bare(low)
+                cache[(t,)] = f
+            forms.append(f)
         first, middle, last = (np.array([f in known for f in forms], bool)[codes] for known in self.pieces)
         out = []
         for n in (2, 3):
@@ -237,7 +244,7 @@ class ToxicityModel:
         value = w[codes] if len(codes) else np.empty(0)
         hit = value > 0
         row, value = row[hit], value[hit]
-        more = self.split_words(np.repeat(np.arange(n), size), codes, tokens) if len(tokens) else []
+        more = self.split_words(np.repeat(np.arange(n), size), codes, tokens, cache) if len(tokens) else []
         for r, spaced in extra:
             v = max((self.weights.get(f, 0.0) for f in word_features(spaced, self.logp, cache)), default=0.0)
             v = max(v, self.inside(spaced))
