@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import count_rtree, cover_tree, line_dedup, pfair, role_repair, secret_scan, suffix_groups, toxicity, url_rules, winnowing
+from salescope.llm import (
+    count_rtree, cover_tree, fim, line_dedup, pfair, pivot_kmeans, quality_rules, role_repair, secret_scan, suffix_groups,
+    toxicity, url_rules, winnowing,
+)
 from salescope.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +181,105 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return role_repair.repair_roles(read_table(spark, sf_dir, "conversations"))
+
+
+def _quality_sql(max_false_rejection: float = 0.05, error: float = 0.05) -> str:
+    """The base statistics, the ladder of rules and the certified level of each language in SQL."""
+    broken = {
+        level: " OR ".join(
+            f"100 * {counted} {'>' if side == 'above' else '<'} {cutoffs[level - 1]} * {per}"
+            for counted, per, side, cutoffs in quality_rules.RULES.values())
+        for level in range(1, quality_rules.n_levels() + 1)
+    }
+    ladder = " ".join(f"WHEN {b} THEN {level}" for level, b in broken.items())
+    levels = ", ".join(str(level) for level in broken)
+    return rf"""
+    WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    l AS (SELECT doc_id, x, x IS NOT NULL AND regexp_matches(x, '[^\x20\x09-\x0D]') AS ok FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d)),
+    lines AS (SELECT doc_id, count(*) AS n_word_lines, count(*) - count(DISTINCT x) AS n_dup_lines FROM l WHERE ok GROUP BY 1),
+    win AS (SELECT doc_id, i, sha256(array_to_string(w[i + 1 : i + 8], ' ')) AS g
+            FROM (SELECT doc_id, w, unnest(range(len(w) - 7)) AS i FROM d WHERE len(w) >= 8)),
+    rep AS (SELECT doc_id, unnest(list(i)) AS i FROM win GROUP BY doc_id, g HAVING count(*) > 1),
+    covered AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM rep) GROUP BY 1),
+    m AS (SELECT doc_id, lang, len(w) AS n_words, CAST(coalesce(list_sum([length(x) FOR x IN w]), 0) AS BIGINT) AS word_chars,
+                 len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+                 coalesce(n_repeat_words, 0) AS n_repeat_words, len([x FOR x IN w IF NOT regexp_matches(x, '[^\x00-\x40\x5B-\x60\x7B-\x7F]')]) AS n_plain_words,
+                 len(regexp_extract_all(t, '[A-Z]')) AS n_capitals, len(regexp_extract_all(t, '[A-Za-z]')) AS n_letters,
+                 len(list_distinct(w)) AS n_distinct_words, coalesce(n_word_lines, 0) AS n_word_lines
+          FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+    s AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, CASE {ladder} END AS level FROM m),
+    good AS (SELECT doc_id FROM labels GROUP BY 1 HAVING min(quality) = 1 AND max(quality) = 1),
+    trials AS (SELECT lang, level FROM s WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)),
+    n AS (SELECT lang, count(*) AS n, count(*) OVER () AS strata FROM trials GROUP BY 1),
+    k AS (SELECT n.lang, n, strata, step, (SELECT count(*) FROM trials WHERE trials.lang IS NOT DISTINCT FROM n.lang AND level <= step) AS k
+          FROM n, (SELECT unnest([{levels}]) AS step)),
+    tail AS (SELECT lang, step, strata, CASE WHEN k >= n THEN 1.0 ELSE list_sum([exp(lgamma(n + 1.0) - lgamma(i + 1.0) - lgamma(n - i + 1.0)
+                    + i * ln({max_false_rejection}) + (n - i) * ln(1 - {max_false_rejection})) FOR i IN range(0, k + 1)]) END AS p FROM k),
+    c AS (SELECT lang, coalesce(min(CASE WHEN p > {error} / strata THEN step END) - 1, {max(broken)}) AS certified FROM tail GROUP BY 1)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND NOT coalesce(level <= certified, FALSE) AS kept
+    FROM s LEFT JOIN c ON s.lang IS NOT DISTINCT FROM c.lang
+    """
+
+
+@query(_quality_sql())
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _kmeans_sql(k: int = 40, rounds: int = 5) -> str:
+    """Each round as a pair of CTEs over exact integers held in doubles and sums in HUGEINT."""
+
+    def assigned(step: int) -> str:
+        return f"""a{step} AS (SELECT vec_id, v, c, d FROM (
+            SELECT vec_id, v, c, CAST(list_dot_product(v, v) - 2 * list_dot_product(v, m) + list_dot_product(m, m) AS BIGINT) AS d,
+                   row_number() OVER (PARTITION BY vec_id ORDER BY CAST(list_dot_product(v, v) - 2 * list_dot_product(v, m) + list_dot_product(m, m) AS BIGINT), c) AS r
+            FROM e, c{step}) WHERE r = 1)"""
+
+    steps = [f"c0 AS (SELECT row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR))) - 1 AS c, v AS m FROM e ORDER BY c LIMIT {k})"]
+    for step in range(rounds):
+        steps.append(assigned(step))
+        steps.append(f"""c{step + 1} AS (SELECT c{step}.c, coalesce(n.m, c{step}.m) AS m FROM c{step} LEFT JOIN (
+            SELECT c, list(floor(s / n) ORDER BY j) AS m FROM (
+                SELECT c, j, CAST(sum(x) AS DOUBLE) AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS j FROM a{step}) GROUP BY c, j) GROUP BY c) n
+            ON n.c = c{step}.c)""")
+    steps.append(assigned(rounds))
+    return f"""
+    WITH e AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+               WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    {', '.join(steps)}
+    SELECT vec_id, CAST(a{rounds}.c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a{rounds}.c) AS BIGINT) AS cluster_inertia,
+           CAST(sum(d) OVER () AS BIGINT) AS inertia,
+           sha256(array_to_string([CAST(CAST(x AS BIGINT) AS VARCHAR) FOR x IN m], ',')) AS centroid_sha256
+    FROM a{rounds} JOIN c{rounds} ON a{rounds}.c = c{rounds}.c
+    """
+
+
+@query(_kmeans_sql())
+def op12_pivot_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = F.sha2(F.concat(F.lit("2:"), F.col("id").cast("string")).cast("binary"), 256)
+    found = pivot_kmeans.with_inertia(pivot_kmeans.cluster(read_table(spark, sf_dir, "embeddings"), order))
+    digest = sha256(F.array_join(F.transform("centroid", lambda x: x.cast("string")), ","))
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+@query(r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+                      sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+    g AS (SELECT *, len(u) AS n, [CAST('0x' || substr(h, i, 8) AS BIGINT) FOR i IN [1, 9, 17, 25]] AS r FROM d),
+    c AS (SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS lo, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS hi,
+                 CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 100 THEN 'plain'
+                      WHEN r[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM g),
+    p AS (SELECT *, array_to_string(u[1 : lo], '') AS pre, array_to_string(u[lo + 1 : hi], '') AS mid, array_to_string(u[hi + 1 :], '') AS suf FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                            ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM p
+""")
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fim.transform(read_table(spark, sf_dir, "documents"))
+    restored = fim.restore(F.col("output"), F.col("form"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", sha256(F.col("output")).alias("output_sha256"),
+        sha256(restored).alias("restored_sha256"))
