@@ -1,9 +1,10 @@
 """Linear models and principal components from one distributed moment pass.
 
-Spark aggregates the means and the correlation matrix of the features and the
-label (tree-aggregated, nothing but p x p numbers reaches the driver). OLS, ridge,
-PCA and PCA + ridge for every component count then follow from that matrix, and
-predicting is a plain column expression.
+Spark sums the centred cross products of the features and the label over Arrow
+batches (nothing but p x p numbers reaches the driver). OLS, ridge, lasso, PCA and
+PCA + ridge for every component count then follow from that matrix, and predicting is
+a plain column expression. Models per segment take the moments of all segments in the
+same single pass and are solved on the executors, so the number of segments is free.
 """
 
 from __future__ import annotations
@@ -12,9 +13,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
-from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +20,9 @@ from salescope.functions.parsing import slug
 from salescope.functions.student import t_quantile, two_sided_p
 from salescope.operators.evaluate import dual_scale_metrics, split_summary
 from salescope.operators.features import FeatureBundle
+from salescope.operators.gram import PairMoments, group_moments, per_group, whole_moments
 from salescope.operators.order_stats import null_safe
+from salescope.session import materialize
 
 
 @dataclass(frozen=True)
@@ -38,17 +38,23 @@ class Moments:
     syy: float
 
 
+def _moments(names: Sequence[str], m: PairMoments) -> Moments:
+    """The features' part and the label's part, the label being the last column."""
+    p = len(names)
+    return Moments(list(names), int(m.n[p, p]), np.diag(m.mean)[:p], float(m.mean[p, p]), m.cross[:p, :p], m.cross[:p, p],
+                   float(m.cross[p, p]))
+
+
 def moments(df: DataFrame, names: Sequence[str], label: str = "label", prefix: str = "z_") -> Moments:
+    """Moments of a table without gaps; no rows, or a null or NaN in a feature or the label, raise."""
     columns = [prefix + n for n in names] + [label]
-    vectors = VectorAssembler(inputCols=columns, outputCol="__v").transform(df.select(*columns)).select("__v")
-    row = vectors.select(Summarizer.metrics("count", "mean", "variance").summary(F.col("__v")).alias("s")).first().s
-    corr = np.nan_to_num(Correlation.corr(vectors, "__v").first()[0].toArray())
-    np.fill_diagonal(corr, 1.0)
-    sd = np.sqrt(row["variance"].toArray())
-    cross = corr * np.outer(sd, sd) * (row["count"] - 1)
-    mean, p = row["mean"].toArray(), len(names)
-    return Moments(list(names), int(row["count"]), mean[:p], float(mean[p]), cross[:p, :p], cross[:p, p],
-                   float(cross[p, p]))
+    m = whole_moments(df, columns)
+    if not m.n.any():
+        raise ValueError("no rows to fit on")
+    if not m.complete:
+        have = np.diag(m.n)
+        raise ValueError(f"null or NaN in {[c for c, n in zip(columns, have) if n < have.max()] or columns}")
+    return _moments(names, m)
 
 
 @dataclass(frozen=True)
@@ -78,12 +84,56 @@ def ridge(m: Moments, alpha: float = 1.0) -> LinearFit:
     return _fit(m, np.linalg.solve(m.sxx + alpha * np.eye(len(m.names)), m.sxy))
 
 
+def _soft(x: float, by: float) -> float:
+    return float(np.sign(x)) * max(abs(x) - by, 0.0)
+
+
+def lasso_path(m: Moments, alphas: Sequence[float], tol: float = 1e-13, sweeps: int = 100_000) -> list[LinearFit]:
+    """Lasso fits along ``alphas``, each started from the one before.
+
+    Coordinate descent with covariance updates: the gradient of all coefficients is kept
+    and moved by one column of the moment matrix per changed coefficient, so no step
+    touches a row. Sweeps run over the nonzero coefficients until they settle, then over
+    all of them, and end when a whole sweep changes nothing more than ``tol``.
+    """
+    gram, target = m.sxx / m.n, m.sxy / m.n
+    diag = np.diag(gram)
+    w, gradient = np.zeros(len(m.names)), target.copy()
+    scale = tol * max(np.sqrt(m.syy / m.n), 1e-300)
+    usable = [j for j in range(len(w)) if diag[j] > 0.0]
+    fits = []
+    for alpha in alphas:
+        active = usable
+        for _ in range(sweeps):
+            moved = 0.0
+            for j in active:
+                new = _soft(gradient[j] + diag[j] * w[j], alpha) / diag[j]
+                if new != w[j]:
+                    step = new - w[j]
+                    gradient -= gram[:, j] * step
+                    w[j] = new
+                    moved = max(moved, abs(step) * np.sqrt(diag[j]))
+            if moved <= scale:
+                if active is usable:
+                    break
+                active = usable
+            else:
+                active = [j for j in usable if w[j] != 0.0] or usable
+        gradient = target - gram @ w  # the next fit starts without the rounding of this one
+        fits.append(_fit(m, w.copy()))
+    return fits
+
+
+def lasso_of(m: Moments, alpha: float, steps: int = 20) -> LinearFit:
+    """The fit at ``alpha``, reached from the least penalty that zeroes every coefficient."""
+    top = float(np.abs(m.sxy / m.n).max(initial=0.0))
+    path = np.geomspace(top, alpha, steps)[1:-1].tolist() if 0.0 < alpha < top else []
+    return lasso_path(m, [*path, alpha])[-1]
+
+
 def lasso(bundle: FeatureBundle, alpha: float = 0.01) -> LinearFit:
-    """Penalty ``alpha * |w|_1`` on half the mean squared error."""
-    model = LinearRegression(
-        regParam=alpha, elasticNetParam=1.0, standardization=False, solver="l-bfgs", maxIter=500, tol=1e-9,
-    ).fit(bundle.part("train"))
-    return LinearFit(bundle.names, model.coefficients.toArray(), float(model.intercept))
+    """Penalty ``alpha * |w|_1`` on half the mean squared error; free intercept."""
+    return lasso_of(moments(bundle.part("train"), bundle.names), alpha)
 
 
 def ols_inference(spark, m: Moments, level: float = 0.95) -> DataFrame:
@@ -155,7 +205,7 @@ def baseline_table(bundle: FeatureBundle, alpha_ridge: float = 1.0, alpha_lasso:
         "MeanPredictor": F.lit(m.y_mean),
         "LinearRegression": ols(m).column(),
         f"Ridge({alpha_ridge:g})": ridge(m, alpha_ridge).column(),
-        f"Lasso({alpha_lasso:g})": lasso(bundle, alpha_lasso).column(),
+        f"Lasso({alpha_lasso:g})": lasso_of(m, alpha_lasso).column(),
     }
     return split_summary(dual_scale_metrics(stacked_predictions(bundle.data, columns), ["model", "split"]))
 
@@ -228,29 +278,54 @@ def pca_sweep(bundle: FeatureBundle, ks: Sequence[int] = (5, 10, 15, 20, 30, 40,
     )
 
 
+def fits_by_segment(data: DataFrame, names: Sequence[str], segment: str, solve, fields: str = "") -> DataFrame:
+    """One row per segment with ``coef`` (an array in the order of ``names``) and ``intercept``.
+
+    The moments of all segments come from one scan and are solved where they are merged.
+    ``solve`` turns :class:`Moments` into a :class:`LinearFit` and the values of ``fields``,
+    or None to leave the segment out. A gap in a feature or the label raises.
+    """
+    names = list(names)
+    columns = [f"z_{n}" for n in names] + ["label"]
+    states = group_moments(data.where(F.col(segment).isNotNull()), columns, segment)
+
+    def rows(m: PairMoments):
+        if not m.complete:
+            raise ValueError("null or NaN in a feature or the label")
+        got = solve(_moments(names, m))
+        if got is not None:
+            fit, *more = got
+            yield fit.coef.tolist(), fit.intercept, *more
+
+    found = per_group(states, len(columns), rows, "coef array<double>, intercept double" + (f", {fields}" if fields else ""))
+    return materialize(found.withColumnRenamed("key", segment), "segment-fits")
+
+
+def predicted_by_segment(data: DataFrame, fits: DataFrame, names: Sequence[str], segment: str) -> DataFrame:
+    """``data`` with ``y_true`` and the prediction ``y_pred`` of its segment's fit, null where there is none."""
+    known = data.where(F.col(segment).isNotNull()).withColumn("y_true", F.col("label"))
+    joined = known.join(fits.select(F.col(segment).alias("__of"), "coef", "intercept"), F.col(segment) == F.col("__of"), "left")
+    value = F.col("intercept")
+    for i, n in enumerate(names):
+        value = value + F.col(f"z_{n}") * F.col("coef")[i]
+    return joined.withColumn("y_pred", value).drop("__of", "coef", "intercept")
+
+
 def pca_by_segment(bundle: FeatureBundle, segment: str, n_components: int = 10, alpha: float = 1.0,
                    min_rows: int = 10) -> DataFrame:
     """PCA + ridge per segment on its own rows; small segments are skipped."""
-    sizes = {r[segment]: r["count"] for r in
-             bundle.data.where(F.col(segment).isNotNull()).groupBy(segment).count().collect()}
-    arms = []
-    for name, n in sorted(sizes.items()):
-        if n < min_rows:
-            continue
-        k = min(n_components, len(bundle.names), max(1, n // 10))
-        m = moments(bundle.data.where(F.col(segment) == name), bundle.names)
+    def solve(m: Moments):
+        if m.n < min_rows:
+            return None
+        k = min(n_components, len(m.names), max(1, m.n // 10))
         pcs = principal_components(m)
-        arms.append((name, k, float(np.cumsum(pcs.ratio)[k - 1]), pca_ridge(m, k, alpha, pcs)))
-    info = bundle.data.sparkSession.createDataFrame(
-        [(n, k, v) for n, k, v, _ in arms], f"{segment} {bundle.data.schema[segment].dataType.simpleString()}, "
-        "n_components int, explained_variance double")
-    expr = F.lit(None).cast("double")
-    for name, _, _, fit in arms:
-        expr = F.when(F.col(segment) == name, fit.column()).otherwise(expr)
-    scored = bundle.data.select(segment, F.col("label").alias("y_true"), expr.alias("y_pred"))
+        return pca_ridge(m, k, alpha, pcs), k, float(np.cumsum(pcs.ratio)[k - 1])
+
+    fits = fits_by_segment(bundle.data, bundle.names, segment, solve, "n_components int, explained_variance double")
+    scored = predicted_by_segment(bundle.data, fits, bundle.names, segment)
     metrics = dual_scale_metrics(scored, [segment]).select(
         segment, "n", F.col("r2_log").alias("train_r2"), F.col("rmse_log").alias("train_rmse"))
-    return null_safe(metrics, info, [segment])
+    return null_safe(metrics, fits.select(segment, "n_components", "explained_variance"), [segment])
 
 
 def pca_projection(bundle: FeatureBundle, key: str, k: int = 2) -> tuple[DataFrame, np.ndarray]:
@@ -266,28 +341,29 @@ def pca_projection(bundle: FeatureBundle, key: str, k: int = 2) -> tuple[DataFra
 
 
 def segment_ols(data: DataFrame, names: Sequence[str], segment: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One OLS per segment on its own split.
+    """One OLS per segment on its own split, all from one scan of the training rows.
 
-    Returns the metrics per segment and pooled, the coefficients side by side, and
-    every prediction. ``data`` carries ``split`` drawn inside each segment.
+    Returns the metrics per segment and pooled, the coefficients as ``(segment, feature,
+    coef)`` with the intercept among them, and every prediction. ``data`` carries
+    ``split`` drawn inside each segment.
     """
-    spark = data.sparkSession
-    fitted = data.where(F.col(segment).isNotNull() & (F.col("split") == "train"))  # no model without training rows
-    values = sorted(r[0] for r in fitted.select(segment).distinct().collect())
-    fits = {}
-    for v in values:
-        train = data.where((F.col(segment) == v) & (F.col("split") == "train"))
-        fits[v] = ols(moments(train, names))
-    expr = F.lit(None).cast("double")
-    for v, fit in fits.items():
-        expr = F.when(F.col(segment) == v, fit.column()).otherwise(expr)
-    scored = data.where(F.col(segment).isNotNull()).withColumn("y_pred", expr).withColumn("y_true", F.col("label"))
+    def solve(m: Moments):
+        return (ols(m),)
+
+    fits = fits_by_segment(data.where(F.col("split") == "train"), names, segment, solve)
+    scored = predicted_by_segment(data, fits, names, segment)
     named = scored.withColumn("segment", F.col(segment).cast("string"))
     both = named.select("split", "y_true", "y_pred", F.explode(F.array("segment", F.lit("Combined"))).alias("segment"))
     metrics = dual_scale_metrics(both, ["segment", "split"])
     table = split_summary(metrics, ["segment"])
-    coefs = spark.createDataFrame(
-        [(n, *[float(f.coef[i]) for f in fits.values()]) for i, n in enumerate(names)]
-        + [("intercept", *[float(f.intercept) for f in fits.values()])],
-        "feature string, " + ", ".join(f"segment_{slug(str(v))} double" for v in values))
+    labels = F.array(*[F.lit(n) for n in names], F.lit("intercept"))
+    pairs = F.arrays_zip(labels.alias("feature"), F.concat("coef", F.array("intercept")).alias("coef"))
+    coefs = fits.select(F.col(segment).alias("segment"), F.explode(pairs).alias("p")).select("segment", "p.feature", "p.coef")
     return table, coefs, scored
+
+
+def side_by_side(coefs: DataFrame, segments: Sequence) -> DataFrame:
+    """The coefficients of the named segments as columns, null for one without a fit."""
+    return coefs.groupBy("feature").agg(*[
+        F.max(F.when(F.col("segment") == s, F.col("coef"))).alias(f"segment_{slug(str(s))}") for s in segments
+    ])

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +11,7 @@ from pyspark.sql.types import NumericType
 
 from salescope.functions.hashing import md5_of
 from salescope.functions.parsing import binary_round, split_labels
+from salescope.operators.gram import PairMoments, group_moments, per_group
 from salescope.operators.order_stats import null_safe, with_quantiles
 
 
@@ -147,33 +147,34 @@ def yearly_trend(df: DataFrame, year: str, target: str, first: int, last: int) -
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair, with nulls dropped pair by pair, in one scan.
 
-    The diagonal is 1 where a column varies; both triangles are returned.
+    Both triangles are returned; the diagonal is 1 where a column varies, and a pair
+    with a side that is constant over the shared rows is null. NaN counts as null. An empty table
+    has no pairs.
     """
-    pairs = list(combinations(columns, 2))
-    num = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    one = num.agg(
-        *[F.corr(a, b).alias(f"p{i}") for i, (a, b) in enumerate(pairs)],
-        *[F.variance(c).alias(f"v{i}") for i, c in enumerate(columns)],
-    )
-    records = [{"a": F.lit(c), "b": F.lit(c), "corr": F.when(F.col(f"v{i}") > 0, 1.0)}
-               for i, c in enumerate(columns)]
-    for i, (a, b) in enumerate(pairs):
-        records += [{"a": F.lit(x), "b": F.lit(y), "corr": F.col(f"p{i}")} for x, y in ((a, b), (b, a))]
-    return melt_row(one, records)
+    names = list(columns)
+
+    def rows(m: PairMoments):
+        r = m.correlation()
+        for i, a in enumerate(names):
+            for j, b in enumerate(names):
+                value = float(r[i, j])
+                yield a, b, None if value != value else 1.0 if i == j else value
+
+    states = group_moments(df, names)
+    return per_group(states, len(names), rows, "a string, b string, corr double").drop("key")
 
 
 def corr_with_target(df: DataFrame, columns: Sequence[str], target: str, k: int) -> DataFrame:
     """Features by absolute correlation with the target; constant ones come last."""
-    def corr(c: str) -> Column:
-        x, y = F.col(c).cast("double"), F.col(target).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
-        return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))  # a constant gives null, where corr() raises
+    names = list(columns)
+
+    def rows(m: PairMoments):
+        for name, value in zip(names, m.correlation()[:-1, -1].tolist()):
+            yield name, None if value != value else value
 
-    one = df.agg(*[corr(c).alias(f"p{i}") for i, c in enumerate(columns)])
+    states = group_moments(df, [*names, target])
     return (
-        melt_row(one, [{"feature": F.lit(c), "corr": F.nanvl(F.col(f"p{i}"), F.lit(None).cast("double"))}
-                       for i, c in enumerate(columns)])
+        per_group(states, len(names) + 1, rows, "feature string, corr double").drop("key")
         .orderBy(F.expr("abs(round(corr, 9))").desc_nulls_last(), "feature").limit(k)
     )
 

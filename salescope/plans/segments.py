@@ -191,4 +191,4 @@ def _(spark, sf):
     bundle, data = _segment_bundle(spark, sf)
     _, coefs, _ = L.segment_ols(data.withColumn("class_code", F.col("publisher_class_ord")),
                                 bundle.names, "class_code")
-    return rounded(coefs, 4)
+    return rounded(L.side_by_side(coefs, sorted(ENTITY.class_order.values())), 4)
