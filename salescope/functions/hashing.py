@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BUCKET_HEX_DIGITS = 4  # 65,536 buckets, uniform because md5 is
-
 
 def md5_of(seed: int | str, *parts: Column) -> Column:
     """Hex md5 of ``seed:part:part...``."""
@@ -14,7 +12,7 @@ def md5_of(seed: int | str, *parts: Column) -> Column:
     return F.md5(F.concat_ws(":", *pieces).cast("binary"))
 
 
-def hex_bucket(h: Column, digits: int = BUCKET_HEX_DIGITS) -> Column:
+def hex_bucket(h: Column, digits: int) -> Column:
     """Leading hex digits as an integer; monotone in the hex string."""
     return F.conv(F.substring(h, 1, digits), 16, 10).cast("int")
 
@@ -22,3 +20,8 @@ def hex_bucket(h: Column, digits: int = BUCKET_HEX_DIGITS) -> Column:
 def hex_uint32(h: Column) -> Column:
     """First 32 bits of a hex digest as a bigint in [0, 2**32)."""
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+
+
+def hex_fraction(h: Column) -> Column:
+    """The first 52 bits of a hex digest as a number in [0, 1); monotone in the hex string."""
+    return F.conv(F.substring(h, 1, 13), 16, 10).cast("bigint") / F.lit(float(2 ** 52))

@@ -1,52 +1,61 @@
-"""Permutation tests and bootstrap intervals with replicates as rows.
-
-A replicate is one value of ``rep``; every random choice is an md5 of
-``seed:rep:key``. Replicates run in batches, each batch ends in a table of one row
-per replicate, and nothing larger than that table is ever joined back. A shuffle
-of labels is an assignment by hash rank, found with hash cuts, so the exploded
-rows are only filtered and partially aggregated.
+"""Permutation tests and bootstrap intervals.
+
+Every random choice is an md5 of ``seed:rep:...``, so a run can be repeated anywhere.
+Nothing orders the rows of a replicate:
+
+- Labels are dealt in hash order. A uniform hash places all but a few times sqrt(n)
+  rows by its value alone, so one pass hashes each row once per replicate, folds the
+  settled rows into a few sums on the map side, and only the rows near a cut (and near
+  the median) are shuffled and ordered.
+- Shuffled prices come from a pseudo-random permutation of row numbers, a Feistel
+  network whose round functions are tables of about sqrt(n) hashes, so a row finds its
+  price in a replicate by itself.
+- A resampled median is one draw of the middle order statistic of n uniforms.
+- Coefficient replicates are matrix products over Arrow batches.
+
+Replicates run in batches that end in written tables of one row per replicate.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from functools import reduce
+from collections.abc import Callable, Iterator, Sequence
+from functools import cache, reduce
+from hashlib import md5
 from itertools import combinations
-from math import exp, factorial
+from math import ceil, exp, factorial, floor, isqrt, log, sqrt
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescope.functions.hashing import hex_uint32, md5_of
-from salescope.operators.order_stats import (
-    SKETCH_ACCURACY, SMALL_GROUP, exact_quantiles, hash_cuts, hash_ranks, null_safe,
-)
+from salescope.functions.hashing import hex_fraction, hex_uint32, md5_of
+from salescope.operators.order_stats import exact_quantiles, hash_ranks, null_safe, values_at_ranks
 from salescope.operators.relational import union_summaries
 from salescope.session import materialize
 
 TOLERANCE = 1e-9
-REPLICATES_PER_BATCH = 500
-RANK_SLICES = 4096
+REPLICATES_PER_BATCH = 2000
+#: Half-width of a window around an expected place, in deviations.
+WINDOW = 8.0
+#: Most distinct prices (16 bytes each) that travel to the tasks at once.
+PRICES_AT_ONCE = 1_000_000
+ROUNDS = 6
+#: Bytes of round tables in a task.
+TABLE_BYTES = 2**26
 
 
-def _batches(n_rep: int, size: int = REPLICATES_PER_BATCH):
+def _batches(n_rep: int, size: int):
     for start in range(0, n_rep, size):
         yield start, min(start + size, n_rep) - 1
 
 
-def _over_batches(n_rep: int, run: Callable[[int, int], DataFrame]) -> DataFrame:
-    parts = [materialize(run(a, b), "replicates") for a, b in _batches(n_rep)]
+def _over_batches(n_rep: int, run: Callable[[int, int], DataFrame], most: int | None = None) -> DataFrame:
+    size = max(1, min(REPLICATES_PER_BATCH, most or n_rep))
+    parts = [materialize(run(a, b), "replicates") for a, b in _batches(n_rep, size)]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _replicated(base: DataFrame, key: str, first: int, last: int, seed: int) -> DataFrame:
-    """Every row once per replicate, with its hash in that replicate."""
-    reps = F.explode(F.sequence(F.lit(first), F.lit(last))).alias("rep")
-    return base.select("*", reps).withColumn("h", md5_of(seed, F.col("rep"), F.col(key)))
-
-
 def _result(spark, name: str, observed: float, null: DataFrame, extreme: Column, n_rep: int, alpha: float) -> DataFrame:
     """One result row: the p-value is the share of null statistics at least as extreme."""
     return null.agg(F.avg(extreme.cast("int")).alias("p_value")).select(
@@ -56,24 +65,108 @@ def _result(spark, name: str, observed: float, null: DataFrame, extreme: Column,
     )
 
 
+def _dealt(base: DataFrame, key: str, reps: Column, ends: Sequence[int], width: float, seed: int) -> DataFrame:
+    """Every row once per replicate, with ``u`` its hash in [0, 1), and ``label`` where u settles it.
+
+    In hash order the first ``ends[0]`` rows get label 0, those up to ``ends[1]`` label 1,
+    and so on; ``h`` holds the hash of the rows near a cut, whose label is null.
+    """
+    n = ends[-1]
+    rows = base.select("*", F.explode(reps).alias("rep")).withColumn("__h", md5_of(seed, F.col("rep"), F.col(key)))
+    rows = rows.withColumn("u", hex_fraction(F.col("__h")))
+    label, near = F.lit(0), F.lit(False)
+    for end in ends[:-1]:
+        p = end / n
+        reach = width * (sqrt(p * (1 - p) / n) + 2 / n)
+        label = label + (F.col("u") > p + reach).cast("int")
+        near = near | F.col("u").between(p - reach, p + reach)
+    return rows.select("*", F.when(~near, label).alias("label"), F.when(near, F.col("__h")).alias("h")).drop("__h")
+
+
+def _settled(counts: DataFrame, ends: Sequence[int]) -> DataFrame:
+    """Labels of the rows near a cut, from their place in hash order; ``counts`` has rep, label, h, u, c."""
+    upto = F.sum("c").over(Window.partitionBy("rep").orderBy("u", F.col("h").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow))
+    placed = reduce(lambda a, b: a + b, [(F.col("__upto") > end).cast("int") for end in ends[:-1]], F.lit(0))
+    return counts.withColumn("__upto", upto).withColumn("label", F.coalesce("label", placed)).drop("__upto")
+
+
+def _until_settled(first: int, last: int, attempt: Callable[[Column, float], DataFrame]) -> DataFrame:
+    """``(rep, stat)`` for all replicates; ``attempt`` leaves out those whose windows missed, which get wider ones."""
+    done, width = [], WINDOW
+    reps = F.sequence(F.lit(first), F.lit(last))
+    while True:
+        done.append(materialize(attempt(reps, width), "settled"))
+        got = {r.rep for d in done for r in d.select("rep").collect()}
+        missing = [i for i in range(first, last + 1) if i not in got]
+        if not missing:
+            return reduce(DataFrame.unionByName, done)
+        reps, width = F.array(*[F.lit(i) for i in missing]), width * 8
+
+
 def perm_median_null(base: DataFrame, key: str, value: str, n_first: int, n_rep: int, seed: int = 42) -> DataFrame:
-    """``(rep, stat)``: median of the first ``n_first`` shuffled rows minus the rest."""
-    def run(first: int, last: int) -> DataFrame:
-        rows = _replicated(base, key, first, last, seed)
-        cuts = hash_cuts(rows, ["rep"], "h", {"cut": F.lit(n_first)})
-        sided = null_safe(rows, cuts, ["rep"]).select("rep", value, (F.col("h") <= F.col("cut")).alias("in_first"))
-        medians = exact_quantiles(sided, ["rep", "in_first"], [value], {"median": 0.5})
-        return medians.groupBy("rep").agg(
-            (F.max(F.when(F.col("in_first"), F.col("median")))
-             - F.max(F.when(~F.col("in_first"), F.col("median")))).alias("stat"))
-    return _over_batches(n_rep, run)
+    """``(rep, stat)``: median of the first ``n_first`` shuffled rows minus the rest.
+
+    The median of m rows drawn from n lies within a few times n / sqrt(m) / 2 places of
+    the whole table's middle. The values at the ends of that band, fixed for all
+    replicates, cut the value axis; rows below it are only counted.
+    """
+    base = base.select(key, F.col(value).cast("double").alias("v"))
+    n = base.count()
+    ends, sizes = [n_first, n], [n_first, n - n_first]
+
+    @cache
+    def bands(width: float) -> dict[int, tuple[float | None, float | None]]:
+        spots = {}
+        for side, m in enumerate(sizes):
+            reach = width * n / (2 * sqrt(m)) + 2
+            spots[side] = max(0, floor(n / 2 - reach)), min(n - 1, ceil(n / 2 + reach))
+        ranks = base.sparkSession.createDataFrame([(r,) for pair in spots.values() for r in pair], "rank bigint")
+        at = {r["rank"]: r.v for r in values_at_ranks(base, "v", ranks).collect()}
+        return {side: (at[lo] if lo > 0 else None, at[hi] if hi < n - 1 else None) for side, (lo, hi) in spots.items()}
+
+    def attempt(reps: Column, width: float) -> DataFrame:
+        band = bands(width)
+
+        def place(label: Column) -> Column:
+            """-1 below the band of a side, 0 inside, 1 above."""
+            expr = F.lit(None).cast("int")
+            for side, (lo, hi) in band.items():
+                below = F.col("v") < lo if lo is not None else F.lit(False)
+                above = F.col("v") > hi if hi is not None else F.lit(False)
+                expr = F.when(label == side, F.when(below, -1).when(above, 1).otherwise(0)).otherwise(expr)
+            return expr
+
+        rows = _dealt(base, key, reps, ends, width, seed).withColumn("place", place(F.col("label")))
+        shown = F.when(F.coalesce(F.col("place"), F.lit(0)) == 0, F.col("v"))
+        counts = rows.groupBy("rep", "label", "place", "h", shown.alias("v")).agg(F.count("*").alias("c"), F.min("u").alias("u"))
+        sided = _settled(counts, ends).withColumn("place", F.coalesce("place", place(F.col("label"))))
+        upto = Window.partitionBy("rep", "label").orderBy("place", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ordered = sided.withColumn("__upto", F.sum("c").over(upto))
+        middles = []
+        for side, m in enumerate(sizes):
+            for r in ((m - 1) // 2, m // 2):
+                hit = (F.col("label") == side) & (F.col("place") == 0) & (F.col("__upto") > r) & (F.col("__upto") - F.col("c") <= r)
+                middles.append(F.max(F.when(hit, F.col("v"))))
+        total = F.sum(F.when(F.col("label") == 0, F.col("c")))
+        out = ordered.groupBy("rep").agg(total.alias("__n"), ((middles[0] + middles[1]) / 2 - (middles[2] + middles[3]) / 2).alias("stat"))
+        return out.where((F.col("__n") == n_first) & F.col("stat").isNotNull()).select("rep", "stat")
+
+    return _over_batches(n_rep, lambda first, last: _until_settled(first, last, attempt))
 
 
 def perm_median_diff(df: DataFrame, key: str, group: str, value: str, n_rep: int = 10_000,
                      alpha: float = 0.05, seed: int = 42) -> DataFrame:
-    """Right-tailed test: is the median of group 1 above the median of group 0."""
-    base = materialize(df.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(key, group, value), "perm")
+    """Right-tailed test: is the median of group 1 above the median of group 0.
+
+    Rows without a group or a value (null or NaN) take no part; other groups raise, and so
+    does an empty side.
+    """
+    present = F.col(group).isNotNull() & F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
+    base = materialize(df.where(present).select(key, group, value), "perm")
     sides = {r[group]: r for r in exact_quantiles(base, [group], [value], {"median": 0.5}).collect()}
+    if set(sides) != {0, 1}:
+        raise ValueError(f"groups 0 and 1 must both have rows, and no other: {sorted(sides)}")
     observed = sides[1]["median"] - sides[0]["median"]
     null = perm_median_null(base, key, value, sides[1]["n"], n_rep, seed)
     return _result(df.sparkSession, "median_diff", observed, null, F.col("stat") >= observed - TOLERANCE, n_rep, alpha)
@@ -104,32 +197,107 @@ def perm_anova_f(df: DataFrame, key: str, group: str, value: str, n_rep: int = 1
         return (between / (k - 1)) / ((squares - between) / (total - k))
 
     observed = f_of(sum((r.s - r.n * mean) ** 2 / r.n for r in stats))
-    ends = np.cumsum(sizes)
-    names = [f"c{j}" for j in range(k - 1)]
-
-    def run(first: int, last: int) -> DataFrame:
-        rows = _replicated(centred, key, first, last, seed)
-        cuts = hash_cuts(rows, ["rep"], "h", {n: F.lit(int(e)) for n, e in zip(names, ends)})
-        label = F.lit(k - 1)
-        for j in reversed(range(k - 1)):
-            label = F.when(F.col("h") <= F.col(names[j]), j).otherwise(label)
-        sums = null_safe(rows, cuts, ["rep"]).select("rep", "v", label.alias("label")).groupBy("rep").agg(*[
-            F.coalesce(F.sum(F.when(F.col("label") == j, F.col("v"))), F.lit(0.0)).alias(f"s{j}") for j in range(k)
-        ])
+    ends = np.cumsum(sizes).tolist()
+
+    def attempt(reps: Column, width: float) -> DataFrame:
+        rows = _dealt(centred, key, reps, ends, width, seed)
+        counts = rows.groupBy("rep", "label", "h").agg(F.count("*").alias("c"), F.sum("v").alias("s"), F.min("u").alias("u"))
+        sums = _settled(counts, ends).groupBy("rep").agg(*[
+            F.coalesce(F.sum(F.when(F.col("label") == j, F.col(x))), F.lit(0)).alias(f"{x}{j}") for j in range(k) for x in ("s", "c")])
+        right = reduce(lambda a, b: a & b, [F.col(f"c{j}") == n for j, n in enumerate(sizes)])
         between = reduce(lambda a, b: a + b, [F.col(f"s{j}") * F.col(f"s{j}") / n for j, n in enumerate(sizes)])
-        return sums.select("rep", f_of(between).alias("stat"))
+        return sums.where(right).select("rep", f_of(between).alias("stat"))
 
-    null = _over_batches(n_rep, run)
+    null = _over_batches(n_rep, lambda first, last: _until_settled(first, last, attempt))
     return _result(df.sparkSession, "anova_f", observed, null, F.col("stat") >= observed - TOLERANCE, n_rep, alpha)
 
 
+def round_tables(seed: int, rep: int, sides: tuple[int, int]) -> list[np.ndarray]:
+    """The round functions of a replicate's permutation: hashes modulo the side they move."""
+    tables = []
+    for j in range(ROUNDS):
+        moved, other = sides[j % 2], sides[1 - j % 2]
+        tables.append(np.array([int(md5(f"{seed}:{rep}:{j}:{x}".encode()).hexdigest()[:8], 16) % moved for x in range(other)], np.int32))
+    return tables
+
+
+def feistel_sides(n: int) -> tuple[int, int]:
+    """The sides of the least nearly square rectangle that holds 0 to n - 1."""
+    a = isqrt(n - 1) + 1 if n > 1 else 1
+    return a, -(-n // a)
+
+
+def permuted(index: np.ndarray, n: int, sides: tuple[int, int], tables: Sequence[np.ndarray]) -> np.ndarray:
+    """A permutation of 0 to n - 1 at ``index``: rounds on the rectangle, repeated while outside."""
+    out = index.astype(np.int64)
+    todo = np.arange(len(out))
+    while len(todo):
+        left, right = np.divmod(out[todo], sides[1])
+        for j, table in enumerate(tables):
+            if j % 2 == 0:
+                left = (left + table[right]) % sides[0]
+            else:
+                right = (right + table[left]) % sides[1]
+        out[todo] = left * sides[1] + right
+        todo = todo[out[todo] >= n]
+    return out
+
+
+def _price_slices(rows: DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first place, distinct prices in order, their counts), at most ``PRICES_AT_ONCE`` at a time."""
+    counts = materialize(rows.groupBy("x").agg(F.count("*").alias("c")), "prices")
+    distinct, start = counts.count(), 0
+    cuts = [(r,) for r in range(PRICES_AT_ONCE, distinct, PRICES_AT_ONCE)]
+    edges = [None, *sorted(r.v for r in values_at_ranks(counts, "x", counts.sparkSession.createDataFrame(cuts, "rank bigint")).collect()), None] \
+        if cuts else [None, None]
+    for lo, hi in zip(edges, edges[1:]):
+        part = counts if lo is None else counts.where(F.col("x") >= lo)
+        part = part if hi is None else part.where(F.col("x") < hi)
+        got = sorted((r.x, r.c) for r in part.collect())
+        yield start, np.array([x for x, _ in got]), np.array([c for _, c in got], np.int64)
+        start += sum(c for _, c in got)
+
+
+def _shuffled_sums(indexed: DataFrame, basis: Sequence[str], n: int, first: int, last: int, seed: int,
+                   place: int, prices: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """``rep`` and, per column of ``basis``, its cross sum with the shuffled prices of one slice.
+
+    Price places run in price order; the row with number i takes the price at the place
+    to which the replicate's permutation sends i. Each task adds up its rows and emits
+    one row per replicate.
+    """
+    ends, sides, width = place + np.cumsum(counts), feistel_sides(n), len(basis)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables: list[list[np.ndarray]] = []
+        sums = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            index, *values = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            b = np.column_stack(values)
+            if sums is None:
+                tables = [round_tables(seed, rep, sides) for rep in range(first, last + 1)]
+                sums = np.zeros((len(tables), width))
+            for rep, table in enumerate(tables):
+                at = permuted(index, n, sides, table)
+                here = (at >= place) & (at < ends[-1])
+                sums[rep] += prices[np.searchsorted(ends, at[here], side="right")] @ b[here]
+        if sums is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, last + 1), pa.int32()), *(pa.array(sums[:, j]) for j in range(width))],
+                                             names=["rep", *basis])
+
+    partial = indexed.select("index", *basis).mapInArrow(run, "rep int, " + ", ".join(f"{b} double" for b in basis))
+    return partial.groupBy("rep").agg(*[F.sum(b).alias(b) for b in basis])
+
+
 def perm_ols_coef(df: DataFrame, key: str, price: str, target: str, controls: Sequence[str] = (),
                   n_rep: int = 10_000, alpha: float = 0.05, seed: int = 42) -> DataFrame:
     """Left-tailed permutation test on the price coefficient of an OLS with controls.
 
     The control block stays fixed, so each replicate only needs the cross sums of
-    the shuffled price with the controls and the target. The shuffled price reaches
-    its row by a join on the row's hash rank, whose keys are all distinct.
+    the shuffled price with the controls and the target, which tasks add up on their own
+    rows. Rows are numbered once, in hash order.
     """
     cols = [price, target, *controls]
     base = materialize(
@@ -162,86 +330,79 @@ def perm_ols_coef(df: DataFrame, key: str, price: str, target: str, controls: Se
         return num / den
 
     observed = float(slope(s("x", "y"), [s("x", c) for c in cs]))
-    indexed = hash_ranks(rows.withColumn("h", md5_of(f"{seed}:base", F.col("__key"))), [], "h", "rank")
-    prices = materialize(indexed.select("rank", "x"), "prices")
+    ranked = hash_ranks(rows.withColumn("h", md5_of(f"{seed}:base", F.col("__key"))), [], "h", "rank")
+    indexed = materialize(ranked.select((F.col("rank") - 1).alias("index"), "x", *basis), "numbered")
+    n = indexed.count()
+    slices = _price_slices(indexed)
 
-    def run(first: int, last: int) -> DataFrame:
-        long = _replicated(rows.drop("x"), "__key", first, last, seed)
-        ranked = hash_ranks(long, ["rep"], "h", "rank").select("rep", "rank", *basis)
-        joined = ranked.join(prices, "rank")
-        cross = joined.groupBy("rep").agg(*[F.sum(F.col("x") * F.col(b)).alias(b) for b in basis])
-        return cross.select("rep", slope(F.col("y"), [F.col(c) for c in cs]).alias("stat"))
+    def total(parts: list[DataFrame]) -> DataFrame:
+        return reduce(DataFrame.unionByName, parts).groupBy("rep").agg(*[F.sum(b).alias(b) for b in basis])
 
-    null = _over_batches(n_rep, run)
+    most = TABLE_BYTES // (4 * ROUNDS * feistel_sides(n)[0])
+    sums = [_over_batches(n_rep, lambda first, last: _shuffled_sums(indexed, basis, n, first, last, seed, *part), most) for part in slices]
+    null = total(sums).select("rep", slope(F.col("y"), [F.col(c) for c in cs]).alias("stat"))
     return _result(df.sparkSession, "price_coef", observed, null, F.col("stat") <= observed + TOLERANCE, n_rep, alpha)
 
 
-def values_at_ranks(df: DataFrame, value: str, ranks: DataFrame) -> DataFrame:
-    """``(rank, v)``: the value at each 0-based rank of ``ranks.rank``.
+def uniform(seed: int | str, rep: int, *more: int | str) -> float:
+    """A number strictly between 0 and 1 from the first 52 bits of a hash."""
+    return (int(md5(":".join(map(str, (seed, rep, *more))).encode()).hexdigest()[:13], 16) + 0.5) / 2**52
 
-    A sketch brackets the span of wanted ranks. The values inside are counted in
-    equal-width slices; each slice's starting rank is known from those counts, so
-    slices are ordered apart from each other.
+
+def beta_draw(a: int, b: int, seed: int | str, rep: int) -> float:
+    """A draw of Beta(a, b), a and b whole, by rejection from a log-logistic law (Cheng's BB).
+
+    Each trial takes two hashed uniforms; the first that is accepted counts. With a = 1 or
+    b = 1 the law is inverted instead.
     """
-    src = df.select(F.col(value).cast("double").alias("v"))
-    n = src.count()
-    span = ranks.agg(F.min("rank").alias("lo"), F.max("rank").alias("hi")).first()
-    below, (lo, hi) = 0, src.agg(F.min("v"), F.max("v")).first()
-    if n > SMALL_GROUP:
-        margin = 4.0 / SKETCH_ACCURACY
-        probe = [max(0.0, span.lo / n - margin), min(1.0, span.hi / n + margin)]
-        at = src.agg(F.percentile_approx("v", probe, SKETCH_ACCURACY)).first()[0]
-        lo = at[0] if probe[0] > 0.0 else lo
-        hi = at[1] if probe[1] < 1.0 else hi
-        below = src.where(F.col("v") < lo).count()
-    width = (hi - lo) or 1.0
-    inside = src.where(F.col("v").between(lo, hi)).withColumn(
-        "slice", F.least(F.floor((F.col("v") - lo) / width * RANK_SLICES), F.lit(RANK_SLICES - 1)))
-    counts = inside.groupBy("slice", "v").agg(F.count("*").alias("c"))
-    totals = counts.groupBy("slice").agg(F.sum("c").alias("c"))
-    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)  # RANK_SLICES rows at most
-    starts = materialize(totals.select(
-        "slice", (F.coalesce(F.sum("c").over(before), F.lit(0)) + below).alias("start")), "slices")
-
-    def lookup(known: DataFrame, wanted: DataFrame, out: str, by: Sequence[str] = ()) -> DataFrame:
-        """Give each wanted rank the ``out`` of the last known start at or before it."""
-        window = Window.partitionBy(*by) if by else Window
-        seen = window.orderBy("rank", "ask").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        both = known.withColumn("ask", F.lit(False)).unionByName(
-            wanted.withColumn("ask", F.lit(True)), allowMissingColumns=True)
-        return both.withColumn(out, F.last(out, ignorenulls=True).over(seen)).where("ask")
-
-    asked = ranks.select("rank").distinct()
-    placed = lookup(starts.withColumnRenamed("start", "rank"), asked, "slice").select("rank", "slice")
-    inner = Window.partitionBy("slice").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    known = counts.join(starts, "slice").select(
-        "slice", "v", (F.col("start") + F.coalesce(F.sum("c").over(inner), F.lit(0))).alias("rank"))
-    return lookup(known, placed, "v", ["slice"]).select("rank", "v")
+    if a == 1:
+        return 1.0 - (1.0 - uniform(seed, rep, 0, 0)) ** (1.0 / b)
+    if b == 1:
+        return uniform(seed, rep, 0, 0) ** (1.0 / a)
+    lesser, total = min(a, b), a + b
+    slope = sqrt((total - 2.0) / (2.0 * a * b - total))
+    pull, trial = lesser + 1.0 / slope, 0
+    while True:
+        u, v = uniform(seed, rep, trial, 0), uniform(seed, rep, trial, 1)
+        odds = slope * log(u / (1.0 - u))
+        w = lesser * exp(odds)
+        if pull * odds - log(4.0) + total * log(total / (max(a, b) + w)) >= log(u * u * v):
+            return w / (max(a, b) + w) if a == lesser else max(a, b) / (max(a, b) + w)
+        trial += 1
+
+
+def middle_places(n: int, seed: int | str, rep: int) -> tuple[int, int]:
+    """Sorted places of the two middle values (the same one twice if n is odd) of a resample of n from n.
+
+    The j-th least of n draws sits at the place floor(U n) of the j-th least of n uniforms,
+    which follows a Beta law; given that, the next one is the least of the rest.
+    """
+    half = (n + 1) // 2
+    u = beta_draw(half, n + 1 - half, seed, rep)
+    after = u if n % 2 else u + (1.0 - u) * (1.0 - (1.0 - uniform(seed, rep, "next")) ** (1.0 / (n - half)))
+    return min(floor(u * n), n - 1), min(floor(after * n), n - 1)
 
 
 def bootstrap_medians(df: DataFrame, value: str, n_rep: int, seed: int | str = 42) -> DataFrame:
-    """``(rep, median)`` of exact resamples with replacement.
+    """``(rep, median)`` of resamples with replacement, drawn without drawing their rows.
 
-    Draw ``d`` of a replicate takes the value at sorted position
-    ``floor(u * n)`` with ``u`` the draw's hash. Position grows with the hash, so the
-    resample's middle values sit at the middle hashes: those are found by hash
-    cuts over the draws and only their positions are looked up in the data.
+    A replicate costs one draw of its middle order statistic; the values at all the
+    places drawn are then looked up together. Null and NaN are no values; without values
+    there are no replicates.
     """
     spark = df.sparkSession
-    src = materialize(df.where(F.col(value).isNotNull()).select(value), "sample")
+    src = materialize(df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(value), "sample")
     n = src.count()
 
-    def run(first: int, last: int) -> DataFrame:
-        draws = spark.range((last - first + 1) * n).select(
-            (F.floor(F.col("id") / F.lit(n)) + first).cast("int").alias("rep"), (F.col("id") % n).alias("draw"))
-        hashed = draws.withColumn("h", md5_of(seed, F.col("rep"), F.col("draw")))
-        middle = {"lo": F.lit((n - 1) // 2 + 1), "hi": F.lit(n // 2 + 1)}
-        cuts = hash_cuts(hashed, ["rep"], "h", middle)
-        at = {c: F.floor(hex_uint32(F.col(c)) * F.lit(float(n)) / F.lit(float(2 ** 32))).cast("bigint") for c in middle}
-        spots = materialize(cuts.select("rep", F.explode(F.array(at["lo"], at["hi"])).alias("rank")), "spots")
-        return spots.join(values_at_ranks(src, value, spots), "rank").groupBy("rep").agg(F.avg("v").alias("median"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reps = batch.column("rep").to_pylist()
+            places = [middle_places(n, seed, rep) for rep in reps]
+            yield pa.RecordBatch.from_pydict({"rep": pa.array(reps, pa.int32()), "rank": pa.array(places, pa.list_(pa.int64()))})
 
-    return _over_batches(n_rep, run)
+    reps = spark.range(n_rep if n else 0).select(F.col("id").cast("int").alias("rep"))
+    spots = materialize(reps.mapInArrow(run, "rep int, rank array<bigint>").select("rep", F.explode("rank").alias("rank")), "spots")
+    return materialize(spots.join(values_at_ranks(src, value, spots), "rank").groupBy("rep").agg(F.avg("v").alias("median")), "medians")
 
 
 def bootstrap_median_ci(df: DataFrame, group: str, value: str, a, b, n_rep: int = 10_000,
@@ -285,35 +446,65 @@ def bootstrap_coefs(df: DataFrame, key: str, target: str, features: Sequence[str
     """``(rep, feature, coef)``: OLS on weighted rows, one weight per (rep, row).
 
     Row weights are Poisson(1), the large-sample form of drawing n rows with
-    replacement. One partial aggregate per batch gives the weighted cross sums of
-    all replicates; each tiny system is then solved on the executors.
+    replacement. Each task multiplies the weights of its rows in all replicates with the
+    products of their columns and emits one row of cross sums per replicate; the small
+    systems are solved where these sums meet.
     """
     cols = [*features, target]
     base = materialize(df.where(F.col(target).isNotNull()).select(
         key, *[F.col(c).cast("double").alias(c) for c in cols]).dropna(), "boot")
     means = base.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    rows = base.select(F.col(key).alias("__key"), F.lit(1.0).alias("v0"),
-                       *[(F.col(c) - means[c]).alias(f"v{i + 1}") for i, c in enumerate(cols)])
-    m = len(cols) + 1
-    pairs = [(i, j) for i in range(m) for j in range(i, m)]
-    names = list(features)
-
-    def solve(batches):
-        for pdf in batches:
-            out = []
-            for rec in pdf.to_dict("records"):
-                g = np.zeros((m, m))
-                for i, j in pairs:
-                    g[i, j] = g[j, i] = rec[f"s{i}_{j}"]
-                beta = np.linalg.pinv(g[:-1, :-1], hermitian=True) @ g[:-1, -1]
-                out += [(rec["rep"], n, float(b)) for n, b in zip(names, beta[1:])]
-            yield pd.DataFrame(out, columns=["rep", "feature", "coef"])
+    rows = base.select(F.col(key).alias("__key"), *[(F.col(c) - means[c]).alias(f"v{i}") for i, c in enumerate(cols)])
+    names, width = list(features), len(cols) + 1
+    upper = np.triu_indices(width)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.column_stack([np.ones(batch.num_rows), *(c.to_numpy(zero_copy_only=False) for c in batch.columns[1:])])
+            w = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
+            part = np.empty((w.shape[1], len(upper[0])))
+            step = max(1, 2**22 // len(upper[0]))
+            for at in range(0, len(x), step):  # products of pairs of columns, some million numbers at a time
+                piece = w[at : at + step].T.astype(float) @ (x[at : at + step, upper[0]] * x[at : at + step, upper[1]])
+                part = piece if at == 0 else part + piece
+            total = part if total is None else total + part
+        if total is not None:
+            yield from _arrays(range(len(total)), total)
+
+    def _arrays(places, rows_):
+        yield pa.RecordBatch.from_arrays([pa.array(list(places), pa.int32()), pa.array(list(rows_), pa.list_(pa.float64()))], names=["place", "sums"])
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, held = None, None
+        for batch in batches:
+            for p, row in zip(batch.column(0).to_pylist(), batch.column(1)):
+                mine = row.values.to_numpy()
+                if p == place:
+                    held = held + mine
+                    continue
+                if held is not None:
+                    yield _solved(place, held)
+                place, held = p, mine
+        if held is not None:
+            yield _solved(place, held)
+
+    def _solved(place: int, flat: np.ndarray) -> pa.RecordBatch:
+        g = np.zeros((width, width))
+        g[upper] = flat
+        g = g + np.triu(g, 1).T
+        beta = np.linalg.pinv(g[:-1, :-1], hermitian=True) @ g[:-1, -1]
+        return pa.RecordBatch.from_pydict({"place": pa.array([place] * len(names), pa.int32()), "feature": names, "coef": beta[1:]})
 
     def run(first: int, last: int) -> DataFrame:
-        long = _replicated(rows, "__key", first, last, seed).withColumn("w", poisson_weight(F.col("h"))).where("w > 0")
-        sums = long.groupBy("rep").agg(*[
-            F.sum(F.col("w") * F.col(f"v{i}") * F.col(f"v{j}")).alias(f"s{i}_{j}") for i, j in pairs])
-        return sums.mapInPandas(solve, "rep int, feature string, coef double")
+        weights = F.transform(F.sequence(F.lit(first), F.lit(last)),
+                              lambda rep: poisson_weight(md5_of(seed, rep, F.col("__key"))).cast("tinyint"))
+        weighted = rows.select(weights.alias("w"), *[f"v{i}" for i in range(len(cols))])
+        partial = weighted.mapInArrow(sums, "place int, sums array<double>")
+        solved = partial.repartition("place").sortWithinPartitions("place").mapInArrow(solve, "place int, feature string, coef double")
+        return solved.select((F.col("place") + first).alias("rep"), "feature", "coef")
 
     return _over_batches(n_rep, run)
 

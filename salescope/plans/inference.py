@@ -13,7 +13,7 @@ from salescope.plans.entity import entity_table
 from salescope.plans.registry import ENTITY, pre_sql, query, rounded
 from salescope.session import materialize
 
-REPS = 20
+REPS = 1000
 ALPHA = 0.05
 
 
@@ -108,6 +108,25 @@ _CONTROLS = ["publisher_class_ord", "genre_building", "genre_machinery", "early_
 _Q = ["one", "c0", "c1", "c2", "c3"]
 
 
+def _permuted_sql() -> str:
+    """``places``: the place to which each replicate's Feistel permutation sends each row number."""
+    steps, cols = "SELECT rep, i, t, n, a, b, pos // b AS l, pos % b AS r, t0, t1, t2, t3, t4, t5 FROM w JOIN tabs USING (rep) WHERE t = 0 OR pos >= n", \
+        "rep, i, t, n, a, b, t0, t1, t2, t3, t4, t5"
+    for j in range(I.ROUNDS):
+        moved = f"(l + t{j}[r + 1]) % a AS l, r" if j % 2 == 0 else f"l, (r + t{j}[l + 1]) % b AS r"
+        steps = f"SELECT {cols}, {moved} FROM ({steps})"
+    lists = ", ".join(f"any_value(t) FILTER (j = {j}) AS t{j}" for j in range(I.ROUNDS))
+    return f"""
+  , size AS (SELECT n, a, (n + a - 1) // a AS b FROM (SELECT count(*) AS n, CAST(floor(sqrt(count(*) - 1)) AS BIGINT) + 1 AS a FROM basis)),
+  tabs AS (SELECT rep, n, a, b, {lists} FROM (
+    SELECT rep, j, n, a, b, list(('0x' || substr(md5('42:' || rep || ':' || j || ':' || x), 1, 8))::BIGINT % (CASE WHEN j % 2 = 0 THEN a ELSE b END) ORDER BY x) AS t
+    FROM (SELECT *, unnest(range(CASE WHEN j % 2 = 0 THEN b ELSE a END)) AS x FROM reps, size, (SELECT unnest(range({I.ROUNDS})) AS j)) GROUP BY ALL) GROUP BY ALL),
+  places AS (WITH RECURSIVE w AS (
+      SELECT rep, i, i AS pos, 0 AS t FROM reps, (SELECT i FROM basis)
+      UNION ALL SELECT rep, i, l * b + r, t + 1 FROM ({steps}))
+    SELECT rep, i, pos FROM w, size WHERE t > 0 AND pos < n)"""
+
+
 def _ols_sql(where: str, controls: list[str]) -> str:
     qs = _Q[: len(controls) + 1]
     steps, last = _residual_steps("start", qs)
@@ -117,14 +136,14 @@ def _ols_sql(where: str, controls: list[str]) -> str:
     return pre_sql(_REPS_SQL + f"""
   , start AS (SELECT entity_id, price AS x, log_copies_sold AS y, 1.0::DOUBLE AS one
       {''.join(f', CAST({c} AS DOUBLE) AS c{i}' for i, c in enumerate(controls))} FROM pre {where})
-  {steps}, basis AS (SELECT *, {norms} FROM {last}),
+  {steps}, basis AS (SELECT *, row_number() OVER (ORDER BY md5('42:base:' || entity_id)) - 1 AS i, {norms} FROM {last}),
   obs AS (SELECT ({num.replace('p *', 'x *').replace('* p', '* x')}) / ({den.replace('p *', 'x *').replace('* p', '* x')}) AS b FROM basis),
-  prices AS (SELECT x AS p, row_number() OVER (ORDER BY md5('42:base:' || entity_id)) AS rk FROM basis),
-  shuffled AS (SELECT *, row_number() OVER (PARTITION BY rep ORDER BY md5('42:' || rep || ':' || entity_id)) AS rk FROM basis, reps),
-  nul AS (SELECT rep, ({num}) / ({den}) AS stat FROM shuffled JOIN prices USING (rk) GROUP BY rep)
-  SELECT 'price_coef' AS test, round(any_value(b), 6) AS observed_stat,
-    round(avg(CASE WHEN stat <= b + 1e-9 THEN 1.0::DOUBLE ELSE 0 END), 6) AS p_value, CAST({REPS} AS INTEGER) AS n_permutations,
-    {ALPHA}::DOUBLE AS alpha, CAST(avg(CASE WHEN stat <= b + 1e-9 THEN 1.0::DOUBLE ELSE 0 END) < {ALPHA} AS INTEGER) AS reject
+  prices AS (SELECT x AS p, row_number() OVER (ORDER BY x) - 1 AS pos FROM basis)
+  {_permuted_sql()},
+  nul AS (SELECT rep, ({num}) / ({den}) AS stat FROM places JOIN basis USING (i) JOIN prices USING (pos) GROUP BY rep)
+  SELECT 'price_coef' AS test, round(any_value(obs.b), 6) AS observed_stat,
+    round(avg(CASE WHEN stat <= obs.b + 1e-9 THEN 1.0::DOUBLE ELSE 0 END), 6) AS p_value, CAST({REPS} AS INTEGER) AS n_permutations,
+    {ALPHA}::DOUBLE AS alpha, CAST(avg(CASE WHEN stat <= obs.b + 1e-9 THEN 1.0::DOUBLE ELSE 0 END) < {ALPHA} AS INTEGER) AS reject
   FROM nul, obs""")
 
 
@@ -142,13 +161,30 @@ def _(spark, sf):
     return rounded(I.perm_ols_coef(paid, "entity_id", "price", "log_copies_sold", _CONTROLS, REPS))
 
 
+def _uniform_sql(*parts: str) -> str:
+    return f"(('0x' || substr(md5({" || ':' || ".join(parts)}), 1, 13))::BIGINT + 0.5) / 4503599627370496.0::DOUBLE"
+
+
+#: Trials of the rejection sampler in SQL; one is accepted with a chance over two thirds.
+_TRIALS = 60
+
+
 def _resample_sql(name: str, where: str, seed: str) -> str:
+    """Per replicate the middle of a resample: draws of the middle order statistic by rejection."""
+    u, v, after = (_uniform_sql(f"'{seed}'", "rep", *x) for x in (("t", "0"), ("t", "1"), ("'next'",)))
     return f"""
   , {name}_v AS (SELECT log_copies_sold AS v, row_number() OVER (ORDER BY log_copies_sold, entity_id) - 1 AS i,
       count(*) OVER () AS n FROM pre WHERE {where}),
-  {name}_d AS (SELECT rep, CAST(floor(('0x' || substr(md5('{seed}:' || rep || ':' || i), 1, 8))::BIGINT
-      * n::DOUBLE / 4294967296.0::DOUBLE) AS BIGINT) AS j FROM {name}_v, reps),
-  {name} AS (SELECT rep, quantile_cont(v, 0.5) AS m FROM {name}_d JOIN {name}_v ON j = i GROUP BY rep)"""
+  {name}_p AS (SELECT n, a, n + 1 - a AS b, a::DOUBLE AS lesser, n + 1.0::DOUBLE AS total FROM (SELECT n, (n + 1) // 2 AS a FROM (SELECT any_value(n) AS n FROM {name}_v))),
+  {name}_t AS (SELECT rep, t, n, a, b, total, {u} AS u, {v} AS w, sqrt((total - 2) / nullif(2.0::DOUBLE * a * b - total, 0)) AS slope FROM reps, {name}_p,
+      (SELECT unnest(range({_TRIALS})) AS t)),
+  {name}_o AS (SELECT *, slope * ln(u / (1 - u)) AS odds, a * exp(slope * ln(u / (1 - u))) AS x FROM {name}_t),
+  {name}_u AS (SELECT rep, n, a, CASE WHEN any_value(a) = 1 THEN 1 - power(1 - arg_min(u, t), 1.0::DOUBLE / any_value(b))
+        ELSE arg_min(x / (b + x), t) FILTER ((a + 1 / slope) * odds - ln(4.0::DOUBLE) + total * ln(total / (b + x)) >= ln(u * u * w)) END AS first
+      FROM {name}_o GROUP BY rep, n, a),
+  {name}_d AS (SELECT rep, unnest([least(CAST(floor(first * n) AS BIGINT), n - 1), least(CAST(floor(CASE WHEN n % 2 = 1 THEN first
+        ELSE first + (1 - first) * (1 - power(1 - {after}, 1.0::DOUBLE / (n - a))) END * n) AS BIGINT), n - 1)]) AS j FROM {name}_u),
+  {name} AS (SELECT rep, avg(v) AS m FROM {name}_d JOIN {name}_v ON j = i GROUP BY rep)"""
 
 
 def _ci_select(a: str, b: str, la: str, lb: str) -> str:

@@ -1,6 +1,9 @@
-"""Replicates as rows against plain Python on a small table."""
+"""Replicates against plain Python on a small table."""
 
 import hashlib
+import itertools
+import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -65,11 +68,62 @@ def test_anova_ignores_order_inside_a_group(df):
     assert runs[0].observed_stat == pytest.approx(runs[1].observed_stat) and runs[0].p_value == runs[1].p_value
 
 
-def test_ols_coefficient_with_controls(df, rows, monkeypatch):
+def plain_permutation(n, rep, seed=42):
+    """The Feistel network of a replicate, one number at a time."""
+    a = math.isqrt(n - 1) + 1 if n > 1 else 1
+    b = -(-n // a)
+
+    def hashed(j, x, side):
+        return int(digest(seed, rep, j, x)[:8], 16) % side
+
+    out = []
+    for i in range(n):
+        while True:
+            left, right = divmod(i, b)
+            for j in range(6):
+                if j % 2:
+                    right = (right + hashed(j, left, b)) % b
+                else:
+                    left = (left + hashed(j, right, a)) % a
+            i = left * b + right
+            if i < n:
+                break
+        out.append(i)
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 101, 300])
+def test_permutations_are_permutations(n):
+    sides = I.feistel_sides(n)
+    for rep in range(3):
+        got = I.permuted(np.arange(n), n, sides, I.round_tables(42, rep, sides)).tolist()
+        assert got == plain_permutation(n, rep) and sorted(got) == list(range(n))
+
+
+def test_permutations_send_every_row_everywhere():
+    """Each row meets each place about equally often, and pairs of rows independently."""
+    n, reps = 23, 4000
+    sides = I.feistel_sides(n)
+    seen, pairs = np.zeros((n, n)), np.zeros((n, n))
+    for rep in range(reps):
+        at = I.permuted(np.arange(n), n, sides, I.round_tables("u", rep, sides))
+        seen[np.arange(n), at] += 1
+        pairs[at[0], at[1]] += 1
+    chi = ((seen - reps / n) ** 2 / (reps / n)).sum()
+    assert chi < n * n + 6 * np.sqrt(2 * n * n)
+    off = ~np.eye(n, dtype=bool)
+    expected = reps / (n * (n - 1))
+    assert ((pairs[off] - expected) ** 2 / expected).sum() < n * n + 6 * np.sqrt(2 * n * n)
+
+
+@pytest.mark.parametrize("at_once", [1_000_000, 4])
+def test_ols_coefficient_with_controls(df, rows, monkeypatch, at_once):
     monkeypatch.setattr(I, "REPLICATES_PER_BATCH", 4)  # more than one batch
+    monkeypatch.setattr(I, "PRICES_AT_ONCE", at_once)  # prices in one or several slices
     y = np.array([r[2] for r in rows])
     controls = np.array([[r[4], r[1]] for r in rows])
-    prices = [r[3] for r in sorted(rows, key=lambda r: digest("42:base", r[0]))]
+    numbered = sorted(rows, key=lambda r: digest("42:base", r[0]))
+    prices = sorted(r[3] for r in rows)
 
     def beta(x):
         design = np.column_stack([np.ones(len(y)), x, controls])
@@ -77,19 +131,91 @@ def test_ols_coefficient_with_controls(df, rows, monkeypatch):
 
     obs, null = beta(np.array([r[3] for r in rows])), []
     for rep in range(10):
-        place = {r[0]: i for i, r in enumerate(shuffled(rows, rep))}
+        place = {r[0]: p for r, p in zip(numbered, plain_permutation(len(rows), rep))}
         null.append(beta(np.array([prices[place[r[0]]] for r in rows])))
     got = I.perm_ols_coef(df, "k", "x", "v", ["c", "g"], n_rep=10).first()
     assert got.observed_stat == pytest.approx(obs, rel=1e-8)
     assert got.p_value == pytest.approx(np.mean(np.array(null) <= obs))
 
 
+def test_shuffled_prices_need_no_exchange_of_rows(spark, df):
+    """The only exchange holds one row per task and replicate."""
+    rows = df.select(F.col("k").cast("bigint").alias("index"), F.col("x").cast("double").alias("x"), F.col("v").alias("y"))
+    sums = I._shuffled_sums(rows, ["y"], 300, 0, 9, 42, 0, np.arange(11.0), np.full(11, 28, np.int64))
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan and plan.count("Exchange") == 1
+    assert plan.index("HashAggregate") < plan.index("Exchange") < plan.index("MapInArrow")
+
+
+def test_windows_that_miss_are_widened(df, rows, monkeypatch):
+    """Narrow windows leave replicates out, which wider ones then settle to the same values."""
+    two = df.where("g < 2")
+    n1 = sum(r[1] for r in rows if r[1] < 2)
+    plenty = {r.rep: r.stat for r in I.perm_median_null(two, "k", "v", n1, 20).collect()}
+    monkeypatch.setattr(I, "WINDOW", 0.02)
+    assert {r.rep: r.stat for r in I.perm_median_null(two, "k", "v", n1, 20).collect()} == pytest.approx(plenty)
+    assert I.perm_anova_f(df, "k", "g", "v", n_rep=10).first().p_value == pytest.approx(anova_p(rows, 10))
+
+
+def anova_p(rows, n_rep):
+    labels = np.sort([r[1] for r in rows])
+    obs = f_stat(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]))
+    null = [f_stat(labels, np.array([r[2] for r in shuffled(rows, rep)])) for rep in range(n_rep)]
+    return np.mean(np.array(null) >= obs - 1e-9)
+
+
+def test_medians_fold_settled_rows(spark):
+    """On many rows most are settled by their hash and their value, and the medians are right."""
+    n, n1 = 20_000, 3_000
+    df = spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 7919 % 10_007).cast("double").alias("v"))
+    got = {r.rep: r.stat for r in I.perm_median_null(df, "k", "v", n1, 3).collect()}
+    vals = [i * 7919 % 10_007 for i in range(n)]
+    for rep in range(3):
+        order = sorted(range(n), key=lambda i: digest(42, rep, i))
+        assert got[rep] == np.median([vals[i] for i in order[:n1]]) - np.median([vals[i] for i in order[n1:]])
+
+
+def test_a_missing_side_raises(df):
+    with pytest.raises(ValueError, match="groups 0 and 1"):
+        I.perm_median_diff(df.where("g = 0"), "k", "g", "v", n_rep=2)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5])
+def test_middle_of_a_resample_has_the_enumerated_law(n):
+    """All n**n resamples, against many draws of the middle places."""
+    want = Counter()
+    for draws in itertools.product(range(n), repeat=n):
+        s = sorted(draws)
+        want[s[(n - 1) // 2], s[n // 2]] += 1 / n**n
+    reps = 20_000
+    got = Counter(I.middle_places(n, "law", rep) for rep in range(reps))
+    assert set(got) <= set(want)
+    for places, p in want.items():
+        assert abs(got[places] / reps - p) < 5 * np.sqrt(p * (1 - p) / reps) + 1e-9, places
+
+
+@pytest.mark.parametrize("a, b", [(2, 2), (2, 3), (3, 2), (40, 41), (7, 1), (1, 9), (5000, 5001)])
+def test_beta_draws(a, b):
+    draws = np.array([I.beta_draw(a, b, "beta", rep) for rep in range(8000)])
+    mean, var = a / (a + b), a * b / (a + b) ** 2 / (a + b + 1)
+    assert abs(draws.mean() - mean) < 5 * np.sqrt(var / 8000) and draws.var() == pytest.approx(var, rel=0.12)
+
+
 def test_bootstrap_median(df, rows):
     vals = sorted(r[2] for r in rows if r[1] == 0)
-    n = len(vals)
-    want = [np.median([vals[int(int(digest("s", rep, d)[:8], 16) * float(n) / 2**32)] for d in range(n)]) for rep in range(8)]
+    want = [np.mean([vals[p] for p in I.middle_places(len(vals), "s", rep)]) for rep in range(8)]
     got = {r.rep: r.median for r in I.bootstrap_medians(df.where("g = 0"), "v", 8, "s").collect()}
     assert [got[i] for i in range(8)] == pytest.approx(want)
+    assert I.bootstrap_medians(df.where("g > 9"), "v", 8).count() == 0
+
+
+def test_bootstrap_interval_agrees_with_row_draws(df, rows):
+    """The interval of 4000 replicates against one from resampled rows."""
+    groups = {g: np.array([r[2] for r in rows if r[1] == g]) for g in (0, 1)}
+    rng = np.random.default_rng(5)
+    diffs = [np.median(rng.choice(groups[1], 100)) - np.median(rng.choice(groups[0], 100)) for _ in range(4000)]
+    got = I.bootstrap_median_ci(df, "g", "v", 1, 0, n_rep=4000).first()
+    assert [got.ci_low, got.ci_high] == pytest.approx(np.quantile(diffs, [0.025, 0.975]), abs=0.06)
 
 
 def test_bootstrap_coefficients(df, rows):
