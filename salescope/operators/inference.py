@@ -3,13 +3,12 @@
 Every random choice is an md5 of ``seed:rep:...``, so a run can be repeated anywhere.
 Nothing orders the rows of a replicate:
 
-- Labels are dealt in hash order. A uniform hash places all but a few times sqrt(n)
-  rows by its value alone, so one pass hashes each row once per replicate, folds the
-  settled rows into a few sums on the map side, and only the rows near a cut (and near
-  the median) are shuffled and ordered.
-- Shuffled prices come from a pseudo-random permutation of row numbers, a Feistel
-  network whose round functions are tables of about sqrt(n) hashes, so a row finds its
-  price in a replicate by itself.
+- Rows are numbered once, in hash order. A replicate shuffles the numbers by a
+  pseudo-random permutation, a Feistel network whose round functions are tables of about
+  sqrt(n) hashes, so a row finds its label or its price in a replicate by itself, in
+  arrays, and tasks emit sums per replicate.
+- The median of a shuffled side lies in a narrow band of the value axis; rows below it
+  are counted, and only the few times sqrt(n) values inside are brought together.
 - A resampled median is one draw of the middle order statistic of n uniforms.
 - Coefficient replicates are matrix products over Arrow batches.
 
@@ -26,18 +25,18 @@ from math import ceil, exp, factorial, floor, isqrt, log, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescope.functions.hashing import hex_fraction, hex_uint32, md5_of
+from salescope.functions.hashing import hex_uint32, md5_of
 from salescope.operators.order_stats import exact_quantiles, hash_ranks, null_safe, values_at_ranks
 from salescope.operators.relational import union_summaries
 from salescope.session import materialize
 
 TOLERANCE = 1e-9
 REPLICATES_PER_BATCH = 2000
-#: Half-width of a window around an expected place, in deviations.
-WINDOW = 8.0
+#: Half-width of the band around an expected place, in deviations.
+WINDOW = 6.0
 #: Most distinct prices (16 bytes each) that travel to the tasks at once.
 PRICES_AT_ONCE = 1_000_000
 ROUNDS = 6
@@ -65,94 +64,159 @@ def _result(spark, name: str, observed: float, null: DataFrame, extreme: Column,
     )
 
 
-def _dealt(base: DataFrame, key: str, reps: Column, ends: Sequence[int], width: float, seed: int) -> DataFrame:
-    """Every row once per replicate, with ``u`` its hash in [0, 1), and ``label`` where u settles it.
+def round_tables(seed: int, rep: int, sides: tuple[int, int]) -> list[np.ndarray]:
+    """The round functions of a replicate's permutation, as hashes modulo the side they move.
 
-    In hash order the first ``ends[0]`` rows get label 0, those up to ``ends[1]`` label 1,
-    and so on; ``h`` holds the hash of the rows near a cut, whose label is null.
+    The hash of ``seed:rep:round:block`` holds the values of four numbers in a row.
     """
-    n = ends[-1]
-    rows = base.select("*", F.explode(reps).alias("rep")).withColumn("__h", md5_of(seed, F.col("rep"), F.col(key)))
-    rows = rows.withColumn("u", hex_fraction(F.col("__h")))
-    label, near = F.lit(0), F.lit(False)
-    for end in ends[:-1]:
-        p = end / n
-        reach = width * (sqrt(p * (1 - p) / n) + 2 / n)
-        label = label + (F.col("u") > p + reach).cast("int")
-        near = near | F.col("u").between(p - reach, p + reach)
-    return rows.select("*", F.when(~near, label).alias("label"), F.when(near, F.col("__h")).alias("h")).drop("__h")
-
-
-def _settled(counts: DataFrame, ends: Sequence[int]) -> DataFrame:
-    """Labels of the rows near a cut, from their place in hash order; ``counts`` has rep, label, h, u, c."""
-    upto = F.sum("c").over(Window.partitionBy("rep").orderBy("u", F.col("h").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow))
-    placed = reduce(lambda a, b: a + b, [(F.col("__upto") > end).cast("int") for end in ends[:-1]], F.lit(0))
-    return counts.withColumn("__upto", upto).withColumn("label", F.coalesce("label", placed)).drop("__upto")
-
-
-def _until_settled(first: int, last: int, attempt: Callable[[Column, float], DataFrame]) -> DataFrame:
-    """``(rep, stat)`` for all replicates; ``attempt`` leaves out those whose windows missed, which get wider ones."""
-    done, width = [], WINDOW
-    reps = F.sequence(F.lit(first), F.lit(last))
-    while True:
-        done.append(materialize(attempt(reps, width), "settled"))
-        got = {r.rep for d in done for r in d.select("rep").collect()}
-        missing = [i for i in range(first, last + 1) if i not in got]
-        if not missing:
-            return reduce(DataFrame.unionByName, done)
-        reps, width = F.array(*[F.lit(i) for i in missing]), width * 8
+    tables = []
+    for j in range(ROUNDS):
+        moved, other = sides[j % 2], sides[1 - j % 2]
+        blocks = b"".join(md5(f"{seed}:{rep}:{j}:{x}".encode()).digest() for x in range(-(-other // 4)))
+        tables.append((np.frombuffer(blocks, ">u4")[:other] % moved).astype(np.int32))
+    return tables
+
+
+def feistel_sides(n: int) -> tuple[int, int]:
+    """The sides of the least nearly square rectangle that holds 0 to n - 1."""
+    a = isqrt(n - 1) + 1 if n > 1 else 1
+    return a, -(-n // a)
+
+
+def permuted(index: np.ndarray, n: int, sides: tuple[int, int], tables: Sequence[np.ndarray]) -> np.ndarray:
+    """A permutation of 0 to n - 1 at ``index``: rounds on the rectangle, repeated while outside."""
+    out = index.astype(np.int64)
+    todo = np.arange(len(out))
+    while len(todo):
+        left, right = np.divmod(out[todo], sides[1])
+        for j, table in enumerate(tables):
+            if j % 2 == 0:
+                left += table[right]
+                np.subtract(left, sides[0], out=left, where=left >= sides[0])
+            else:
+                right += table[left]
+                np.subtract(right, sides[1], out=right, where=right >= sides[1])
+        out[todo] = left * sides[1] + right
+        todo = todo[out[todo] >= n]
+    return out
+
+
+def _numbered(rows: DataFrame, key: str, seed: int) -> tuple[DataFrame, int, int]:
+    """Rows with ``index`` from 0 in hash order, their number, and the most replicates whose tables fit a task."""
+    ranked = hash_ranks(rows.withColumn("__h", md5_of(f"{seed}:base", F.col(key))), [], "__h", "__rank")
+    out = materialize(ranked.withColumn("index", F.col("__rank") - 1).drop("__rank", "__h", key), "numbered")
+    n = out.count()
+    return out, n, max(1, TABLE_BYTES // (4 * ROUNDS * feistel_sides(n)[0]))
+
+
+def _summed_over(indexed: DataFrame, columns: Sequence[str], n: int, first: int, last: int, seed: int,
+                 out: Sequence[str], of: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """``rep`` and the sums ``out``: ``of`` turns the shuffled places and the columns of some rows into parts of them.
+
+    Each task adds up its rows and emits one row per replicate.
+    """
+    sides = feistel_sides(n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables: list[list[np.ndarray]] = []
+        sums = np.zeros((last - first + 1, len(out)))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            index, *values = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            tables = tables or [round_tables(seed, rep, sides) for rep in range(first, last + 1)]
+            for i, table in enumerate(tables):
+                sums[i] += of(permuted(index, n, sides, table), np.column_stack(values))
+        if tables:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, last + 1), pa.int32()), *(pa.array(s) for s in sums.T)],
+                                             names=["rep", *out])
+
+    partial = indexed.select("index", *columns).mapInArrow(run, "rep int, " + ", ".join(f"{c} double" for c in out))
+    return partial.groupBy("rep").agg(*[F.sum(c).alias(c) for c in out])
+
+
+def _shuffled_medians(indexed: DataFrame, n: int, reps: Sequence[int], seed: int, n_first: int,
+                      bands: Sequence[tuple[float, float]]) -> DataFrame:
+    """``(rep, stat)``: difference of the sides' medians, null where one lies outside its band."""
+    sides, sizes = feistel_sides(n), (n_first, n - n_first)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables: list[list[np.ndarray]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            index, v = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            tables = tables or [round_tables(seed, rep, sides) for rep in reps]
+            places = [(v < lo, (v >= lo) & (v <= hi)) for lo, hi in bands]
+            below, inside = [], []
+            for table in tables:
+                first = permuted(index, n, sides, table) < n_first
+                for mine, (under, within) in zip((first, ~first), places):
+                    below.append(int(np.count_nonzero(mine & under)))
+                    inside.append(v[mine & within])
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in inside])])
+            yield pa.RecordBatch.from_pydict({
+                "rep": pa.array(np.repeat(list(reps), 2), pa.int32()), "side": pa.array(np.tile([0, 1], len(reps)), pa.int32()),
+                "below": pa.array(below, pa.int64()), "v": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(inside)))})
+
+    def middle(m: int, below: int, parts: list[np.ndarray]) -> float | None:
+        values = np.sort(np.concatenate(parts))
+        lo, hi = (m - 1) // 2 - below, m // 2 - below
+        return float(values[lo] + values[hi]) / 2 if 0 <= lo and hi < len(values) else None
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, below, parts, medians = None, 0, [], {}
+
+        def close():
+            medians[held[1]] = middle(sizes[held[1]], below, parts)
+            if held[1] == 1:
+                a, b = medians.pop(0), medians.pop(1)
+                yield pa.RecordBatch.from_pydict({"rep": pa.array([held[0]], pa.int32()), "stat": pa.array(
+                    [None if a is None or b is None else a - b], pa.float64())})
+
+        for batch in batches:
+            for rep, side, under, values in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+                if held != (rep, side):
+                    if held is not None:
+                        yield from close()
+                    held, below, parts = (rep, side), 0, []
+                below += under
+                parts.append(values.values.to_numpy())
+        if held is not None:
+            yield from close()
+
+    partial = indexed.select("index", "v").mapInArrow(run, "rep int, side int, below long, v array<double>")
+    return partial.repartition("rep").sortWithinPartitions("rep", "side").mapInArrow(settle, "rep int, stat double")
 
 
 def perm_median_null(base: DataFrame, key: str, value: str, n_first: int, n_rep: int, seed: int = 42) -> DataFrame:
-    """``(rep, stat)``: median of the first ``n_first`` shuffled rows minus the rest.
+    """``(rep, stat)``: median of the rows shuffled to the first ``n_first`` places minus that of the rest.
 
     The median of m rows drawn from n lies within a few times n / sqrt(m) / 2 places of
-    the whole table's middle. The values at the ends of that band, fixed for all
-    replicates, cut the value axis; rows below it are only counted.
+    the whole table's middle, which fixes one band of values per side for all replicates.
+    A replicate whose median lies outside is taken again with a band eight times as wide.
     """
-    base = base.select(key, F.col(value).cast("double").alias("v"))
-    n = base.count()
-    ends, sizes = [n_first, n], [n_first, n - n_first]
+    indexed, n, most = _numbered(base.select(key, F.col(value).cast("double").alias("v")), key, seed)
 
     @cache
-    def bands(width: float) -> dict[int, tuple[float | None, float | None]]:
-        spots = {}
-        for side, m in enumerate(sizes):
+    def bands(width: float) -> list[tuple[float, float]]:
+        spots = []
+        for m in (n_first, n - n_first):
             reach = width * n / (2 * sqrt(m)) + 2
-            spots[side] = max(0, floor(n / 2 - reach)), min(n - 1, ceil(n / 2 + reach))
-        ranks = base.sparkSession.createDataFrame([(r,) for pair in spots.values() for r in pair], "rank bigint")
-        at = {r["rank"]: r.v for r in values_at_ranks(base, "v", ranks).collect()}
-        return {side: (at[lo] if lo > 0 else None, at[hi] if hi < n - 1 else None) for side, (lo, hi) in spots.items()}
-
-    def attempt(reps: Column, width: float) -> DataFrame:
-        band = bands(width)
-
-        def place(label: Column) -> Column:
-            """-1 below the band of a side, 0 inside, 1 above."""
-            expr = F.lit(None).cast("int")
-            for side, (lo, hi) in band.items():
-                below = F.col("v") < lo if lo is not None else F.lit(False)
-                above = F.col("v") > hi if hi is not None else F.lit(False)
-                expr = F.when(label == side, F.when(below, -1).when(above, 1).otherwise(0)).otherwise(expr)
-            return expr
-
-        rows = _dealt(base, key, reps, ends, width, seed).withColumn("place", place(F.col("label")))
-        shown = F.when(F.coalesce(F.col("place"), F.lit(0)) == 0, F.col("v"))
-        counts = rows.groupBy("rep", "label", "place", "h", shown.alias("v")).agg(F.count("*").alias("c"), F.min("u").alias("u"))
-        sided = _settled(counts, ends).withColumn("place", F.coalesce("place", place(F.col("label"))))
-        upto = Window.partitionBy("rep", "label").orderBy("place", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ordered = sided.withColumn("__upto", F.sum("c").over(upto))
-        middles = []
-        for side, m in enumerate(sizes):
-            for r in ((m - 1) // 2, m // 2):
-                hit = (F.col("label") == side) & (F.col("place") == 0) & (F.col("__upto") > r) & (F.col("__upto") - F.col("c") <= r)
-                middles.append(F.max(F.when(hit, F.col("v"))))
-        total = F.sum(F.when(F.col("label") == 0, F.col("c")))
-        out = ordered.groupBy("rep").agg(total.alias("__n"), ((middles[0] + middles[1]) / 2 - (middles[2] + middles[3]) / 2).alias("stat"))
-        return out.where((F.col("__n") == n_first) & F.col("stat").isNotNull()).select("rep", "stat")
-
-    return _over_batches(n_rep, lambda first, last: _until_settled(first, last, attempt))
+            spots.append((max(0, floor(n / 2 - reach)), min(n - 1, ceil(n / 2 + reach))))
+        ranks = base.sparkSession.createDataFrame([(r,) for pair in spots for r in pair], "rank bigint")
+        at = {r["rank"]: r.v for r in values_at_ranks(indexed, "v", ranks).collect()}
+        return [(at[lo], at[hi]) for lo, hi in spots]
+
+    def run(first: int, last: int) -> DataFrame:
+        done, width, reps = [], WINDOW, list(range(first, last + 1))
+        while reps:
+            found = materialize(_shuffled_medians(indexed, n, reps, seed, n_first, bands(width)), "medians")
+            done.append(found.where(F.col("stat").isNotNull()))
+            reps, width = [r.rep for r in found.where(F.col("stat").isNull()).collect()], width * 8
+        return reduce(DataFrame.unionByName, done)
+
+    return _over_batches(n_rep, run, most)
 
 
 def perm_median_diff(df: DataFrame, key: str, group: str, value: str, n_rep: int = 10_000,
@@ -197,50 +261,18 @@ def perm_anova_f(df: DataFrame, key: str, group: str, value: str, n_rep: int = 1
         return (between / (k - 1)) / ((squares - between) / (total - k))
 
     observed = f_of(sum((r.s - r.n * mean) ** 2 / r.n for r in stats))
-    ends = np.cumsum(sizes).tolist()
-
-    def attempt(reps: Column, width: float) -> DataFrame:
-        rows = _dealt(centred, key, reps, ends, width, seed)
-        counts = rows.groupBy("rep", "label", "h").agg(F.count("*").alias("c"), F.sum("v").alias("s"), F.min("u").alias("u"))
-        sums = _settled(counts, ends).groupBy("rep").agg(*[
-            F.coalesce(F.sum(F.when(F.col("label") == j, F.col(x))), F.lit(0)).alias(f"{x}{j}") for j in range(k) for x in ("s", "c")])
-        right = reduce(lambda a, b: a & b, [F.col(f"c{j}") == n for j, n in enumerate(sizes)])
-        between = reduce(lambda a, b: a + b, [F.col(f"s{j}") * F.col(f"s{j}") / n for j, n in enumerate(sizes)])
-        return sums.where(right).select("rep", f_of(between).alias("stat"))
-
-    null = _over_batches(n_rep, lambda first, last: _until_settled(first, last, attempt))
-    return _result(df.sparkSession, "anova_f", observed, null, F.col("stat") >= observed - TOLERANCE, n_rep, alpha)
+    ends, names = np.cumsum(sizes), [f"s{j}" for j in range(k)]
+    indexed, n, most = _numbered(centred, key, seed)
 
+    def sums(place: np.ndarray, values: np.ndarray) -> np.ndarray:
+        return np.bincount(np.searchsorted(ends, place, side="right"), values[:, 0], k)
 
-def round_tables(seed: int, rep: int, sides: tuple[int, int]) -> list[np.ndarray]:
-    """The round functions of a replicate's permutation: hashes modulo the side they move."""
-    tables = []
-    for j in range(ROUNDS):
-        moved, other = sides[j % 2], sides[1 - j % 2]
-        tables.append(np.array([int(md5(f"{seed}:{rep}:{j}:{x}".encode()).hexdigest()[:8], 16) % moved for x in range(other)], np.int32))
-    return tables
-
-
-def feistel_sides(n: int) -> tuple[int, int]:
-    """The sides of the least nearly square rectangle that holds 0 to n - 1."""
-    a = isqrt(n - 1) + 1 if n > 1 else 1
-    return a, -(-n // a)
-
+    def run(first: int, last: int) -> DataFrame:
+        between = reduce(lambda a, b: a + b, [F.col(c) * F.col(c) / m for c, m in zip(names, sizes)])
+        return _summed_over(indexed, ["v"], n, first, last, seed, names, sums).select("rep", f_of(between).alias("stat"))
 
-def permuted(index: np.ndarray, n: int, sides: tuple[int, int], tables: Sequence[np.ndarray]) -> np.ndarray:
-    """A permutation of 0 to n - 1 at ``index``: rounds on the rectangle, repeated while outside."""
-    out = index.astype(np.int64)
-    todo = np.arange(len(out))
-    while len(todo):
-        left, right = np.divmod(out[todo], sides[1])
-        for j, table in enumerate(tables):
-            if j % 2 == 0:
-                left = (left + table[right]) % sides[0]
-            else:
-                right = (right + table[left]) % sides[1]
-        out[todo] = left * sides[1] + right
-        todo = todo[out[todo] >= n]
-    return out
+    null = _over_batches(n_rep, run, most)
+    return _result(df.sparkSession, "anova_f", observed, null, F.col("stat") >= observed - TOLERANCE, n_rep, alpha)
 
 
 def _price_slices(rows: DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -262,33 +294,16 @@ def _shuffled_sums(indexed: DataFrame, basis: Sequence[str], n: int, first: int,
                    place: int, prices: np.ndarray, counts: np.ndarray) -> DataFrame:
     """``rep`` and, per column of ``basis``, its cross sum with the shuffled prices of one slice.
 
-    Price places run in price order; the row with number i takes the price at the place
-    to which the replicate's permutation sends i. Each task adds up its rows and emits
-    one row per replicate.
+    Places run in price order: a row takes the price at its shuffled place, and those of
+    ``prices`` begin at ``place``.
     """
-    ends, sides, width = place + np.cumsum(counts), feistel_sides(n), len(basis)
+    ends = place + np.cumsum(counts)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables: list[list[np.ndarray]] = []
-        sums = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            index, *values = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            b = np.column_stack(values)
-            if sums is None:
-                tables = [round_tables(seed, rep, sides) for rep in range(first, last + 1)]
-                sums = np.zeros((len(tables), width))
-            for rep, table in enumerate(tables):
-                at = permuted(index, n, sides, table)
-                here = (at >= place) & (at < ends[-1])
-                sums[rep] += prices[np.searchsorted(ends, at[here], side="right")] @ b[here]
-        if sums is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, last + 1), pa.int32()), *(pa.array(sums[:, j]) for j in range(width))],
-                                             names=["rep", *basis])
-
-    partial = indexed.select("index", *basis).mapInArrow(run, "rep int, " + ", ".join(f"{b} double" for b in basis))
-    return partial.groupBy("rep").agg(*[F.sum(b).alias(b) for b in basis])
+    def sums(at: np.ndarray, values: np.ndarray) -> np.ndarray:
+        here = (at >= place) & (at < ends[-1])
+        return prices[np.searchsorted(ends, at[here], side="right")] @ values[here]
+
+    return _summed_over(indexed, basis, n, first, last, seed, basis, sums)
 
 
 def perm_ols_coef(df: DataFrame, key: str, price: str, target: str, controls: Sequence[str] = (),
@@ -297,7 +312,7 @@ def perm_ols_coef(df: DataFrame, key: str, price: str, target: str, controls: Se
 
     The control block stays fixed, so each replicate only needs the cross sums of
     the shuffled price with the controls and the target, which tasks add up on their own
-    rows. Rows are numbered once, in hash order.
+    rows. Places run in price order, so only distinct prices and their counts travel.
     """
     cols = [price, target, *controls]
     base = materialize(
@@ -330,16 +345,13 @@ def perm_ols_coef(df: DataFrame, key: str, price: str, target: str, controls: Se
         return num / den
 
     observed = float(slope(s("x", "y"), [s("x", c) for c in cs]))
-    ranked = hash_ranks(rows.withColumn("h", md5_of(f"{seed}:base", F.col("__key"))), [], "h", "rank")
-    indexed = materialize(ranked.select((F.col("rank") - 1).alias("index"), "x", *basis), "numbered")
-    n = indexed.count()
-    slices = _price_slices(indexed)
+    indexed, n, most = _numbered(rows, "__key", seed)
+    sums = [_over_batches(n_rep, lambda first, last: _shuffled_sums(indexed, basis, n, first, last, seed, *part), most)
+            for part in _price_slices(indexed)]
 
     def total(parts: list[DataFrame]) -> DataFrame:
         return reduce(DataFrame.unionByName, parts).groupBy("rep").agg(*[F.sum(b).alias(b) for b in basis])
 
-    most = TABLE_BYTES // (4 * ROUNDS * feistel_sides(n)[0])
-    sums = [_over_batches(n_rep, lambda first, last: _shuffled_sums(indexed, basis, n, first, last, seed, *part), most) for part in slices]
     null = total(sums).select("rep", slope(F.col("y"), [F.col(c) for c in cs]).alias("stat"))
     return _result(df.sparkSession, "price_coef", observed, null, F.col("stat") <= observed + TOLERANCE, n_rep, alpha)
 

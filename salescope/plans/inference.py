@@ -1,4 +1,4 @@
-"""Permutation and bootstrap queries, with few replicates so that SQL can follow."""
+"""Permutation and bootstrap queries; their SQL draws the same replicates in its own way."""
 
 from __future__ import annotations
 
@@ -13,7 +13,8 @@ from salescope.plans.entity import entity_table
 from salescope.plans.registry import ENTITY, pre_sql, query, rounded
 from salescope.session import materialize
 
-REPS = 1000
+REPS = 10_000
+COEF_REPS = 500
 ALPHA = 0.05
 
 
@@ -29,14 +30,38 @@ def _rows(spark, sf, *more):
     return materialize(S.add_log_target(S.log_skewed(df, ENTITY), ENTITY), "rows")
 
 
-_REPS_SQL = f", reps AS (SELECT unnest(range({REPS})) AS rep)"
+def _reps_sql(n: int) -> str:
+    return f", reps AS (SELECT unnest(range({n})) AS rep)"
 
-_MEDIAN_SQL = pre_sql(_REPS_SQL + f"""
+
+_REPS_SQL = _reps_sql(REPS)
+
+def _permuted_sql() -> str:
+    """``places``: the place to which each replicate's Feistel permutation sends each row number."""
+    steps, cols = "SELECT rep, i, t, n, a, b, pos // b AS l, pos % b AS r, t0, t1, t2, t3, t4, t5 FROM w JOIN tabs USING (rep) WHERE t = 0 OR pos >= n", \
+        "rep, i, t, n, a, b, t0, t1, t2, t3, t4, t5"
+    for j in range(I.ROUNDS):
+        moved = f"(l + t{j}[r + 1]) % a AS l, r" if j % 2 == 0 else f"l, (r + t{j}[l + 1]) % b AS r"
+        steps = f"SELECT {cols}, {moved} FROM ({steps})"
+    lists = ", ".join(f"any_value(t) FILTER (j = {j}) AS t{j}" for j in range(I.ROUNDS))
+    return f"""
+  , size AS (SELECT n, a, (n + a - 1) // a AS b FROM (SELECT count(*) AS n, CAST(floor(sqrt(count(*) - 1)) AS BIGINT) + 1 AS a FROM basis)),
+  tabs AS (SELECT rep, n, a, b, {lists} FROM (
+    SELECT rep, j, n, a, b, list(('0x' || substr(md5('42:' || rep || ':' || j || ':' || x // 4), 1 + 8 * (x % 4), 8))::BIGINT % (CASE WHEN j % 2 = 0 THEN a ELSE b END) ORDER BY x) AS t
+    FROM (SELECT *, unnest(range(CASE WHEN j % 2 = 0 THEN b ELSE a END)) AS x FROM reps, size, (SELECT unnest(range({I.ROUNDS})) AS j)) GROUP BY ALL) GROUP BY ALL),
+  places AS (WITH RECURSIVE w AS (
+      SELECT rep, i, i AS pos, 0 AS t FROM reps, (SELECT i FROM basis)
+      UNION ALL SELECT rep, i, l * b + r, t + 1 FROM ({steps}))
+    SELECT rep, i, pos FROM w, size WHERE t > 0 AND pos < n)"""
+
+
+_VALUES = """
+  , basis AS (SELECT log_copies_sold AS v, row_number() OVER (ORDER BY md5('42:base:' || entity_id)) - 1 AS i FROM pre)"""
+_MEDIAN_SQL = pre_sql(_REPS_SQL + _VALUES + _permuted_sql() + f"""
   , k AS (SELECT count(*) FILTER (WHERE is_free_to_play = 1) AS n1,
       quantile_cont(log_copies_sold, 0.5) FILTER (WHERE is_free_to_play = 1)
       - quantile_cont(log_copies_sold, 0.5) FILTER (WHERE is_free_to_play = 0) AS obs FROM pre),
-  shuffled AS (SELECT rep, log_copies_sold AS v,
-      row_number() OVER (PARTITION BY rep ORDER BY md5('42:' || rep || ':' || entity_id)) AS rk FROM pre, reps),
+  shuffled AS (SELECT rep, v, pos + 1 AS rk FROM places JOIN basis USING (i)),
   nul AS (SELECT rep, quantile_cont(v, 0.5) FILTER (WHERE rk <= n1) - quantile_cont(v, 0.5) FILTER (WHERE rk > n1) AS stat
       FROM shuffled, k GROUP BY rep)
   SELECT 'median_diff' AS test, round(any_value(obs), 6) AS observed_stat,
@@ -56,13 +81,12 @@ def _(spark, sf):
 
 _F_EXPR = """(sum(s * s / n) - any_value(tot) * any_value(tot) / any_value(nn)) / (count(*) - 1)
       / ((any_value(sq) - sum(s * s / n)) / (any_value(nn) - count(*)))"""
-_ANOVA_SQL = pre_sql(_REPS_SQL + f"""
+_ANOVA_SQL = pre_sql(_REPS_SQL + _VALUES + _permuted_sql() + f"""
   , g AS (SELECT publisher_class_ord AS c, count(*) AS n, sum(log_copies_sold) AS s FROM pre GROUP BY 1),
   ends AS (SELECT c, n, sum(n) OVER (ORDER BY c) AS hi, sum(n) OVER (ORDER BY c) - n AS lo FROM g),
   t AS (SELECT sum(log_copies_sold) AS tot, sum(log_copies_sold * log_copies_sold) AS sq, count(*) AS nn FROM pre),
   obs AS (SELECT {_F_EXPR} AS f FROM g, t),
-  shuffled AS (SELECT rep, log_copies_sold AS v,
-      row_number() OVER (PARTITION BY rep ORDER BY md5('42:' || rep || ':' || entity_id)) AS rk FROM pre, reps),
+  shuffled AS (SELECT rep, v, pos + 1 AS rk FROM places JOIN basis USING (i)),
   sums AS (SELECT rep, c, any_value(n) AS n, sum(v) AS s FROM shuffled JOIN ends ON rk > lo AND rk <= hi GROUP BY rep, c),
   nul AS (SELECT rep, {_F_EXPR} AS stat FROM sums, t GROUP BY rep)
   SELECT 'anova_f' AS test, round(any_value(f), 6) AS observed_stat,
@@ -108,25 +132,6 @@ _CONTROLS = ["publisher_class_ord", "genre_building", "genre_machinery", "early_
 _Q = ["one", "c0", "c1", "c2", "c3"]
 
 
-def _permuted_sql() -> str:
-    """``places``: the place to which each replicate's Feistel permutation sends each row number."""
-    steps, cols = "SELECT rep, i, t, n, a, b, pos // b AS l, pos % b AS r, t0, t1, t2, t3, t4, t5 FROM w JOIN tabs USING (rep) WHERE t = 0 OR pos >= n", \
-        "rep, i, t, n, a, b, t0, t1, t2, t3, t4, t5"
-    for j in range(I.ROUNDS):
-        moved = f"(l + t{j}[r + 1]) % a AS l, r" if j % 2 == 0 else f"l, (r + t{j}[l + 1]) % b AS r"
-        steps = f"SELECT {cols}, {moved} FROM ({steps})"
-    lists = ", ".join(f"any_value(t) FILTER (j = {j}) AS t{j}" for j in range(I.ROUNDS))
-    return f"""
-  , size AS (SELECT n, a, (n + a - 1) // a AS b FROM (SELECT count(*) AS n, CAST(floor(sqrt(count(*) - 1)) AS BIGINT) + 1 AS a FROM basis)),
-  tabs AS (SELECT rep, n, a, b, {lists} FROM (
-    SELECT rep, j, n, a, b, list(('0x' || substr(md5('42:' || rep || ':' || j || ':' || x), 1, 8))::BIGINT % (CASE WHEN j % 2 = 0 THEN a ELSE b END) ORDER BY x) AS t
-    FROM (SELECT *, unnest(range(CASE WHEN j % 2 = 0 THEN b ELSE a END)) AS x FROM reps, size, (SELECT unnest(range({I.ROUNDS})) AS j)) GROUP BY ALL) GROUP BY ALL),
-  places AS (WITH RECURSIVE w AS (
-      SELECT rep, i, i AS pos, 0 AS t FROM reps, (SELECT i FROM basis)
-      UNION ALL SELECT rep, i, l * b + r, t + 1 FROM ({steps}))
-    SELECT rep, i, pos FROM w, size WHERE t > 0 AND pos < n)"""
-
-
 def _ols_sql(where: str, controls: list[str]) -> str:
     qs = _Q[: len(controls) + 1]
     steps, last = _residual_steps("start", qs)
@@ -215,7 +220,7 @@ _TRACK = ["price", "publisher_class_ord", "achievements"]
 
 def _boot_sql() -> str:
     weight = " + ".join(f"CAST(u >= {c!r}::DOUBLE AS INTEGER)" for c in I.POISSON_CDF)
-    text = _REPS_SQL + f"""
+    text = _reps_sql(COEF_REPS) + f"""
   , u AS (SELECT rep, log_copies_sold AS y, {', '.join(f'CAST({c} AS DOUBLE) AS f{i}' for i, c in enumerate(_TRACK))},
       ('0x' || substr(md5('42:' || rep || ':' || entity_id), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM pre, reps),
   w AS (SELECT rep, y, 1.0::DOUBLE AS one, f0, f1, f2, {weight} AS w FROM u)"""
@@ -237,7 +242,7 @@ def _boot_sql() -> str:
 @query("bootstrap_coef_stability", pre_sql(_boot_sql()))
 def _(spark, sf):
     return rounded(I.bootstrap_coef_stability(
-        _rows(spark, sf, "achievements"), "entity_id", "log_copies_sold", _TRACK, n_rep=REPS))
+        _rows(spark, sf, "achievements"), "entity_id", "log_copies_sold", _TRACK, n_rep=COEF_REPS))
 
 
 @query("inference_summary", "SELECT *, CAST(p_value < alpha / 3 AS INTEGER) AS reject_bonferroni FROM ("
