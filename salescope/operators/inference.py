@@ -101,10 +101,15 @@ def permuted(index: np.ndarray, n: int, sides: tuple[int, int], tables: Sequence
     return out
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores: each is worked on once per replicate, so even small tables keep them busy."""
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, 2))
+
+
 def _numbered(rows: DataFrame, key: str, seed: int) -> tuple[DataFrame, int, int]:
     """Rows with ``index`` from 0 in hash order, their number, and the most replicates whose tables fit a task."""
     ranked = hash_ranks(rows.withColumn("__h", md5_of(f"{seed}:base", F.col(key))), [], "__h", "__rank")
-    out = materialize(ranked.withColumn("index", F.col("__rank") - 1).drop("__rank", "__h", key), "numbered")
+    out = materialize(_spread(ranked.withColumn("index", F.col("__rank") - 1).drop("__rank", "__h", key)), "numbered")
     n = out.count()
     return out, n, max(1, TABLE_BYTES // (4 * ROUNDS * feistel_sides(n)[0]))
 
@@ -448,11 +453,15 @@ def bootstrap_pairwise_ci(df: DataFrame, group: str, value: str, groups: Sequenc
 POISSON_CDF = [float(c) for c in np.cumsum([exp(-1.0) / factorial(k) for k in range(13)])]
 
 
-def poisson_weight(h: Column) -> Column:
-    u = hex_uint32(h) / F.lit(float(2 ** 32))
+def poisson_count(u: Column) -> Column:
+    """The Poisson(1) count at a uniform number."""
     return reduce(lambda a, b: a + b, [(u >= c).cast("int") for c in POISSON_CDF])
 
 
+def poisson_weight(h: Column) -> Column:
+    return poisson_count(hex_uint32(h) / F.lit(float(2 ** 32)))
+
+
 def bootstrap_coefs(df: DataFrame, key: str, target: str, features: Sequence[str], n_rep: int = 500,
                     seed: int = 42) -> DataFrame:
     """``(rep, feature, coef)``: OLS on weighted rows, one weight per (rep, row).
@@ -463,8 +472,8 @@ def bootstrap_coefs(df: DataFrame, key: str, target: str, features: Sequence[str
     systems are solved where these sums meet.
     """
     cols = [*features, target]
-    base = materialize(df.where(F.col(target).isNotNull()).select(
-        key, *[F.col(c).cast("double").alias(c) for c in cols]).dropna(), "boot")
+    base = materialize(_spread(df.where(F.col(target).isNotNull()).select(
+        key, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()), "boot")
     means = base.agg(*[F.avg(c).alias(c) for c in cols]).first()
     rows = base.select(F.col(key).alias("__key"), *[(F.col(c) - means[c]).alias(f"v{i}") for i, c in enumerate(cols)])
     names, width = list(features), len(cols) + 1
@@ -511,8 +520,9 @@ def bootstrap_coefs(df: DataFrame, key: str, target: str, features: Sequence[str
         return pa.RecordBatch.from_pydict({"place": pa.array([place] * len(names), pa.int32()), "feature": names, "coef": beta[1:]})
 
     def run(first: int, last: int) -> DataFrame:
-        weights = F.transform(F.sequence(F.lit(first), F.lit(last)),
-                              lambda rep: poisson_weight(md5_of(seed, rep, F.col("__key"))).cast("tinyint"))
+        shares = F.transform(F.sequence(F.lit(first), F.lit(last)),
+                             lambda rep: hex_uint32(md5_of(seed, rep, F.col("__key"))) / F.lit(float(2 ** 32)))
+        weights = F.transform(shares, lambda u: poisson_count(u).cast("tinyint"))
         weighted = rows.select(weights.alias("w"), *[f"v{i}" for i in range(len(cols))])
         partial = weighted.mapInArrow(sums, "place int, sums array<double>")
         solved = partial.repartition("place").sortWithinPartitions("place").mapInArrow(solve, "place int, feature string, coef double")

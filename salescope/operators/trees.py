@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import SparkContext
 from pyspark.ml.regression import (
-    GBTRegressor, GeneralizedLinearRegression, LinearRegression, RandomForestRegressor,
+    GBTRegressionModel, GBTRegressor, GeneralizedLinearRegression, LinearRegression, RandomForestRegressor,
 )
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,14 +30,33 @@ def boosted_trees(iterations: int = 500, rate: float = 0.05, depth: int = 6, sub
     )
 
 
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The boosted model of the first ``n`` trees, which boosting makes the same whatever follows."""
+    if not 1 <= n <= model.getNumTrees:
+        raise ValueError(f"cannot keep {n} of {model.getNumTrees} trees")
+    full = model._java_obj
+    trees, weights = full.trees(), full.treeWeights()
+    jvm = SparkContext._active_spark_context._gateway
+    kept = jvm.new_array(jvm.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    shares = jvm.new_array(jvm.jvm.double, n)
+    for i in range(n):
+        kept[i], shares[i] = trees[i], weights[i]
+    cut = jvm.jvm.org.apache.spark.ml.regression.GBTRegressionModel(full.uid(), kept, shares)
+    out = GBTRegressionModel(cut)
+    for param in ("featuresCol", "labelCol", "predictionCol"):
+        out._set(**{param: model.getOrDefault(param)})
+    return out
+
+
 def gbt_early_stop(bundle: FeatureBundle, patience: int = 50, truncate: bool = True, **params):
     """Boosting with a validation curve. Returns (model, curve, best iteration).
 
     ``curve`` has the train and validation error after each iteration (RMSE for the
-    squared loss). The best iteration is the lowest validation error seen before
-    ``patience`` iterations pass without a lower one. Spark's own validation stop
-    gives up at the first small gain, so the full path is fitted; ``truncate``
-    refits the first ``best + 1`` iterations, which the seed makes the same trees.
+    squared loss): a scan of either part scores every prefix of the ensemble by the
+    running sum of its trees. The best iteration is the lowest validation error seen
+    before ``patience`` iterations pass without a lower one. Spark's own validation stop
+    gives up at the first small gain, so the full path is fitted once; ``truncate`` keeps
+    its first ``best + 1`` trees.
     """
     train, val = bundle.part("train"), bundle.part("val")
     estimator = boosted_trees(**params)
@@ -53,9 +73,7 @@ def gbt_early_stop(bundle: FeatureBundle, patience: int = 50, truncate: bool = T
     rows = [(i, float(t), float(v), i == best) for i, (t, v) in enumerate(zip(*curves))]
     curve = bundle.data.sparkSession.createDataFrame(
         rows, "iteration int, train_rmse double, val_rmse double, is_best boolean")
-    if truncate and best + 1 < len(rows):
-        model = estimator.copy({estimator.maxIter: best + 1}).fit(train)
-    return model, curve, best
+    return first_trees(model, best + 1) if truncate else model, curve, best
 
 
 def importances(spark, model, names: Sequence[str], top: int = 30) -> DataFrame:

@@ -10,6 +10,7 @@ from salescope.functions import parsing as P
 from salescope.operators import inference as I
 from salescope.operators import preprocess as S
 from salescope.plans.entity import entity_table
+from salescope.plans.features import launch_bundle
 from salescope.plans.registry import ENTITY, pre_sql, query, rounded
 from salescope.session import materialize
 
@@ -245,6 +246,14 @@ def _(spark, sf):
         _rows(spark, sf, "achievements"), "entity_id", "log_copies_sold", _TRACK, n_rep=COEF_REPS))
 
 
+@query("bootstrap_coef_all")
+def _(spark, sf):
+    """Every predictor of the launch-time matrix, refitted together in each replicate."""
+    bundle = launch_bundle(spark, sf)
+    data = bundle.data.select("entity_id", "label", *[F.col(f"z_{n}").alias(n) for n in bundle.names])
+    return rounded(I.bootstrap_coef_stability(data, "entity_id", "label", bundle.names, n_rep=COEF_REPS), 4)
+
+
 @query("inference_summary", "SELECT *, CAST(p_value < alpha / 3 AS INTEGER) AS reject_bonferroni FROM ("
     + " UNION ALL ".join(f"SELECT * FROM ({q})" for q in (_MEDIAN_SQL, _COEF_SQL, _ANOVA_SQL)) + ")")
 def _(spark, sf):

@@ -172,6 +172,15 @@ def _(spark, sf):
     return rounded(curve, 4)
 
 
+@query("gbt_best")
+def _(spark, sf):
+    """Metrics of the boosted model cut at its best iteration."""
+    bundle = launch_bundle(spark, sf)
+    model, _, best = T.gbt_early_stop(bundle, iterations=12, rate=0.1, depth=4)
+    metrics = split_summary(dual_scale_metrics(T.predict(bundle, {"BoostedTrees": model}), ["model", "split"]))
+    return rounded(metrics.withColumn("n_trees", F.lit(best + 1)), 4)
+
+
 @query("tree_table")
 def _(spark, sf):
     return rounded(T.tree_table(launch_bundle(spark, sf), {
@@ -188,12 +197,13 @@ def _(spark, sf):
 def _(spark, sf):
     bundle = launch_bundle(spark, sf, use_year=True)
     arms = {"year_only": ["entity_age"], "age_only": ["release_year"]}
-    return rounded(T.feature_toggle_ab(bundle, arms, lambda: {"RandomForest": _forest()}), 4)
+    return rounded(T.feature_toggle_ab(
+        bundle, arms, lambda: {"RandomForest": _forest(), "BoostedTrees": T.boosted_trees(8, rate=0.2, depth=4)}), 4)
 
 
 @query("step_size_sweep")
 def _(spark, sf):
-    return rounded(T.step_size_sweep(launch_bundle(spark, sf), (0.05, 0.1, 0.3), iterations=6, depth=4), 4)
+    return rounded(T.step_size_sweep(launch_bundle(spark, sf), (0.01, 0.05, 0.1, 0.3), iterations=6, depth=4), 4)
 
 
 @query("rfe_fixed")
@@ -201,12 +211,23 @@ def _(spark, sf):
     return rounded(X.rfe_fixed(launch_bundle(spark, sf), _forest, keep=10, step=8), 4)
 
 
+def _rfe_cv(spark, sf):
+    return X.rfe_cv(launch_bundle(spark, sf), "entity_id", _forest, min_features=5, step=10)
+
+
 @query("rfe_cv")
 def _(spark, sf):
-    table, _ = X.rfe_cv(launch_bundle(spark, sf), "entity_id", _forest, min_features=5, step=10)
+    table, _ = _rfe_cv(spark, sf)
     return rounded(table, 4)
 
 
+@query("rfe_cv_ranking")
+def _(spark, sf):
+    """The ranking that ends at the size of least cross-validated error."""
+    _, ranking = _rfe_cv(spark, sf)
+    return rounded(ranking, 4)
+
+
 _RANKED = ["price", "publisher_class_ord", "tag_count", "achievements", "entity_age", "language_count", "developer_freq"]
 _RANKING_SQL = pre_sql(", c AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, abs(corr(CAST({c} AS DOUBLE), log_copies_sold)) AS r FROM pre" for c in _RANKED) + """),
@@ -229,7 +250,7 @@ def _(spark, sf):
 @query("topn_refit")
 def _(spark, sf):
     bundle = launch_bundle(spark, sf)
-    ranking = X.rfe_fixed(bundle, _forest, keep=8, step=12)
+    _, ranking = X.rfe_cv(bundle, "entity_id", _forest, min_features=5, step=12)
     chosen = [r.feature for r in X.top_n_from_ranking(ranking, 12).collect()]
     out = T.tree_table(bundle.select(chosen), {"RandomForest": _forest(), "BoostedTrees": T.boosted_trees(8, rate=0.2, depth=4)})
     return rounded(out.withColumn("n_features", F.lit(len(chosen))), 4)

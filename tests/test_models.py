@@ -142,6 +142,20 @@ def test_gbt_curve_and_truncation(data):
     assert len(rows) == 6 and rows[best].is_best and model.getNumTrees == best + 1
 
 
+def test_a_cut_model_scores_as_its_point_of_the_curve(data, tmp_path):
+    """Cutting refits nothing; the kept trees give the error of their iteration, also after a save."""
+    full, curve, _ = T.gbt_early_stop(data[0], iterations=6, rate=0.3, depth=3, truncate=False)
+    val, rows = data[0].part("val"), curve.orderBy("iteration").collect()
+    for n in (1, 4, 6):
+        cut = T.first_trees(full, n)
+        error = cut.transform(val).agg(F.sqrt(F.avg((F.col("prediction") - F.col("label")) ** 2))).first()[0]
+        assert cut.getNumTrees == n and error == pytest.approx(rows[n - 1].val_rmse, rel=1e-9)
+    T.first_trees(full, 2).save(str(tmp_path / "m"))
+    assert type(full).load(str(tmp_path / "m")).getNumTrees == 2
+    with pytest.raises(ValueError):
+        T.first_trees(full, 7)
+
+
 def test_kmeans_finds_separated_blobs(spark):
     rng = np.random.default_rng(1)
     pts = np.concatenate([rng.normal(size=(n, 2)) * 0.1 + c for n, c in ((60, (0, 0)), (40, (5, 5)), (20, (0, 9)))])
