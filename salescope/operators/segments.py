@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import ElementwiseProduct, StandardScaler
-from pyspark.ml.linalg import Vectors
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescope.functions import vocab
+from salescope.functions.hashing import hex_fraction, md5_of
 from salescope.operators.order_stats import with_quantiles
 from salescope.session import materialize
 
@@ -48,48 +48,141 @@ def segment_stats(df: DataFrame, segment: str, target: str) -> DataFrame:
     return with_quantiles(base, known, [segment], {"median": (target, 0.5)})
 
 
-def population_scaler(df: DataFrame, features: str, out: str) -> PipelineModel:
-    """Z-scores with the population deviation: the sample scaler times sqrt(n/(n-1))."""
-    scaler = StandardScaler(inputCol=features, outputCol=f"__{out}", withMean=True, withStd=True).fit(df)
-    n, width = df.count(), len(scaler.mean)
-    stretch = ElementwiseProduct(
-        scalingVec=Vectors.dense([(n / (n - 1)) ** 0.5] * width), inputCol=f"__{out}", outputCol=out
-    )
-    return PipelineModel([scaler, stretch])
+def _scaled(df: DataFrame, features: str, key: str | None) -> tuple[DataFrame, int]:
+    """``df`` with ``scaled``, the z-scores (population deviation, constants to 0) as an array, and ``__key``."""
+    x = vector_to_array(features)
+    width = len(df.select(features).first()[0])
+    stats = df.agg(*[f(x[i]).alias(f"{n}{i}") for n, f in (("m", F.avg), ("s", F.stddev_pop)) for i in range(width)]).first()
+    scores = F.array(*[(x[i] - stats[f"m{i}"]) / (stats[f"s{i}"] or 1.0) for i in range(width)])
+    named = F.col(key).cast("string") if key else F.md5(x.cast("string").cast("binary"))
+    rows = df.withColumn("scaled", scores).withColumn("__key", named)
+    return materialize(rows.repartition(max(2, df.sparkSession.sparkContext.defaultParallelism)), "scaled"), width
+
 
+def _matrix(lists: pa.Array) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
 
-def _scaled(df: DataFrame, features: str) -> DataFrame:
-    model = population_scaler(df, features, "scaled")
-    return materialize(model.transform(df).drop("__scaled"), "scaled")
 
+def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    d = (x * x).sum(axis=1)[:, None] - 2.0 * (x @ centres.T) + (centres * centres).sum(axis=1)
+    return np.maximum(d, 0.0)
 
-def fit_kmeans(df: DataFrame, k: int = 3, features: str = "features", n_init: int = 10, seed: int = 42):
-    """Best of ``n_init`` starts by inertia. Returns (model, labelled rows, inertia).
 
-    Clusters are renumbered by descending size, then by the first centre.
+def _starts(rows: DataFrame, k: int, n_init: int, seed: int) -> np.ndarray:
+    """``n_init`` sequences of ``k`` starting rows, as an array of (start, centre, feature).
+
+    Each next row is drawn with a chance in proportion to its squared distance from the
+    rows before it: of the waiting times -ln(u) / distance with hashed u the least wins.
+    One scan draws the next row of every start.
+    """
+    chosen: list[list[list[float]]] = [[] for _ in range(n_init)]
+    for step in range(k):
+        u = F.array(*[hex_fraction(md5_of(seed, F.lit(s), F.lit(step), F.col("__key"))) for s in range(n_init)])
+        centres = [np.array(c) for c in chosen]
+
+        def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x, draws = _matrix(batch.column(0)), _matrix(batch.column(1))
+                wait = -np.log(np.maximum(draws, 1e-300))
+                for s, c in enumerate(centres):
+                    if len(c):
+                        near = _distances(x, c).min(axis=1)
+                        wait[:, s] = np.where(near > 1e-12, wait[:, s] / np.maximum(near, 1e-300), np.inf)
+                first = wait.argmin(axis=0)
+                yield pa.RecordBatch.from_pydict({
+                    "start": pa.array(range(n_init), pa.int32()), "wait": wait[first, range(n_init)],
+                    "x": pa.array(x[first].tolist(), pa.list_(pa.float64()))})
+
+        found = rows.select("scaled", u.alias("u")).mapInArrow(best, "start int, wait double, x array<double>")
+        for r in found.groupBy("start").agg(F.min(F.struct("wait", "x")).alias("b")).collect():
+            chosen[r.start].append(r.b.x)
+    return np.array(chosen)
+
+
+def _lloyd(rows: DataFrame, runs: list[np.ndarray], iterations: int, tolerance: float) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """(centres, sizes, inertia) of each run, all runs sharing one scan per iteration.
+
+    Centres of all open runs are stacked; a task returns one row of sums per centre. A
+    run closes when its centres move by less than ``tolerance`` in all. An empty cluster
+    keeps its centre.
     """
-    scaled = _scaled(df, features)
-    fits = [KMeans(k=k, seed=seed + i, featuresCol="scaled", predictionCol="raw_cluster").fit(scaled)
-            for i in range(n_init)]
-    best = min(fits, key=lambda m: m.summary.trainingCost)
-    sizes = best.summary.clusterSizes
-    centres = best.clusterCenters()
-    order = sorted(range(len(centres)), key=lambda i: (-sizes[i], tuple(centres[i])))
-    rank = F.create_map(*[F.lit(x) for i, old in enumerate(order) for x in (old, i)])
-    labelled = best.transform(scaled).withColumn("cluster", rank[F.col("raw_cluster")]).drop("raw_cluster")
-    return best, labelled, best.summary.trainingCost
+    runs, open_ = [np.array(c) for c in runs], list(range(len(runs)))
+    results: list = [None] * len(runs)
+    for turn in range(iterations + 1):
+        held = [runs[r] for r in open_]
+        stacked = np.concatenate(held)
+        ends = np.cumsum([0, *(len(c) for c in held)])
+
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, n, cost = np.zeros_like(stacked), np.zeros(len(stacked), np.int64), np.zeros(len(stacked))
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = _matrix(batch.column(0))
+                d = _distances(x, stacked)
+                for lo, hi in zip(ends, ends[1:]):
+                    pick = lo + d[:, lo:hi].argmin(axis=1)
+                    exact = ((x - stacked[pick]) ** 2).sum(axis=1)
+                    n += np.bincount(pick, minlength=len(n))
+                    cost += np.bincount(pick, exact, len(n))
+                    hot = np.zeros((len(x), hi - lo))
+                    hot[np.arange(len(x)), pick - lo] = 1.0
+                    total[lo:hi] += hot.T @ x
+            yield pa.RecordBatch.from_pydict({
+                "centre": pa.array(range(len(n)), pa.int32()), "n": n, "cost": cost, "x": pa.array(total.tolist(), pa.list_(pa.float64()))})
+
+        width = stacked.shape[1]
+        parts = rows.select("scaled").mapInArrow(sums, "centre int, n long, cost double, x array<double>").groupBy("centre").agg(
+            F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.array(*[F.sum(F.col("x")[i]) for i in range(width)]).alias("x")).collect()
+        parts.sort(key=lambda r: r.centre)
+        still = []
+        for r, lo, hi in zip(open_, ends, ends[1:]):
+            mine = parts[lo:hi]
+            moved = np.array([np.array(q.x) / q.n if q.n else c for q, c in zip(mine, runs[r])])
+            results[r] = runs[r], np.array([q.n for q in mine]), float(sum(q.cost for q in mine))
+            if turn < iterations and np.sqrt(((moved - runs[r]) ** 2).sum()) > tolerance:
+                runs[r] = moved
+                still.append(r)
+        open_ = still
+        if not open_:
+            break
+    return results
+
+
+def fit_kmeans(df: DataFrame, k: int = 3, features: str = "features", n_init: int = 10, seed: int = 42,
+               key: str | None = None, iterations: int = 300, tolerance: float = 1e-9):
+    """Best of ``n_init`` starts by inertia. Returns (centres, labelled rows, inertia).
+
+    Clusters are renumbered by descending size, then by the first centre. ``key`` names
+    the rows in the draws of the starts; without it their features do.
+    """
+    rows, width = _scaled(df, features, key)
+    best = min(_lloyd(rows, list(_starts(rows, k, n_init, seed)), iterations, tolerance), key=lambda r: r[2])
+    centres, sizes, inertia = best
+    centres = centres[sorted(range(k), key=lambda i: (-sizes[i], tuple(centres[i])))]
+
+    def distance(centre: np.ndarray) -> Column:
+        return sum(((F.col("scaled")[i] - float(centre[i])) * (F.col("scaled")[i] - float(centre[i])) for i in range(width)), F.lit(0.0))
+
+    ds = F.array(*[distance(c) for c in centres])
+    nearest = (F.array_position(ds, F.array_min(ds)) - 1).cast("int")
+    return centres, rows.withColumn("cluster", nearest).drop("__key"), inertia
 
 
 def kmeans_elbow(df: DataFrame, ks: Sequence[int] = range(2, 11), features: str = "features",
-                 n_init: int = 10, seed: int = 42) -> DataFrame:
-    """Smallest inertia found for every k."""
-    scaled = _scaled(df, features)
-    rows = []
-    for k in ks:
-        costs = [KMeans(k=k, seed=seed + i, featuresCol="scaled").fit(scaled).summary.trainingCost
-                 for i in range(n_init)]
-        rows.append((int(k), float(min(costs))))
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double")
+                 n_init: int = 10, seed: int = 42, key: str | None = None, iterations: int = 300,
+                 tolerance: float = 1e-9) -> DataFrame:
+    """Smallest inertia found for every k; the starts of a k begin those of the next."""
+    rows, _ = _scaled(df, features, key)
+    starts = _starts(rows, max(ks), n_init, seed)
+    runs = [(k, starts[s, :k]) for k in ks for s in range(n_init)]
+    found = _lloyd(rows, [c for _, c in runs], iterations, tolerance)
+    least: dict[int, float] = {}
+    for (k, _), (_, _, inertia) in zip(runs, found):
+        least[k] = min(inertia, least.get(k, inertia))
+    return df.sparkSession.createDataFrame([(int(k), v) for k, v in least.items()], "k int, inertia double")
 
 
 def cluster_profile(df: DataFrame, cluster: str, target: str, features: Sequence[str]) -> DataFrame:

@@ -106,7 +106,7 @@ def _(spark, sf):
 @query("kmeans")
 def _(spark, sf):
     bundle = launch_bundle(spark, sf, keep=["copies_sold"])
-    _, labelled, inertia = G.fit_kmeans(bundle.part("train"), k=3, n_init=10)
+    _, labelled, inertia = G.fit_kmeans(bundle.part("train"), k=3, n_init=10, key="entity_id")
     out = G.cluster_profile(labelled, "cluster", "copies_sold", ["z_price", "z_achievements"])
     return rounded(out.withColumn("inertia", F.lit(float(inertia))), 4)
 
@@ -115,7 +115,7 @@ def _(spark, sf):
 def _(spark, sf):
     """The fitted clusters, each with its strongest scaled features."""
     bundle = launch_bundle(spark, sf, keep=["copies_sold"])
-    _, labelled, _ = G.fit_kmeans(bundle.part("train"), k=3, n_init=10)
+    _, labelled, _ = G.fit_kmeans(bundle.part("train"), k=3, n_init=10, key="entity_id")
     scaled = [c for c in labelled.columns if c.startswith("z_")]
     return rounded(G.cluster_top_features(labelled, "cluster", "copies_sold", scaled), 4)
 
@@ -130,7 +130,7 @@ def _(spark, sf):
 
 @query("kmeans_elbow")
 def _(spark, sf):
-    return rounded(G.kmeans_elbow(launch_bundle(spark, sf).part("train"), range(2, 11), n_init=10), 4)
+    return rounded(G.kmeans_elbow(launch_bundle(spark, sf).part("train"), range(2, 11), n_init=10, key="entity_id"), 4)
 
 
 @query("pca_2d")

@@ -1,5 +1,7 @@
 """Fitted models against closed forms computed with numpy."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
@@ -169,6 +171,56 @@ def test_kmeans_finds_separated_blobs(spark):
     assert inertia == pytest.approx(want, rel=1e-6)
 
 
+def lloyd(x, centres):
+    for _ in range(300):
+        label = ((x[:, None] - centres[None]) ** 2).sum(-1).argmin(1)
+        moved = np.array([x[label == j].mean(0) if (label == j).any() else c for j, c in enumerate(centres)])
+        if np.abs(moved - centres).max() < 1e-12:
+            return ((x - centres[label]) ** 2).sum()
+        centres = moved
+
+
+def plain_starts(x, keys, k, n_init, seed=42):
+    """Sequences of rows, each the least of the hashed waiting times over its distance."""
+    out = []
+    for s in range(n_init):
+        rows = []
+        for step in range(k):
+            u = np.array([int(hashlib.md5(f"{seed}:{s}:{step}:{q}".encode()).hexdigest()[:13], 16) / 2**52 for q in keys])
+            wait = -np.log(u)
+            if rows:
+                near = ((x[:, None] - x[rows][None]) ** 2).sum(-1).min(1)
+                wait = np.where(near > 1e-12, wait / np.maximum(near, 1e-300), np.inf)
+            rows.append(int(wait.argmin()))
+        out.append(rows)
+    return out
+
+
+def test_all_runs_of_the_elbow_match_a_plain_version(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    pts = rng.normal(size=(150, 3)) + rng.integers(0, 4, (150, 1)) * 3
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(pts)], "id int, a double, b double, c double")
+    df = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df)
+    scans = []
+    inner = G._lloyd
+    monkeypatch.setattr(G, "_lloyd", lambda rows, runs, *a: scans.append(len(runs)) or inner(rows, runs, *a))
+    got = {r.k: r.inertia for r in G.kmeans_elbow(df, range(2, 6), n_init=3, key="id").collect()}
+    z = (pts - pts.mean(0)) / pts.std(0)
+    starts = plain_starts(z, range(150), 5, 3)
+    assert scans == [12]  # every k and start in one stack
+    assert got == pytest.approx({k: min(lloyd(z, z[s[:k]]) for s in starts) for k in range(2, 6)}, rel=1e-9)
+
+
+def test_labels_are_the_nearest_centres(spark, data):
+    centres, labelled, inertia = G.fit_kmeans(data[0].part("train"), 4, n_init=3, key="id")
+    rows = labelled.select("scaled", "cluster").collect()
+    x = np.array([r.scaled for r in rows])
+    d = ((x[:, None] - centres[None]) ** 2).sum(-1)
+    assert [r.cluster for r in rows] == d.argmin(1).tolist() and inertia == pytest.approx(d.min(1).sum(), rel=1e-9)
+    sizes = np.bincount([r.cluster for r in rows])
+    assert sorted(sizes, reverse=True) == sizes.tolist()
+
+
 def test_bundle_statistics_come_from_training_rows(spark):
     rows = [(i, float(i % 7), None if i % 5 == 0 else float(i), i % 2, float(i)) for i in range(400)]
     df = spark.createDataFrame(rows, "id int, a double, b double, has_x int, y double")
