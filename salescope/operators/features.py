@@ -179,16 +179,15 @@ def assemble_features(
 ) -> FeatureBundle:
     """Split, fit the feature pipeline on the training rows, transform all rows.
 
-    The cleaned input and the assembled table are each written once, because
-    every fit below reads them several times.
+    The rows with their split are written once, because every fit reads them several
+    times; scaling them and assembling the vector is a projection of that table.
     """
     needed = list(dict.fromkeys([key, label, *keep, *names]))
-    source = materialize(df.select(*needed), "cleaned")
     split = materialize(
-        stratified_split(source, key, [stratum] if stratum else [], seed=seed), "split"
+        stratified_split(df.select(*needed), key, [stratum] if stratum else [], seed=seed), "split"
     )
     ordinal = [stratum] if stratum in names else []
     pipeline, ordered = feature_pipeline(split.where(F.col("split") == "train"), names, prefixes, ordinal)
     out = pipeline.transform(split).withColumn("label", F.col(label).cast("double"))
     kept = list(dict.fromkeys([key, "split", "label", *keep, *[f"z_{n}" for n in ordered], "features"]))
-    return FeatureBundle(materialize(out.select(*kept), "bundle"), ordered, pipeline)
+    return FeatureBundle(out.select(*kept), ordered, pipeline)

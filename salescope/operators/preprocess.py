@@ -1,7 +1,8 @@
 """The cleaning steps, one function per step, and the pipeline that chains them.
 
-Each step is a projection (or one small join) over a lazy plan. Only the choice of
-the most frequent tags runs a job: its answer is the short list of new columns.
+Each step is a projection (or one small join) over a lazy plan. The pipeline first
+projects every row by itself, which leaves no long text, and writes that table once;
+then one pass over it counts the tags, developers and publishers together.
 """
 
 from __future__ import annotations
@@ -9,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescope.functions import parsing as P
 from salescope.functions import vocab
 from salescope.operators.relational import drop_columns, filter_null_target
+from salescope.session import materialize
 
 
 @dataclass(frozen=True)
@@ -99,14 +101,17 @@ def top_tags(df: DataFrame, tags: str, n: int) -> DataFrame:
     )
 
 
-def parse_tags(df: DataFrame, c: CatalogConfig = LISTING) -> DataFrame:
-    chosen = [r.tag for r in top_tags(df, c.tags, c.top_tags).collect()]
+def tag_columns(df: DataFrame, chosen: Sequence[str], c: CatalogConfig = LISTING) -> DataFrame:
     listed = df.withColumn("__tags", P.tag_list(F.col(c.tags))).drop(c.tags)
     return listed.withColumns({
         "tag_count": F.size("__tags"), **P.tag_flags(F.col("__tags"), chosen)
     }).drop("__tags")
 
 
+def parse_tags(df: DataFrame, c: CatalogConfig = LISTING) -> DataFrame:
+    return tag_columns(df, [r.tag for r in top_tags(df, c.tags, c.top_tags).collect()], c)
+
+
 def derive_numeric(df: DataFrame, c: CatalogConfig = LISTING) -> DataFrame:
     platforms = {p: P.loose_bool(F.col(p)) for p in c.platforms}
     return df.withColumns({
@@ -145,9 +150,40 @@ def frequency_encode(df: DataFrame, column: str, out: str) -> DataFrame:
     return filled.join(freq, F.col("__cat") == F.col("__fcat"), "left").drop("__cat", "__fcat", column)
 
 
+def value_frequencies(df: DataFrame, columns: Sequence[str], lists: Mapping[str, Column] | None = None) -> DataFrame:
+    """``(column, value, n)`` of several columns and list columns, counted in one pass.
+
+    A null of a plain column counts as "Unknown"; list columns count each element.
+    """
+    plain = F.array(*[F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("Unknown")).alias("value")) for c in columns])
+
+    def elements(name: str, values: Column) -> Column:
+        present = F.coalesce(values, F.array().cast("array<string>"))
+        return F.transform(present, lambda v: F.struct(F.lit(name).alias("column"), v.alias("value")))
+
+    more = [elements(name, x) for name, x in (lists or {}).items()]
+    pairs = df.select(F.explode(F.concat(plain, *more)).alias("p")).select("p.*")
+    return pairs.groupBy("column", "value").agg(F.count("*").cast("int").alias("n"))
+
+
+def by_frequency(df: DataFrame, counts: DataFrame, column: str, out: str) -> DataFrame:
+    """Replace a column of :func:`value_frequencies` by the frequency of its value."""
+    mine = counts.where(F.col("column") == column).select(F.col("value").alias("__value"), F.col("n").alias(out))
+    value = F.coalesce(F.col(column).cast("string"), F.lit("Unknown"))
+    return df.join(mine, value == F.col("__value"), "left").drop("__value", column)
+
+
 def encode_studios(df: DataFrame, c: CatalogConfig = LISTING) -> DataFrame:
-    df = frequency_encode(df, c.developer, "developer_freq")
-    return frequency_encode(df, c.publisher, "publisher_freq")
+    counts = materialize(value_frequencies(df, [c.developer, c.publisher]), "frequencies")
+    return by_frequency(by_frequency(df, counts, c.developer, "developer_freq"), counts, c.publisher, "publisher_freq")
+
+
+def count_labels(df: DataFrame, c: CatalogConfig = LISTING) -> DataFrame:
+    """Tag flags and studio frequencies, from one count over the three columns."""
+    counts = materialize(value_frequencies(df, [c.developer, c.publisher], {c.tags: P.tag_list(F.col(c.tags))}), "frequencies")
+    top = counts.where(F.col("column") == c.tags).orderBy(F.desc("n"), "value").limit(c.top_tags)
+    df = tag_columns(df, [r.value for r in top.collect()], c)
+    return by_frequency(by_frequency(df, counts, c.developer, "developer_freq"), counts, c.publisher, "publisher_freq")
 
 
 def log_skewed(df: DataFrame, c: CatalogConfig = LISTING) -> DataFrame:
@@ -160,11 +196,14 @@ def add_log_target(df: DataFrame, c: CatalogConfig = LISTING) -> DataFrame:
 
 
 def preprocess(df: DataFrame, c: CatalogConfig = LISTING, *, post_release: bool = False) -> DataFrame:
-    """All steps in order; launch-time framing ends by dropping outcome-time columns."""
+    """All steps; launch-time framing ends by dropping outcome-time columns.
+
+    The sources behind ``df`` are read once, by the write of the projected rows.
+    """
     df = drop_columns(df, c.dropped)
     df = filter_null_target(df, c.target)
     for step in (parse_release, add_age, parse_languages, parse_owners, parse_genres,
-                 parse_categories, parse_tags, derive_numeric, handle_score, encode_class,
-                 encode_studios, log_skewed, add_log_target):
+                 parse_categories, derive_numeric, handle_score, encode_class, log_skewed, add_log_target):
         df = df.transform(step, c)
+    df = count_labels(materialize(df, "parsed"), c)
     return df if post_release else drop_columns(df, c.post_outcome)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescope.sources.readers import read_table
@@ -72,15 +72,49 @@ WITH li AS (
 REF_YEAR = 2000
 
 
-def _label_text(pairs: DataFrame, label: str, least: int) -> DataFrame:
-    """Labels that at least one in ``least`` of a part's lines has, as sorted comma text.
+def _label_text(counts: str, total: Column, least: int) -> Column:
+    """Labels that at least one in ``least`` of a part's lines has, as sorted comma text, from (label, n) pairs."""
+    pairs = F.col(counts)
 
-    All lines are counted first, so the window and the list of a part hold at most
-    the label vocabulary however many lines it has."""
-    counts = pairs.groupBy("l_partkey", label).agg(F.count("*").alias("c"))
-    lines = F.sum("c").over(Window.partitionBy("l_partkey"))
-    kept = counts.withColumn("lines", lines).where(F.col("c") * least >= F.col("lines"))
-    return kept.groupBy("l_partkey").agg(F.array_join(F.array_sort(F.collect_list(label)), ",").alias(label))
+    def rows_of(label: Column) -> Column:
+        return F.aggregate(pairs, F.lit(0).cast("bigint"), lambda n, p: n + F.when(p["label"] == label, p["n"]).otherwise(0))
+
+    labels = F.array_compact(F.array_distinct(F.transform(pairs, lambda p: p["label"])))
+    kept = F.array_sort(F.filter(labels, lambda x: rows_of(x) * least >= total))
+    return F.when(F.size(kept) > 0, F.array_join(kept, ","))
+
+
+def _line_facts(spark: SparkSession, sf_dir: str, genres: bool) -> DataFrame:
+    """All that a part takes from its lines, from one scan of them.
+
+    Lines are first counted per part and label, on the map side, so the lists of a part
+    hold at most the label vocabulary however many lines it has.
+    """
+    lines = read_table(spark, sf_dir, "lineitem")
+    label = [F.concat_ws("-", "l_returnflag", "l_linestatus").alias("category"), "l_returnflag"]
+    segment = F.lit(None).cast("string")
+    if genres:
+        orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+        customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+        lines = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left").join(
+            customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+        segment = F.col("c_mktsegment")
+    counts = lines.groupBy("l_partkey", *label, segment.alias("segment")).agg(
+        F.sum("l_quantity").alias("qty"), F.count("*").alias("n"))
+
+    def pairs(column: str) -> Column:
+        return F.collect_list(F.struct(F.col(column).alias("label"), "n"))
+
+    facts = counts.groupBy("l_partkey").agg(
+        F.sum("qty").alias("qty"), F.sum("n").alias("n_lines"),
+        F.coalesce(F.sum(F.when(F.col("l_returnflag") == "N", F.col("n"))), F.lit(0)).alias("pos"),
+        F.coalesce(F.sum(F.when(F.col("l_returnflag") == "R", F.col("n"))), F.lit(0)).alias("neg"),
+        pairs("category").alias("category_counts"), pairs("segment").alias("segment_counts"),
+        F.sum(F.when(F.col("segment").isNotNull(), F.col("n"))).alias("segment_lines"),
+    )
+    return facts.select(
+        "l_partkey", "qty", "n_lines", "pos", "neg", _label_text("category_counts", F.col("n_lines"), 4).alias("categories"),
+        _label_text("segment_counts", F.col("segment_lines"), 5).alias("genres"))
 
 
 def entity_table(spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> DataFrame:
@@ -89,32 +123,9 @@ def entity_table(spark: SparkSession, sf_dir: str, columns: Iterable[str]) -> Da
     need = set(columns)
     df = read_table(spark, sf_dir, "part")
 
-    if need & _LINE_COLUMNS:
-        lines = read_table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(
-            F.sum("l_quantity").alias("qty"),
-            F.count("*").alias("n_lines"),
-            F.count(F.when(F.col("l_returnflag") == "N", 1)).alias("pos"),
-            F.count(F.when(F.col("l_returnflag") == "R", 1)).alias("neg"),
-        )
-        df = df.join(lines, df.p_partkey == lines.l_partkey, "left").drop("l_partkey")
-    if "categories" in need:
-        cats = _label_text(
-            read_table(spark, sf_dir, "lineitem")
-            .select("l_partkey", F.concat_ws("-", "l_returnflag", "l_linestatus").alias("categories")),
-            "categories", 4,
-        )
-        df = df.join(cats, df.p_partkey == cats.l_partkey, "left").drop("l_partkey")
-    if "genres" in need:
-        lines = read_table(spark, sf_dir, "lineitem")
-        orders = read_table(spark, sf_dir, "orders")
-        customer = read_table(spark, sf_dir, "customer")
-        seg = _label_text(
-            lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-            .join(customer, orders.o_custkey == customer.c_custkey)
-            .select("l_partkey", F.col("c_mktsegment").alias("genres")),
-            "genres", 5,
-        )
-        df = df.join(seg, df.p_partkey == seg.l_partkey, "left").drop("l_partkey")
+    if need & (_LINE_COLUMNS | {"categories", "genres"}):
+        facts = _line_facts(spark, sf_dir, "genres" in need)
+        df = df.join(facts, df.p_partkey == facts.l_partkey, "left").drop("l_partkey")
     if "about" in need:
         docs = read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("about"))
         df = df.join(docs, df.p_partkey == docs.doc_id, "left").drop("doc_id")

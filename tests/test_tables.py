@@ -76,3 +76,36 @@ def test_checkpoint_folder_follows_the_session(spark):
     assert new_table_path(spark, "x").startswith(checkpoint_dir(spark))
     old = spark.conf.get("spark.checkpoint.dir", None)
     assert old is None or checkpoint_dir(spark) == old
+
+
+def test_facts_are_read_once(spark, sf, monkeypatch):
+    """All columns of the entity table come from one scan of each source, and cleaning reads it once."""
+    from salescope.operators import preprocess as S
+    from salescope.plans.entity import ALL_COLUMNS, entity_table
+    from salescope.plans.registry import ENTITY
+
+    df = entity_table(spark, sf, ALL_COLUMNS)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_partkey#") and plan.count("Relation [l_orderkey") == 1
+    written = []
+    inner = S.materialize
+
+    def watched(table, name="table"):
+        written.append((name, table._jdf.queryExecution().optimizedPlan().toString()))
+        return inner(table, name)
+
+    monkeypatch.setattr(S, "materialize", watched)
+    out = S.preprocess(df, ENTITY)
+    final = out._jdf.queryExecution().optimizedPlan().toString()
+    assert [n for n, _ in written] == ["parsed", "frequencies"]
+    assert [p.count("Relation [l_orderkey") for _, p in written] == [1, 0] and "Relation [l_orderkey" not in final
+    assert "about" not in inner(df.limit(0), "x").drop("about").columns and "about" not in out.columns
+
+
+def test_frequencies_of_columns_and_lists(spark):
+    from salescope.operators.preprocess import by_frequency, value_frequencies
+    df = spark.createDataFrame([("a", "x", ["p", "q"]), ("a", None, None), (None, "x", ["p"])], "s string, t string, l array<string>")
+    counts = value_frequencies(df, ["s", "t"], {"l": F.col("l")})
+    assert {(r["column"], r.value): r.n for r in counts.collect()} == {
+        ("s", "a"): 2, ("s", "Unknown"): 1, ("t", "x"): 2, ("t", "Unknown"): 1, ("l", "p"): 2, ("l", "q"): 1}
+    assert sorted(r.f for r in by_frequency(df, counts, "s", "f").collect()) == [1, 2, 2]
