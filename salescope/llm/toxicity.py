@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -40,6 +40,10 @@ LOOKALIKES = {
 SIGNS = re.escape("".join(LOOKALIKES))
 #: A token that may be disguised: a letter and a look-alike sign, a letter twice in a row, or a mark between letters.
 SUSPICIOUS = re.compile(rf"[^\W\d_].*[{SIGNS}]|[{SIGNS}].*[^\W\d_]|([^\W\d_])\1|[^\W\d_](?:[^\w\s]|_)+[^\W\d_]", re.S)
+#: What makes a token of letters alone suspicious.
+DOUBLED = re.compile(r"([^\W\d_])\1")
+#: Most tokens whose reading a task keeps; a new one is read again when its turn comes.
+CACHED = 200_000
 #: Single letters with marks between them.
 MARKED = re.compile(r"(?:[^\W_](?:[^\w\s]|_)){3}")
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -58,8 +62,35 @@ def is_single(token: str) -> bool:
     return len(token) == 1 and (token.isalnum() or token in LOOKALIKES)
 
 
+def _spelt(symbols: list[int], flat: list[float]) -> float:
+    """The log-probability of a word, its end included."""
+    a = b = 0
+    total = 0.0
+    for c in symbols:
+        total += flat[(a * SYMBOLS + b) * SYMBOLS + c]
+        a, b = b, c
+    return total + flat[(a * SYMBOLS + b) * SYMBOLS]
+
+
+def _once_doubled(low: str, flat: list[float]) -> str | None:
+    """The likelier of a word with one doubled letter and the word with that letter once; None for other words."""
+    at = [i for i in range(1, len(low)) if low[i] == low[i - 1]]
+    if len(at) != 1:
+        return None
+    letters = [symbol(c) for c in low]
+    i = at[0]
+    if _spelt(letters, flat) >= REPEATED + _spelt(letters[:i] + letters[i + 1 :], flat):
+        return low
+    return low[:i] + low[i + 1 :]
+
+
 def restore_word(token: str, logp: np.ndarray) -> str:
-    """The likeliest reading of a token; ``logp[a, b, c]`` is the log-probability of c after a, b.
+    """:func:`restored` under a trigram model given as an array."""
+    return restored(token, logp.ravel().tolist())
+
+
+def restored(token: str, flat: list[float]) -> str:
+    """The likeliest reading of a token; ``flat`` holds the log-probability of c after a, b for all (a, b, c).
 
     Each sign is read as itself if it is a letter, as a letter it looks like, or as
     nothing if it repeats the sign before or is a mark between letters. Marks, and spaces
@@ -67,26 +98,31 @@ def restore_word(token: str, logp: np.ndarray) -> str:
     several words with a space between. Signs with no other reading are dropped. The
     empty token reads as itself.
     """
-    states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
-    last = ""
-    for c in token.lower():
+    low = token.lower()
+    if low.isalpha() and (read := _once_doubled(low, flat)) is not None:
+        return read
+    # the state a * SYMBOLS + b stands for the last two symbols read
+    states: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
+    last, worst = "", (-math.inf,)
+    for c in low:
         gap = c == " "
-        reads = [(c, 0.0)] if c.isalpha() else [(x, SUBSTITUTED) for x in LOOKALIKES.get(c, "")]
+        letters = [(c, 0.0)] if c.isalpha() else [(x, SUBSTITUTED) for x in LOOKALIKES.get(c, "")]
+        reads = [(x, symbol(x), cost) for x, cost in letters]
         skip = 0.0 if gap else REPEATED if c == last else PARTED if not c.isalnum() else None if reads else 0.0
         ends = SPACE if gap else SPLIT if not c.isalnum() else None
-        new: dict[tuple[int, int], tuple[float, tuple]] = {}
-        for (a, b), (score, path) in states.items():
-            for letter, cost in reads:
-                s = symbol(letter)
-                got = score + cost + logp[a, b, s]
-                if got > new.get((b, s), (-math.inf,))[0]:
-                    new[b, s] = (got, (path, letter))
-            if skip is not None and score + skip > new.get((a, b), (-math.inf,))[0]:
-                new[a, b] = (score + skip, path)
-            if ends is not None and b and score + ends + logp[a, b, 0] > new.get((b, 0), (-math.inf,))[0]:
-                new[b, 0] = (score + ends + logp[a, b, 0], (path, " "))
+        new: dict[int, tuple[float, tuple]] = {}
+        for state, (score, path) in states.items():
+            base, b = state * SYMBOLS, state % SYMBOLS
+            for letter, s, cost in reads:
+                got, to = score + cost + flat[base + s], b * SYMBOLS + s
+                if got > new.get(to, worst)[0]:
+                    new[to] = (got, (path, letter))
+            if skip is not None and score + skip > new.get(state, worst)[0]:
+                new[state] = (score + skip, path)
+            if ends is not None and b and score + ends + flat[base] > new.get(b * SYMBOLS, worst)[0]:
+                new[b * SYMBOLS] = (score + ends + flat[base], (path, " "))
         states, last = new, last if gap else c
-    _, path = max((score + (logp[a, b, 0] if b or not path else 0.0), path) for (a, b), (score, path) in states.items())
+    _, path = max((score + (flat[state * SYMBOLS] if state % SYMBOLS or not path else 0.0), path) for state, (score, path) in states.items())
     out = []
     while path:
         path, letter = path
@@ -145,16 +181,19 @@ def features_of(words) -> tuple[str, ...]:
     return tuple({x for w in words if w for x in (w, *(w[:k] + "*" for k in BEGINNINGS if len(w) > k))})
 
 
-def word_features(token: str, logp: np.ndarray, cache: dict) -> tuple[str, ...]:
+def word_features(token: str, logp: np.ndarray | list[float], cache: dict) -> tuple[str, ...]:
     """Features of a token: words and their beginnings, as written, as split at what is no letter, and as restored."""
     got = cache.get(token)
     if got is None:
-        low = token.lower()
-        forms = {bare(low), *(w for w in NOT_LETTERS.split(low) if len(w) > 1)}
-        if " " in low or SUSPICIOUS.search(low):
-            forms.update(restore_word(low, logp).split(" "))
+        low, flat = token.lower(), logp if isinstance(logp, list) else logp.ravel().tolist()
+        if low.isalpha():
+            forms = {low, *(restored(low, flat).split(" ") if DOUBLED.search(low) else ())}
+        else:
+            forms = {bare(low), *(w for w in NOT_LETTERS.split(low) if len(w) > 1)}
+            if " " in low or SUSPICIOUS.search(low):
+                forms.update(restored(low, flat).split(" "))
         got = features_of(forms)
-        if len(cache) > 200_000:
+        if len(cache) > CACHED:
             cache.clear()
         cache[token] = got
     return got
@@ -188,6 +227,15 @@ class ToxicityModel:
     weights: dict[str, float] = field(default_factory=dict)
     coefficients: np.ndarray = field(default_factory=lambda: np.zeros(6))
 
+    @cached_property
+    def flat(self) -> list[float]:
+        return self.logp.ravel().tolist()
+
+    @cached_property
+    def starts(self) -> dict[str, float]:
+        """Weights of the beginnings of words."""
+        return {x[:-1]: w for x, w in self.weights.items() if x.endswith("*")}
+
     @cached_property
     def pieces(self) -> tuple[set[str], set[str], set[str]]:
         """What words with a weight can be split into: first, middle and last pieces."""
@@ -195,17 +243,41 @@ class ToxicityModel:
         return ({w[:k] for w in words for k in range(1, len(w))}, {w[i:k] for w in words for k in range(2, len(w)) for i in range(1, k)},
                 {w[k:] for w in words for k in range(1, len(w))})
 
-    def split_words(self, row: np.ndarray, codes: np.ndarray, tokens: list[str], cache: dict) -> list[tuple[int, float]]:
+    def weight_of(self, words: Iterable[str]) -> float:
+        """The largest weight of the words and their beginnings, 0 if none has one."""
+        best = 0.0
+        for w in words:
+            best = max(best, self.weights.get(w, 0.0)) if w else best
+            for k in BEGINNINGS:
+                if len(w) > k:
+                    best = max(best, self.starts.get(w[:k], 0.0))
+        return best
+
+    def facts(self, token: str) -> tuple[float, str, bool, bool, bool]:
+        """(weight, letters, and whether these may begin, continue or end a split word) of a token, restored once."""
+        low = token.lower()
+        if low.isalpha():
+            weight = self.weight_of((low,))
+            if DOUBLED.search(low):
+                weight = max(weight, self.weight_of(restored(low, self.flat).split(" ")))
+            form = low
+        else:
+            words = [bare(low), *(w for w in NOT_LETTERS.split(low) if len(w) > 1)]
+            form = words[0]
+            if SUSPICIOUS.search(low):
+                read = restored(low, self.flat)
+                words += read.split(" ")
+                form = NOT_LETTERS.sub("", read)
+            weight = self.weight_of(words)
+            if MARKED.search(token):
+                weight = max(weight, self.inside(token))
+        first, middle, last = self.pieces
+        return weight, form, form in first, form in middle, form in last
+
+    def split_words(self, row: np.ndarray, codes: np.ndarray, facts: list[tuple]) -> list[tuple[int, float]]:
         """(row, weight) of the words with a weight that two or three tokens in a row make up."""
-        forms = []
-        for t in tokens:
-            f = t.lower() if t.isalpha() else cache.get((t,))
-            if f is None:
-                low = t.lower()
-                f = NOT_LETTERS.sub("", restore_word(low, self.logp)) if len(t) < 16 and SUSPICIOUS.search(low) else bare(low)
-                cache[(t,)] = f
-            forms.append(f)
-        first, middle, last = (np.array([f in known for f in forms], bool)[codes] for known in self.pieces)
+        forms = [f[1] for f in facts]
+        first, middle, last = (np.array([f[i] for f in facts], bool)[codes] for i in (2, 3, 4))
         out = []
         for n in (2, 3):
             if len(codes) < n:
@@ -222,7 +294,7 @@ class ToxicityModel:
     def inside(self, spaced: str) -> float:
         """The largest weight of a word of four letters or more in letters whose word ends are not told."""
         best = 0.0
-        for x in {restore_word(spaced, self.logp).replace(" ", ""), NOT_LETTERS.sub("", spaced.lower())}:
+        for x in {restored(spaced, self.flat).replace(" ", ""), NOT_LETTERS.sub("", spaced.lower())}:
             for i in range(len(x) - 3):
                 k = i + 1
                 while k <= len(x) and (k == len(x) or x[i:k] in self.pieces[0]):
@@ -234,19 +306,24 @@ class ToxicityModel:
         """Per text: 1, number of hits, their sum, the largest, hits per word, log of the words."""
         offsets, codes, tokens, extra = _tokens(batch)
         n = len(offsets) - 1
-        w = np.zeros(len(tokens) + 1)
-        for i, t in enumerate(tokens):
-            w[i] = max((self.weights.get(x, 0.0) for x in word_features(t, self.logp, cache)), default=0.0)
-            if MARKED.search(t):
-                w[i] = max(w[i], self.inside(t))
+        if len(cache) > CACHED:
+            cache.clear()
+        facts = []
+        for t in tokens:
+            found = cache.get(t)
+            if found is None:
+                found = cache[t] = self.facts(t)
+            facts.append(found)
+        w = np.array([f[0] for f in facts])
         size = np.diff(offsets)
         row = np.repeat(np.arange(n), size)
+        more = self.split_words(row, codes, facts) if len(tokens) else []
         value = w[codes] if len(codes) else np.empty(0)
         hit = value > 0
         row, value = row[hit], value[hit]
-        more = self.split_words(np.repeat(np.arange(n), size), codes, tokens, cache) if len(tokens) else []
         for r, spaced in extra:
-            v = max((self.weights.get(f, 0.0) for f in word_features(spaced, self.logp, cache)), default=0.0)
+            low = spaced.lower()
+            v = self.weight_of([bare(low), *(x for x in NOT_LETTERS.split(low) if len(x) > 1), *restored(low, self.flat).split(" ")])
             v = max(v, self.inside(spaced))
             more += [(int(r), v)] if v > 0 else []
         row = np.concatenate([row, np.array([r for r, _ in more], np.int64)])
@@ -277,15 +354,16 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 30)
 def _count_features(logp):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict = {}
+        flat = logp.value.ravel().tolist()
         for whole in batches:
             for batch in slices(whole, "text"):
                 offsets, codes, tokens, extra = _tokens(batch)
                 seen: tuple[Counter, Counter] = (Counter(), Counter())
                 more: dict[int, set] = {}
                 for r, spaced in extra:
-                    more.setdefault(int(r), set()).update(word_features(spaced, logp.value, cache))
+                    more.setdefault(int(r), set()).update(word_features(spaced, flat, cache))
                 for i, y in enumerate(batch.column("y").to_pylist()):
-                    own = {x for c in np.unique(codes[offsets[i] : offsets[i + 1]]) for x in word_features(tokens[c], logp.value, cache)}
+                    own = {x for c in np.unique(codes[offsets[i] : offsets[i + 1]]) for x in word_features(tokens[c], flat, cache)}
                     seen[y].update(own | more.get(i, set()))
                 names = list(seen[0].keys() | seen[1].keys())
                 yield pa.RecordBatch.from_arrays(
@@ -302,8 +380,9 @@ def fit(
     """The character model over all ``docs`` and a classifier from at most ``fit_rows`` labelled rows.
 
     ``labels`` must hold training rows only. Null labels and ids are passed over; of
-    several labels of an id the largest counts. Rows are taken in hash order of their
-    ids. Features are kept when ``least_docs`` toxic documents have them and their
+    several labels of an id the largest counts. Ids are taken in hash order; of an id
+    with several rows all count for the features and one for the regression, so at most
+    ``fit_rows`` rows reach the driver. Features are kept when ``least_docs`` toxic documents have them and their
     log-odds are at least ``least_odds``, the ``vocabulary`` strongest of them. Without
     labels the score is 0.5 times what an empty regression gives, the same for all.
     """
@@ -312,7 +391,7 @@ def fit(
     y = labels.select(F.col(id_col).cast("long").alias("_i"), F.col(label).cast("int").alias("y")).filter("_i is not null and y in (0, 1)")
     y = y.groupBy("_i").agg(F.max("y").alias("y"))
     y = materialize(y.orderBy(F.xxhash64("_i"), "_i").limit(fit_rows), "labelled")
-    rows = docs.select(F.col(id_col).cast("long").alias("_i"), F.col(text).alias("text")).join(y, "_i").select("text", "y")
+    rows = docs.select(F.col(id_col).cast("long").alias("_i"), F.col(text).alias("text")).join(y, "_i").select("text", "y", "_i")
     logp = spark.sparkContext.broadcast(model.logp)
     counts = rows.mapInArrow(_count_features(logp), "feature string, toxic long, clean long")
     counts = counts.groupBy("feature").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"))
@@ -328,9 +407,10 @@ def fit(
         for whole in batches:
             for batch in slices(whole, "text"):
                 x = shipped.value.sums(batch, cache)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in x.T] + [batch.column("y")], names=[*"abcdef", "y"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in x.T] + [batch.column("y"), batch.column("_i")], names=[*"abcdef", "y", "_i"])
 
-    table = rows.mapInArrow(sums, ", ".join(f"{c} double" for c in "abcdef") + ", y int").toPandas()
+    found = rows.mapInArrow(sums, ", ".join(f"{c} double" for c in "abcdef") + ", y int, _i long")
+    table = found.groupBy("_i").agg(F.min(F.struct(*"abcdef", "y")).alias("r")).select("r.*").toPandas()
     if len(table):
         table = table.sort_values([*"abcdef", "y"])  # the sum's order, and so the result, is fixed
         model.coefficients = logistic(table[[*"abcdef"]].to_numpy(), table["y"].to_numpy(float))
