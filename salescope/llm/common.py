@@ -26,3 +26,9 @@ def split_words(c: Column, separators: str) -> Column:
 def text_key(*cols: Column) -> list[Column]:
     """Two independent 64-bit hashes, as columns ``k1`` and ``k2``."""
     return [F.xxhash64(*cols).alias("k1"), F.xxhash64(F.lit(1), *cols).alias("k2")]
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns c0, c1, ... and the new name of each old one, so that no name meets one of an operator."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names))

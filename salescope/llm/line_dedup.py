@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.common import WHITESPACE, lower_ascii, text_key
+from salescope.llm.common import WHITESPACE, lower_ascii, numbered, text_key
 from salescope.session import materialize
 
 
@@ -51,17 +51,21 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min
     as the empty string. Each row counts as one document, so repeated rows are
     several documents; rows are told apart by (id, text hash), and a null id is a
     value like any other. Columns of ``docs`` named like the two added ones are
-    replaced; names with dots are read as plain names.
+    replaced; names with dots are read as plain names. An empty table gives no rows; a text
+    of any length is one row of the table and one array of line hashes.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
+    plain, named = numbered(docs)
+    columns = {c: n for c, n in named.items() if c not in ("n_lines", "n_dropped")}
+    body = F.coalesce(F.col(named[text]), F.lit(""))
+    docs, key = plain, F.col(named[id_col])
     frequent = materialize(frequent_lines(docs.select(body.alias("_b")), "_b", min_docs).select("k1", "k2"), "lines")
-    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(body).alias("_h"), F.posexplode(_hashed_lines(body)).alias("_p", "_k"))
+    rows = docs.select(key.alias("_id"), F.xxhash64(body).alias("_h"), F.posexplode(_hashed_lines(body)).alias("_p", "_k"))
     hits = rows.filter("_k is not null").select("_id", "_h", "_p", F.col("_k.k1").alias("k1"), F.col("_k.k2").alias("k2"))
     hits = hits.join(frequent, ["k1", "k2"], "left_semi")
     drop = materialize(hits.groupBy("_id", "_h").agg(F.collect_set("_p").alias("_drop")), "dropped")
 
-    own = [F.col(f"`{c}`") for c in docs.columns if c not in (text, "n_lines", "n_dropped")]
-    left = docs.select(*own, body.alias("_b"), F.col(f"`{id_col}`").alias("_lid"), F.xxhash64(body).alias("_lh"))
+    own = [n for c, n in columns.items() if c != text]
+    left = docs.select(*own, body.alias("_b"), key.alias("_lid"), F.xxhash64(body).alias("_lh"))
     joined = left.join(drop, F.col("_lid").eqNullSafe(F.col("_id")) & (F.col("_lh") == F.col("_h")), "left")
     lines = F.split("_b", "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop"))
@@ -71,5 +75,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min
         F.coalesce(F.size(F.col("_drop")), F.lit(0)).cast("long").alias("n_dropped"),
     )
     cleaned = F.when(F.col("n_dropped") > 0, F.array_join(F.transform(kept, lambda p: F.col("_lines")[p]), "\n"))
-    out = out.withColumn(text, F.coalesce(cleaned, F.col("_b")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")
+    out = out.withColumn(named[text], F.coalesce(cleaned, F.col("_b")))
+    return out.select(*[F.col(n).alias(c) for c, n in columns.items()], "n_lines", "n_dropped")

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from salescope.llm.common import numbered
 from salescope.session import materialize
 
 RANGE_ROWS = 256
@@ -101,11 +102,10 @@ def mix_sources(
     """
     added = ("block", "slot", "place")
     own = [c for c in docs.columns if c not in added]
-    base = docs.select(
-        *[F.col(f"`{c}`") for c in own], F.col(f"`{source}`").alias("_s"), F.col(f"`{id_col}`").alias("_i"),
-        order_hash(F.col(f"`{id_col}`"), seed).alias("_o"),
-    )
-    keys = docs.select(F.col(f"`{source}`").alias("source"), order_hash(F.col(f"`{id_col}`"), seed).alias("o"))
+    plain, named = numbered(docs)
+    origin, key = F.col(named[source]), F.col(named[id_col])
+    base = plain.select(*[named[c] for c in own], origin.alias("_s"), key.alias("_i"), order_hash(key, seed).alias("_o"))
+    keys = plain.select(origin.alias("source"), order_hash(key, seed).alias("o"))
     counts = materialize(keys.groupBy("source").agg(F.count("*").alias("n")), "sources")
     parts = source_parts(counts, cycle, weights, exponent)
     plan = materialize(cycle_schedule(parts), "cycle")
@@ -133,4 +133,4 @@ def mix_sources(
     plan = plan.select(F.col("source").alias("_qs"), F.col("turn").alias("_qt"), F.col("slot").alias("_slot"), F.col("p").alias("_p"))
     placed = placed.join(plan, F.col("_s").eqNullSafe(F.col("_qs")) & (F.col("_turn") == F.col("_qt")))
     slot = F.expr("(_b div _parts) * _p + _slot")
-    return placed.select(*[F.col(f"`{c}`") for c in own], (F.col("_b") + 1).alias("block"), slot.alias("slot"), "place")
+    return placed.select(*[F.col(named[c]).alias(c) for c in own], (F.col("_b") + 1).alias("block"), slot.alias("slot"), "place")

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.common import lower_ascii, split_words, text_key
+from salescope.llm.common import lower_ascii, numbered, split_words, text_key
 from salescope.session import materialize
 
 #: Everything that is not part of a word.
@@ -146,5 +146,7 @@ def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text", **opt
     """The rows of ``docs``, with all columns, in which no item window occurs; null texts stay."""
     spans = contaminated_spans(docs, items, text, **options).select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"))
     hit = materialize(spans.distinct(), "hit")
-    k1, k2 = text_key(F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    return docs.join(hit, (k1 == F.col("_k1")) & (k2 == F.col("_k2")), "left_anti")
+    plain, named = numbered(docs)
+    k1, k2 = text_key(F.coalesce(F.col(named[text]), F.lit("")))
+    kept = plain.join(hit, (k1 == F.col("_k1")) & (k2 == F.col("_k2")), "left_anti")
+    return kept.select(*[F.col(n).alias(c) for c, n in named.items()])
