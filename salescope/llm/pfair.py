@@ -6,10 +6,12 @@ dealt earliest deadline first among the released blocks. Ties go to the block th
 leaves its successor the least room (a deadline that overlaps the next release),
 then to the smaller remaining interval, then to the source in name order. At every
 slot the number of blocks a source has had differs from w times the slot number by
-less than one block. This w is the source's whole parts over the slots of the cycle, not
-the target weight, from which the mix drifts with every cycle.
+less than one block.
 
-Weights are whole parts of a cycle, so the schedule repeats: one cycle is computed
+Target weights that name every source are taken exactly, as whole parts of a cycle, so the
+bound holds against them over any number of cycles. Weights made from row counts are
+defined as whole parts of a cycle, and the bound holds against these. Either way the
+schedule repeats: one cycle is computed
 once, by a fold over its slots on one row (work and size are set by the parameter
 ``cycle`` alone), and a block finds its slot by arithmetic. Ranking the documents of a
 source is a sum over hash ranges plus a window inside each range, so a source that
@@ -18,6 +20,9 @@ holds a third of all rows is never sorted in one task.
 
 from __future__ import annotations
 
+from fractions import Fraction
+from math import gcd, lcm
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -54,6 +59,30 @@ def source_parts(counts: DataFrame, cycle: int, weights: dict[str, float] | None
     return w.select("source", "n", (F.col("upto") - before + 1).alias("parts"))
 
 
+def exact_parts(weights: dict[str, float | int | str | Fraction], most: int) -> dict[str, int] | None:
+    """The weights as the smallest whole numbers in the same ratio, None if these add up to over ``most``.
+
+    Floats are read as they are written, so 0.1 is one tenth.
+    """
+    ratios = {k: Fraction(str(w)) for k, w in weights.items()}
+    if any(r <= 0 for r in ratios.values()):
+        raise ValueError("weights must be above 0")
+    unit = lcm(*(r.denominator for r in ratios.values()))
+    parts = {k: int(r * unit) for k, r in ratios.items()}
+    shared = gcd(*parts.values())
+    parts = {k: n // shared for k, n in parts.items()}
+    return parts if sum(parts.values()) <= most else None
+
+
+def target_parts(counts: DataFrame, cycle: int, weights: dict[str, float] | None, exponent: float) -> DataFrame:
+    """(source, n, parts): the exact weights where they name every source and fit ten cycles, else :func:`source_parts`."""
+    whole = exact_parts(weights, 10 * cycle) if weights else None
+    if whole is None or counts.filter(F.col("source").isNull() | ~F.col("source").isin(list(whole))).limit(1).count():
+        return source_parts(counts, cycle, weights, exponent)
+    named = F.create_map(*[F.lit(x) for k, v in sorted(whole.items()) for x in (k, v)])
+    return counts.select("source", "n", F.element_at(named, F.col("source")).cast("long").alias("parts"))
+
+
 def cycle_schedule(parts: DataFrame) -> DataFrame:
     """(source, turn, slot): which slot of the cycle each block of a source takes.
 
@@ -91,7 +120,9 @@ def mix_sources(
 ) -> DataFrame:
     """Every row and column of ``docs``, plus ``block``, ``slot`` and ``place``.
 
-    Reading the rows by (slot, place) gives the mix. ``block`` counts the blocks of
+    Reading the rows by (slot, place) gives the mix. ``weights`` that name every source of
+    the table are kept exactly if their whole-number ratio fits ten times ``cycle``; a
+    named source without rows leaves no gap, as the cycle is made of the sources there are. ``block`` counts the blocks of
     the row's source from 1; ``place`` is the row's place in its block. A source that
     has run out leaves its slots unused and the others keep theirs, so the bound of one
     block holds for as long as every source lasts. Nothing is dropped or repeated.
@@ -107,7 +138,7 @@ def mix_sources(
     base = plain.select(*[named[c] for c in own], origin.alias("_s"), key.alias("_i"), order_hash(key, seed).alias("_o"))
     keys = plain.select(origin.alias("source"), order_hash(key, seed).alias("o"))
     counts = materialize(keys.groupBy("source").agg(F.count("*").alias("n")), "sources")
-    parts = source_parts(counts, cycle, weights, exponent)
+    parts = target_parts(counts, cycle, weights, exponent)
     plan = materialize(cycle_schedule(parts), "cycle")
 
     def hash_range(h: Column, n: Column) -> Column:
