@@ -1,13 +1,19 @@
 """Secret scanning with structural confirmation.
 
 Three patterns give the base findings: assignments, access key ids and hex runs. On
-top, base64 and hex runs are decoded and parsed, and are reported when their structure
-holds: DER key encodings whose nested lengths add up, key blobs made of length-prefixed
-fields, and signed tokens whose header is a JSON object that names an algorithm. Base64
-and PEM bodies are joined over real and escaped line ends before they are parsed; a DER
-encoding in a run is as long as its own header says, so that what stands before or after
-it in the run does no harm. Whole texts are scanned, row
-by row, in Arrow batches; no row needs another.
+top, base64 and hex runs are decoded and parsed, and are reported when they hold a
+private key or a signed token: DER encodings whose nested lengths add up and whose
+fields are those of a private key (a short version number first and a long number or
+octet string after it, or an algorithm and an enciphered octet string), private key
+containers made of length-prefixed fields, and tokens whose header is a JSON object that
+names an algorithm. Public keys, certificates and parameters have other shapes and are
+not reported. Base64 and PEM bodies are joined over real and escaped line ends before they
+are parsed; an encoding in a run is as long as its own header says, so that what stands
+before or after it in the run does no harm.
+
+Work is linear in the text: a run is joined once, a candidate decodes only the headers of
+its fields, and a key has no more than ``MOST_FIELDS`` of these. Whole texts are scanned,
+row by row, in Arrow batches; no row needs another.
 """
 
 from __future__ import annotations
@@ -16,7 +22,8 @@ import base64
 import binascii
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,11 +45,14 @@ TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{10,}+)\.([A-Za-z0-9_-]++)\
 ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{32,}")
 BREAK = r"(?:(?:\\{1,2}r)?\\{1,2}n|\r?\n)[\x20\t]*"
 #: A base64 run that may go on over line ends; places in a run where an encoding may begin.
-WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{24,}}+(?:{BREAK}[A-Za-z0-9+/_-]++)*={{0,2}}")
-BEGIN = re.compile(r"(?:(?<![A-Za-z0-9])|(?<=\\n))(?:M|AAAA|b3Bl)")
+WRAPPED = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{24,}}+(?:{BREAK}(?!-----)[A-Za-z0-9+/_-]++)*={{0,2}}")
+BEGIN = re.compile(r"(?:(?<![A-Za-z0-9])|(?<=\\n))(?:M|b3Bl)")
 CHARS = re.compile(rf"{BREAK}|([A-Za-z0-9+/_-]+)")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----((?:[^-]|-(?!----))++)-----END \1-----")
-BLOB_NAMES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[^-]|-(?!----))++)-----END \1-----")
+CONTAINER = b"openssh-key-v1\0"
+#: More fields than any private key has, nested ones included.
+MOST_FIELDS = 256
+Reader = Callable[[int, int], bytes]
 
 
 def decode_base64(run: str) -> bytes | None:
@@ -55,44 +65,90 @@ def decode_base64(run: str) -> bytes | None:
         return None
 
 
-def is_der(data: bytes) -> bool:
-    """A SEQUENCE that fills ``data``, whose nested lengths all add up, with an INTEGER or id first."""
-    if len(data) < 16 or data[0] != 0x30:
-        return False
-    todo, inner = [(0, len(data))], 0
+def bytes_reader(data: bytes) -> Reader:
+    return lambda at, n: data[at : at + n]
+
+
+def base64_reader(run: str, start: int) -> Reader:
+    """Reads some bytes of the encoding that begins at ``start``, decoding no more than these."""
+    def read(at: int, n: int) -> bytes:
+        lo = start + at // 3 * 4
+        chunk = run[lo : start + (at + n + 2) // 3 * 4]
+        data = decode_base64(chunk[: len(chunk) - (len(chunk) % 4 == 1)]) or b""
+        return data[at % 3 : at % 3 + n]
+
+    return read
+
+
+def hex_reader(run: str, start: int) -> Reader:
+    return lambda at, n: bytes.fromhex(run[start + 2 * at : min(start + 2 * (at + n), len(run) - (len(run) - start) % 2)])
+
+
+def der_field(read: Reader, at: int, end: int) -> tuple[int, int, int] | None:
+    """(tag, where its content begins, where it ends) of the field at ``at``, None if it doesn't fit before ``end``."""
+    head = read(at, min(6, end - at))
+    if len(head) < 2:
+        return None
+    size, body = head[1], 2
+    if size & 0x80:
+        n = size & 0x7F
+        if not 1 <= n <= 4 or len(head) < 2 + n:
+            return None
+        size, body = int.from_bytes(head[2 : 2 + n], "big"), 2 + n
+    return (head[0], at + body, at + body + size) if at + body + size <= end else None
+
+
+def der_key_size(read: Reader, most: int) -> int:
+    """The size of the private key encoding that begins what ``read`` gives, 0 if there is none within ``most`` bytes."""
+    whole = der_field(read, 0, most)
+    if whole is None or whole[0] != 0x30 or whole[2] < 16:
+        return 0
+    todo, top, first_inner, seen = [(whole[1], whole[2], True)], [], 0, 0
     while todo:
-        at, end = todo.pop()
+        at, end, outer = todo.pop()
         while at < end:
-            if at + 2 > end:
-                return False
-            tag, size, body = data[at], data[at + 1], at + 2
-            if size & 0x80:
-                n = size & 0x7F
-                if not 1 <= n <= 4 or body + n > end:
-                    return False
-                size, body = int.from_bytes(data[body : body + n], "big"), body + n
-            if body + size > end or (at == 0 and body + size != end):
-                return False
-            if tag == 0x02 and size == 0:
-                return False
+            field = der_field(read, at, end)
+            seen += 1
+            if field is None or seen > MOST_FIELDS:
+                return 0
+            tag, lo, hi = field
+            if tag not in (0x02, 0x03, 0x04, 0x05, 0x06, 0x0C, 0x13, 0x17, 0x18, 0x30, 0x31, 0xA0, 0xA1) or (tag == 0x02 and lo == hi):
+                return 0
+            if outer:
+                top.append((tag, hi - lo))
+                first_inner = read(lo, 1)[:1] if len(top) == 1 and tag == 0x30 else first_inner
             if tag in (0x30, 0x31):
-                todo.append((body, body + size))
-            elif tag not in (0x02, 0x03, 0x04, 0x05, 0x06, 0x0C, 0x13, 0x17, 0x18, 0xA0, 0xA1):
-                return False
-            inner, at = inner + 1, body + size
-    return inner >= 3
+                todo.append((lo, hi, False))
+            at = hi
+    plain = top[0] in ((0x02, 1), (0x02, 2)) and any(tag in (0x02, 0x04) and size >= 16 for tag, size in top[1:])
+    enciphered = [tag for tag, _ in top] == [0x30, 0x04] and first_inner == b"\x06" and top[1][1] >= 16
+    return whole[2] if plain or enciphered else 0
 
 
-def is_blob(data: bytes) -> bool:
-    """Fields of a 32-bit length and so many bytes that fill ``data``, the first a key type."""
-    if data.startswith(b"openssh-key-v1\0"):
-        return len(data) > 32
-    at, fields = 0, []
-    while at + 4 <= len(data):
-        size = int.from_bytes(data[at : at + 4], "big")
-        fields.append(data[at + 4 : at + 4 + size])
-        at += 4 + size
-    return at == len(data) and len(fields) >= 2 and fields[0].startswith(BLOB_NAMES)
+def container_size(read: Reader, most: int) -> int:
+    """The size of the private key container that begins what ``read`` gives, 0 if its fields don't add up."""
+    if read(0, len(CONTAINER)) != CONTAINER:
+        return 0
+    at = len(CONTAINER)
+
+    def after(at: int) -> int:
+        size = read(at, 4)
+        return at + 4 + int.from_bytes(size, "big") if len(size) == 4 else most + 1
+
+    for _ in range(3):  # cipher, derivation and its options
+        at = after(at)
+        if at > most:
+            return 0
+    keys = int.from_bytes(read(at, 4), "big")
+    at += 4
+    if not 1 <= keys <= 16:
+        return 0
+    for _ in range(keys):
+        at = after(at)
+        if at > most:
+            return 0
+    end = after(at)
+    return end if end <= most and end - at - 4 >= 16 else 0
 
 
 def is_token(header: str, payload: str) -> bool:
@@ -103,38 +159,44 @@ def is_token(header: str, payload: str) -> bool:
         return False
 
 
-def der_size(data: bytes) -> int:
-    """The size of the encoding that begins ``data``, by its header; 0 if it has none."""
-    if len(data) < 6 or data[0] != 0x30:
-        return 0
-    n = data[1] & 0x7F if data[1] & 0x80 else 0
-    return 0 if n > 4 or data[1] == 0x80 else 2 + n + (int.from_bytes(data[2 : 2 + n], "big") if n else data[1])
+def opens_object(run: str, start: int) -> bool:
+    """Whether the base64 text from ``start`` decodes to the beginning of a JSON object."""
+    chunk = run[start : start + 64]
+    head = (decode_base64(chunk[: len(chunk) - (len(chunk) % 4 == 1)]) or b"").lstrip(b" \t\r\n")
+    if not head.startswith(b"{"):
+        return False
+    try:
+        json.JSONDecoder().raw_decode(head.decode("utf-8", "ignore"))
+    except json.JSONDecodeError as e:
+        return e.msg.startswith("Unterminated") or e.pos >= len(head) - 8
+    except RecursionError:
+        return False
+    return True
 
 
 def encodings(text: str, start: int, end: int) -> Iterator[tuple[int, str, int]]:
     """(start, kind, end) of the structures in a base64 run with or without line ends."""
+    parts = [(c.start(1), c[1]) for c in CHARS.finditer(text, start, end) if c[1]]
+    run = "".join(x for _, x in parts)
+    places = [at for at, _ in parts]
+    offsets = [0]
+    for _, x in parts:
+        offsets.append(offsets[-1] + len(x))
     after = start
     for m in BEGIN.finditer(text, start, end):
         if m.start() < after:
             continue
-        parts = [(c.start(1), c[1]) for c in CHARS.finditer(text, m.start(), min(end, m.start() + 64)) if c[1]]
-        head = decode_base64("".join(x for _, x in parts)[:20]) or b""
-        size = der_size(head)
-        if m[0] != "M" and not head[4:].startswith(BLOB_NAMES) and not head.startswith(b"openssh-key-v1\0"):
+        i = bisect_right(places, m.start()) - 1
+        if i < 0 or m.start() >= places[i] + len(parts[i][1]):
             continue
-        if m[0] == "M" and (size < 16 or size > (end - m.start()) * 3 // 4 + 2):
+        at = offsets[i] + m.start() - places[i]
+        read, most = base64_reader(run, at), (len(run) - at) * 3 // 4
+        kind, size = ("der", der_key_size(read, most)) if m[0] == "M" else ("blob", container_size(read, most))
+        if not size:
             continue
-        parts = [(c.start(1), c[1]) for c in CHARS.finditer(text, m.start(), end) if c[1]]
-        run = "".join(x for _, x in parts)
-        need = -(-size * 4 // 3) if m[0] == "M" else len(run)
-        kind = structure_of(decode_base64(run[:need]))
-        if kind is None:
-            continue
-        for at, x in parts:
-            if need <= len(x):
-                break
-            need -= len(x)
-        after = at + need
+        last = at + -(-size * 4 // 3) - 1
+        j = bisect_right(offsets, last) - 1
+        after = places[j] + last - offsets[j] + 1
         after += len(text[after : after + 2]) - len(text[after : after + 2].lstrip("="))
         yield m.start(), kind, after
 
@@ -150,9 +212,11 @@ def pem_holds(body: str) -> bool:
 
 
 def structure_of(data: bytes | None) -> str | None:
-    if data is None:
+    """The kind of private key that fills ``data``, None if there is none."""
+    if not data:
         return None
-    return "der" if is_der(data) else "blob" if is_blob(data) else None
+    read = bytes_reader(data)
+    return "der" if der_key_size(read, len(data)) == len(data) else "blob" if container_size(read, len(data)) == len(data) else None
 
 
 def secret_spans(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -170,17 +234,18 @@ def secret_spans(text: str | None) -> tuple[list[tuple[int, int, int]], list[tup
         if kind := structure_of(decode_base64(m[0])):
             added.append((m.start(), KINDS.index(kind), m.end()))
     for m in TOKEN.finditer(text):
-        starts = [0, *(i.end() for i in re.finditer(r"[-_](?=e)", m[1]))]
-        if (at := next((i for i in starts if is_token(m[1][i:], m[2])), None)) is not None:
+        header, payload = m[1], m[2]
+        starts = [0, *(i.end() for i in re.finditer(r"[-_](?=e[yw])", header) if opens_object(header, i.end()))]
+        if (at := next((i for i in starts if is_token(header[i:], payload)), None)) is not None:
             added.append((m.start() + at, 3, m.end()))
     for m in ANY_HEX.finditer(text):
-        for i in (i.start() for i in re.finditer("(?=30)|^(?=0000)", m[0])):
-            size = der_size(bytes.fromhex(m[0][i : i + 12])) if len(m[0]) >= i + 12 else 0
-            if 16 <= size and i + 2 * size <= len(m[0]) and is_der(bytes.fromhex(m[0][i : i + 2 * size])):
+        run = m[0]
+        for i in (i.start() for i in re.finditer("(?=30)", run)):
+            if size := der_key_size(hex_reader(run, i), (len(run) - i) // 2):
                 added.append((m.start() + i, KINDS.index("der"), m.start() + i + 2 * size))
                 break
         else:
-            if len(m[0]) % 2 == 0 and is_blob(bytes.fromhex(m[0])):
+            if len(run) % 2 == 0 and structure_of(bytes.fromhex(run)) == "blob":
                 added.append((m.start(), KINDS.index("blob"), m.end()))
     for m in WRAPPED.finditer(text):
         added += [(s, KINDS.index(kind), e) for s, kind, e in encodings(text, m.start(), m.end())]
