@@ -13,10 +13,12 @@ Nodes are 64-bit hashes of urls; at n urls about n^2 / 2^65 pairs share a node.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.common import lower_ascii
+from salescope.llm.common import WHITESPACE, lower_ascii
 from salescope.llm.components import connected_components
 from salescope.session import materialize
 
@@ -56,27 +58,72 @@ def plain_form(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(F.lit("http://"), host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
 
 
+#: Comments, and elements whose content is no markup; then whole tags, quotes minded, and their attributes.
+UNSEEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b.*?(?:</\1\s*>|\z)"
+TAG = r"(?is)<(?:link|meta|base)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+ATTRIBUTE = r"(?s)(?<![^\s\"'<>/])([^\s\"'<>/=]++)\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++)"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """The first value of an attribute of a tag without its quotes, null if it has none."""
+    at = F.array_position(F.transform(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), 1), lower_ascii), name)
+    value = F.try_element_at(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), 2), F.nullif(at, F.lit(0)).cast("int"))
+    return F.trim(F.replace(F.regexp_replace(value, r"(?s)\A([\"'])(.*)\1\z", "$2"), F.lit("&amp;"), F.lit("&")), F.lit(WHITESPACE))
+
+
+def without_dots(path: Column) -> Column:
+    """An absolute path with its segments ``.`` and ``..`` resolved."""
+    def joined(parts: Column) -> Column:
+        kept = F.aggregate(parts, F.expr("cast(array() as array<string>)"), lambda done, x: F.when(
+            x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).when(x == ".", done).otherwise(F.array_append(done, x)))
+        tail = F.when(F.element_at(parts, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.expr("cast(array() as array<string>)"))
+        return F.concat(F.lit("/"), F.array_join(F.concat(kept, tail), "/"))
+
+    return let(F.split(F.substring(path, 2, F.lit(2**31 - 1)), "/"), joined)
+
+
+def resolved(base: Column, reference: Column) -> Column:
+    """The absolute url of a reference found on a page (RFC 3986); null for one that names no host, as mailto: does."""
+    scheme = F.regexp_extract(base, r"^[^:]*(?=://)", 0)
+    root = F.concat(scheme, F.lit("://"), F.regexp_extract(after_scheme(base), r"^[^/?#]*", 0))
+    path = F.when(path_of(base) == "", F.lit("/")).otherwise(path_of(base))
+    query = F.regexp_extract(base, r"^[^?#]*(\?[^#]*)", 1)
+    own = F.regexp_extract(reference, r"^[^?#]*", 0)
+    rest = F.regexp_extract(reference, r"^[^?#]*((?:\?[^#]*)?)", 1)
+    merged = F.when(F.startswith(own, F.lit("/")), own).otherwise(F.concat(F.regexp_extract(path, r"^(?s:.*)/", 0), own))
+    return (
+        F.when(F.instr(own, "://") > 0, reference)
+        .when(F.startswith(reference, F.lit("//")), F.concat(scheme, F.lit(":"), reference))
+        .when(reference.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
+        .when(own == "", F.concat(root, path, F.when(F.startswith(reference, F.lit("?")), rest).otherwise(query)))
+        .otherwise(F.concat(root, without_dots(merged), rest)))
+
+
 def link_targets(url: Column, html: Column) -> Column:
-    """Absolute targets of the page's canonical link and of its meta refresh."""
-    tags = F.split(html, r"(?i)<(?=link\b|meta\b)")
-    tags = F.transform(F.slice(tags, 2, F.greatest(F.size(tags), F.lit(1))), lambda t: F.regexp_extract(t, r"^[^>]*", 0))
-    canonical = F.filter(tags, lambda t: t.rlike(r"(?i)^link\b.*\brel\s*=\s*[\"']?canonical\b"))
-    refresh = F.filter(tags, lambda t: t.rlike(r"(?i)^meta\b.*\bhttp-equiv\s*=\s*[\"']?refresh\b"))
-    hrefs = F.concat(
-        F.transform(canonical, lambda t: F.regexp_extract(t, r"(?i)\bhref\s*=\s*(?:\"([^\"]*)|'([^']*)|([^\s>\"']+))", 0)),
-        F.transform(refresh, lambda t: F.regexp_extract(t, r"(?i)\burl\s*=\s*[\"']?[^\"'>\s;]+", 0)))
-    hrefs = F.transform(hrefs, lambda h: F.replace(F.trim(F.regexp_replace(h, r"(?i)^(?:href|url)\s*=\s*[\"']?", "")), F.lit("&amp;"), F.lit("&")))
-    scheme = F.regexp_extract(url, r"^[^:]*(?=://)", 0)
-    root = F.concat(scheme, F.lit("://"), host_of(url))
-
-    def absolute(h: Column) -> Column:
-        return (
-            F.when(F.instr(h, "://") > 0, h)
-            .when(F.startswith(h, F.lit("//")), F.concat(scheme, F.lit(":"), h))
-            .when(F.startswith(h, F.lit("/")), F.concat(root, h))
-            .otherwise(F.concat(root, F.regexp_extract(path_of(url), r"^(?:.*/)?", 0), h)))
-
-    return F.transform(F.filter(hrefs, lambda h: h != ""), absolute)
+    """Absolute targets of the page's canonical links and of its meta refresh.
+
+    Tags count where a browser sees them: not in comments or scripts, over several lines,
+    with ``>`` in quotes, and with any attribute before. ``<base href>`` moves the base.
+    """
+    def targets(tags: Column) -> Column:
+        def of(kind: str) -> Column:
+            return F.filter(tags, lambda t: t.rlike(rf"(?i)^<{kind}\b"))
+
+        canonical = F.filter(of("link"), lambda t: F.array_contains(F.split(lower_ascii(F.coalesce(attribute(t, "rel"), F.lit(""))), r"\s+"), "canonical"))
+        refresh = F.filter(of("meta"), lambda t: lower_ascii(F.coalesce(attribute(t, "http-equiv"), F.lit(""))) == "refresh")
+        jumps = F.transform(refresh, lambda t: F.regexp_extract(F.coalesce(attribute(t, "content"), F.lit("")), r"(?is)\burl\s*=\s*[\"']?([^\"'\s]+)", 1))
+        found = F.filter(F.concat(F.transform(canonical, lambda t: F.coalesce(attribute(t, "href"), F.lit(""))), jumps), lambda h: h != "")
+        bases = F.filter(F.transform(of("base"), lambda t: attribute(t, "href")), lambda h: F.coalesce(h != "", F.lit(False)))
+        base = let(F.try_element_at(bases, F.lit(1)), lambda b: F.coalesce(resolved(url, b), url))
+        return let(base, lambda b: F.array_compact(F.transform(found, lambda h: resolved(b, h))))
+
+    seen = html.rlike(r"(?i)\brel\s*=|\bhttp-equiv\s*=")
+    return F.when(seen, let(F.regexp_extract_all(F.regexp_replace(html, UNSEEN, " "), F.lit(TAG), 0), targets))
 
 
 def judge_urls(
@@ -88,7 +135,9 @@ def judge_urls(
     ``rules`` are (verdict, host, path) with verdict ``allow`` or ``block``. ``by_alias``
     tells that the class decided. A null url or one without ``://`` has an empty host and
     path, fits no rule, has no aliases and gets the default; a null html has no links.
-    Repeated rows and repeated urls each get their row. Other columns are ignored.
+    Repeated rows and repeated urls each get their row. Of rules of one length that fit,
+    the first by name decides, allow before block. An html of any length is read whole; an
+    empty table gives no rows. Other columns are ignored.
     """
     u = F.col("_url")
     base = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("_url"))
