@@ -52,6 +52,34 @@ def test_top_k_matches_all_pairs(spark):
     assert got == want
 
 
+def test_top_k_cuts_pairs_before_rows_are_copied(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    middles = rng.normal(size=(20, 8)) * 3
+    m = middles[np.arange(2000) % 20] + rng.normal(size=(2000, 8)) * 0.02
+    written, plain = {}, cover_tree.materialize
+    monkeypatch.setattr(cover_tree, "materialize", lambda df, name="table": written.setdefault(name, plain(df, name)))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>")
+    got = cover_tree.exact_top_k(df, F.col("vec_id") % 10 == 0, block_rows=64, group_queries=16)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in got.collect()}
+    whole = np.floor(256 * m)
+    for i in range(0, 2000, 10):
+        s = whole @ whole[i]
+        order = sorted((j for j in range(2000) if j != i), key=lambda j: (-s[j], j))[:5]
+        assert [got[i, n] for n in range(1, 6)] == [(j, int(s[j])) for j in order]
+    blocks = written["blocks"].select("block").distinct().count()
+    assert blocks > 30 and written["sent"].count() < 200 * blocks / 4
+    groups = written["asking"].select("g").distinct().count()
+    assert written["pairs"].count() < groups * blocks / 2
+
+
+def test_top_k_with_ids_of_several_vectors_and_clashing_names(spark):
+    rows = [(0, [1.0], 1, 2), (7, [2.0], 1, 2), (7, [0.5], 1, 2), (7, [0.5], 1, 2), (0, [9.0], 3, 4), (8, [], 1, 2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, block long, cell long").withColumn("g", F.lit("x"))
+    got = cover_tree.exact_top_k(df, F.col("vec_id") % 50 == 0, k=3)
+    want = [(0, 1, 7, 9 * 2 * 65536), (0, 2, 7, 9 * 65536 // 2), (0, 3, 7, 2 * 65536)]
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
 def test_top_k_of_few_and_no_rows(spark):
     df = spark.createDataFrame([(0, [1.0]), (50, [2.0]), (3, [0.5])], "vec_id long, embedding array<double>")
     got = cover_tree.exact_top_k(df, F.col("vec_id") % 50 == 0).collect()
