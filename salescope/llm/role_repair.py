@@ -5,16 +5,20 @@ role, take another one, or be merged into the turn before it, and empty turns ma
 inserted before it; the cheapest way is a shortest path. One turn is a matrix of costs
 from the role before to the role after, and a stretch of turns is the (min, +) product of
 its matrices, so a conversation of any length is cut: turns are range-partitioned by
-(conversation, turn), each task multiplies its stretches, one short scan over a
-conversation's stretches (one per partition at most) fixes the roles at their ends, and
-each stretch is then solved on its own. Costs carry the number of turns in their low
-bits, so among equally cheap repairs the one with the fewest turns wins and every stretch
-knows where its output numbers start.
+(conversation, turn) and each task streams over its rows. A conversation that begins and
+ends inside a task is solved on the spot. The first and the last one of a task may go on
+in another: their rows are written as they are, with the product of the stretch; one
+short scan over a conversation's stretches (one per partition at most) fixes the roles at
+their ends, and each stretch is then solved on its own, streamed again. What a task holds
+at a time is one conversation's rows of one partition, as Arrow batches. Costs carry the
+number of turns in their low bits, so among equally cheap repairs the one with the fewest
+turns wins and every stretch knows where its output numbers start.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -84,8 +88,8 @@ def times(m: tuple[int, ...], role: int) -> tuple[int, ...]:
     return tuple(out)
 
 
-def solve(roles: list[int], entry: int, leave: int) -> list[tuple[int, int]]:
-    """(state before, state after) of each turn on the cheapest way from ``entry`` to ``leave``."""
+def solve(roles: Sequence[int], entry: int, leave: int | None = None) -> list[tuple[int, int]]:
+    """(state before, state after) of each turn on the cheapest way from ``entry`` to ``leave``, or to any legal end."""
     best, back = {entry: 0}, []
     for role in roles:
         new: dict[int, tuple[int, int]] = {}
@@ -94,44 +98,117 @@ def solve(roles: list[int], entry: int, leave: int) -> list[tuple[int, int]]:
                 new[t] = (best[s] + cost, s)
         best = {t: c for t, (c, _) in new.items()}
         back.append({t: s for t, (_, s) in new.items()})
-    path, t = [], leave
+    path, t = [], min(ENDS, key=lambda x: best.get(x, NEVER)) if leave is None else leave
     for step in reversed(back):
         path.append((step[t], t))
         t = step[t]
     return path[::-1]
 
 
-def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers the rows of a sorted partition; the last row of a conversation in it carries the product."""
-    pid = TaskContext.get().partitionId()
-    seq, conv, product, held = 0, object(), UNIT, None
-    names = ["conv_id", "turn", "role", "text", "pid", "seq", "product"]
+#: The ways of short stretches are remembered, as most conversations are alike.
+remembered = lru_cache(4096)(solve)
 
-    def rows(batch: pa.RecordBatch, first: int, products: list) -> pa.RecordBatch:
-        n = batch.num_rows
-        numbers = [pa.array([pid] * n, pa.int32()), pa.array(range(first, first + n), pa.int64()), pa.array(products, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:4]), *numbers], names=names)
+#: A finished row has an action; one without waits for the ends of its stretch, its text in ``rendered``.
+WORK = pa.schema([
+    ("conv_id", pa.int64()), ("turn", pa.int64()), ("place", pa.int64()), ("out_turn", pa.int64()), ("role", pa.string()),
+    ("action", pa.string()), ("rendered", pa.string()), ("pid", pa.int32()), ("seq", pa.int64()), ("product", pa.list_(pa.int64()))])
+DONE = pa.schema(list(WORK)[:7])
 
+
+def _render(conv, rows: list[tuple], pid: int, enter: int, leave: int | None, first: int, last: bool) -> list[list]:
+    """Repaired and rendered turns of a stretch of rows (turn, role, text, seq)."""
+    out, number = [], first - 1
+    roles = tuple(role_number(r[1]) for r in rows)
+    plan = (remembered if len(roles) <= 64 else solve)(roles, enter, leave)
+    for (turn, _, text, seq), role, (s, t) in zip(rows, roles, plan):
+        _, action, empty = STEPS[role][s, t]
+        place = (pid << 40) + (seq << 2)
+        for e in empty:
+            number += 1
+            out.append([conv, None, place, number, ROLES[e - 1], "insert", f"{'<|end|>' if number else ''}<|{ROLES[e - 1]}|>\n"])
+            place += 1
+        if action == "merge":
+            out.append([conv, turn, place, number, ROLES[t - 1], action, f"\n{text or ''}"])
+        else:
+            number += 1
+            out.append([conv, turn, place, number, ROLES[t - 1], action, f"{'<|end|>' if number else ''}<|{ROLES[t - 1]}|>\n{text or ''}"])
+    if last:
+        out[-1][-1] += "<|end|>"
+    return out
+
+
+def _batches(rows: list[list], schema: pa.Schema, size: int = 1024) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(rows), size):
+        part = rows[at : at + size]
+        columns = [*map(list, zip(*part))] + [[None] * len(part)] * (len(schema) - len(part[0]))
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list[pa.RecordBatch]]:
+    """The rows of each run of equal keys in a sorted stream, as slices of its batches."""
+    run, before = [], None
     for batch in batches:
         if not batch.num_rows:
             continue
-        convs, roles = batch.column("conv_id").to_pylist(), batch.column("role").to_pylist()
-        products: list = [None] * batch.num_rows
-        for i, (c, r) in enumerate(zip(convs, roles)):
-            if c != conv:
-                if i:
-                    products[i - 1] = list(product)
-                elif held is not None:
-                    held[2][-1] = list(product)
-                conv, product = c, UNIT
+        values = list(zip(*(batch.column(k).to_pylist() for k in keys)))
+        start = 0
+        for i, key in enumerate(values):
+            if key != before and (run or i > start):
+                if i > start:
+                    run.append(batch.slice(start, i - start))
+                yield run
+                run, start = [], i
+            before = key
+        run.append(batch.slice(start))
+    if run:
+        yield run
+
+
+def _waiting(run: list[pa.RecordBatch], pid: int, seq: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a stretch as they are; the last one carries the product."""
+    product = UNIT
+    for n, batch in enumerate(run):
+        for r in batch.column("role").to_pylist():
             product = times(product, role_number(r))
-        if held is not None:
-            yield rows(*held)
-        held = (batch, seq, products)  # its last row is complete when the next one is known
-        seq += batch.num_rows
-    if held is not None:
-        held[2][-1] = list(product)
-        yield rows(*held)
+        rows, last = batch.num_rows, n == len(run) - 1
+        none = pa.nulls(rows, pa.int64())
+        products = pa.array([None] * (rows - 1) + [list(product) if last else None], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([
+            batch.column("conv_id"), batch.column("turn"), none, none, batch.column("role").cast(pa.string()), pa.nulls(rows, pa.string()),
+            batch.column("text").cast(pa.string()), pa.array([pid] * rows, pa.int32()), pa.array(range(seq, seq + rows), pa.int64()), products],
+            schema=WORK)
+        seq += rows
+
+
+def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Solves every conversation of a sorted partition but the first and the last, whose rows it passes on."""
+    pid, seq, done = TaskContext.get().partitionId(), 0, []
+    runs = _runs(batches, ["conv_id"])
+    run, first = next(runs, None), True
+    while run is not None:
+        following = next(runs, None)
+        if first or following is None:
+            yield from _batches(done, WORK)
+            done, first = [], False
+            yield from _waiting(run, pid, seq)
+            seq += sum(b.num_rows for b in run)
+        else:
+            rows = [r for b in run for r in zip(*(b.column(c).to_pylist() for c in ("turn", "role", "text")))]
+            conv = run[0].column("conv_id")[0].as_py()
+            done += _render(conv, [(*r, seq + i) for i, r in enumerate(rows)], pid, START, None, 0, True)
+            seq += len(rows)
+            if len(done) >= 1024:
+                yield from _batches(done, WORK)
+                done = []
+        run = following
+
+
+def _at_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Solves stretches whose ends are known, in a stream sorted by task and number."""
+    for run in _runs(batches, ["pid", "conv_id"]):
+        at = {c: run[0].column(c)[0].as_py() for c in ("conv_id", "pid", "enter", "leave", "first", "last")}
+        rows = [r for b in run for r in zip(*(b.column(c).to_pylist() for c in ("turn", "role", "rendered", "seq")))]
+        yield from _batches(_render(at["conv_id"], rows, at["pid"], at["enter"], at["leave"], at["first"], at["last"]), DONE)
 
 
 def _scan(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -155,41 +232,6 @@ def _scan(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["conv_id", "pid", "enter", "leave", "first", "last"])
 
 
-COLUMNS = ["conv_id", "turn", "place", "out_turn", "role", "action", "rendered"]
-
-
-def _repair(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Repaired and rendered turns of the rows that one task had."""
-    pdf, out = pdf.sort_values("seq"), []
-    convs = pdf["conv_id"].to_numpy()
-    rows = pdf[["turn", "role", "text", "pid", "seq", "enter", "leave", "first", "last"]].to_dict("records")
-    at = 0
-    while at < len(rows):
-        end = at + 1
-        while end < len(rows) and (convs[end] == convs[at] or (pd.isna(convs[end]) and pd.isna(convs[at]))):
-            end += 1
-        roles = [role_number(r["role"]) for r in rows[at:end]]
-        number = int(rows[at]["first"]) - 1
-        for r, role, (s, t) in zip(rows[at:end], roles, solve(roles, int(rows[at]["enter"]), int(rows[at]["leave"]))):
-            _, action, empty = STEPS[role][s, t]
-            place = (int(r["pid"]) << 40) + (int(r["seq"]) << 2)
-            for e in empty:
-                number += 1
-                out.append([convs[at], None, place, number, ROLES[e - 1], "insert", f"{'<|end|>' if number else ''}<|{ROLES[e - 1]}|>\n"])
-                place += 1
-            text = r["text"] if isinstance(r["text"], str) else ""
-            if action == "merge":
-                out.append([convs[at], r["turn"], place, number, ROLES[t - 1], action, f"\n{text}"])
-            else:
-                number += 1
-                out.append([convs[at], r["turn"], place, number, ROLES[t - 1], action, f"{'<|end|>' if number else ''}<|{ROLES[t - 1]}|>\n{text}"])
-        if rows[at]["last"]:
-            out[-1][-1] += "<|end|>"
-        at = end
-    table = pd.DataFrame(out, columns=COLUMNS)
-    return table.astype({"conv_id": "Int64", "turn": "Int64", "place": "int64", "out_turn": "int64"})
-
-
 def repair_roles(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """One row per given or inserted turn: (conv_id, turn, place, out_turn, role, action, rendered).
 
@@ -198,8 +240,9 @@ def repair_roles(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
     are taken in order of ``turn``, a null turn first, ties by a hash of role and text. Roles
     are matched without case and outer blanks; a null or unknown one may become any role. Null
     texts render as empty, repeated rows are turns of their own, rows with a null
-    conversation form one conversation, an empty table has no rows, and other columns are
-    ignored.
+    conversation form one conversation, an empty table has no rows, texts may be of any
+    length, and other columns are ignored. ``conv_id`` and ``turn`` are taken as long
+    numbers; a text that is none is an error under ANSI rules.
     """
     t = turns.select(
         F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"),
@@ -209,12 +252,12 @@ def repair_roles(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
     order = ["conv_id", "turn", "tie", "deal"]
     parts = max(1, int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     t = t.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("conv_id", "turn", "role", "text")
-    schema = "conv_id long, turn long, role string, text string, pid int, seq long, product array<long>"
-    t = materialize(t.mapInArrow(_stretches, schema), "stretches")
-    ends = t.filter("product is not null").select("conv_id", "pid", "product")
+    done = "conv_id long, turn long, place long, out_turn long, role string, action string, rendered string"
+    t = materialize(t.mapInArrow(_inside, f"{done}, pid int, seq long, product array<long>"), "turns")
+    ends = t.filter("product is not null").select("conv_id", "pid", "product")  # two rows a partition
     states = "conv_id long, pid int, enter int, leave int, first long, last boolean"
     ends = materialize(ends.groupBy("conv_id").applyInPandas(_scan, states), "states")
     same = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("pid") == F.col("_p"))
-    rows = t.drop("product").join(ends.withColumnsRenamed({"conv_id": "_c", "pid": "_p"}), same).drop("_c", "_p")
-    out = "conv_id long, turn long, place long, out_turn long, role string, action string, rendered string"
-    return rows.groupBy("pid").applyInPandas(_repair, out)
+    open_rows = t.filter("action is null").drop("product").join(ends.withColumnsRenamed({"conv_id": "_c", "pid": "_p"}), same).drop("_c", "_p")
+    open_rows = open_rows.repartitionByRange(parts, "pid").sortWithinPartitions("pid", "seq")
+    return t.filter("action is not null").select(*DONE.names).unionByName(open_rows.mapInArrow(_at_edges, done))

@@ -315,6 +315,34 @@ def test_role_repair_of_a_long_conversation(spark):
     assert role_repair.repair_roles(df.filter("turn < 0")).count() == 0
 
 
+def test_role_repair_in_small_batches_and_with_clashing_names(spark):
+    """Conversations cut by batches and tasks, long texts and repeated rows: each equals its own solution."""
+    rng = random.Random(3)
+    rows = [(c % 60 if c % 7 else 5, c // 60, rng.choice(["user", "assistant", "system", None]), "x" * (50_000 if c == 99 else c % 3), 1, "s")
+            for c in range(1500)]
+    df = spark.createDataFrame(rows + rows[:5], "conv_id long, turn long, role string, text string, pid int, action string")
+    df = df.withColumn("seq", F.lit(0)).withColumn("place", F.lit(0))
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = role_repair.repair_roles(df).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert sum(r.turn is not None for r in got) == 1505 and len({r.place for r in got}) == len(got)
+    by = {}
+    for r in sorted(got, key=lambda r: r.place):
+        by.setdefault(r.conv_id, []).append(r)
+    for c, rs in by.items():
+        turns = [r.turn for r in rs if r.turn is not None]
+        assert turns == sorted(turns)
+        numbers = sorted({r.out_turn for r in rs})
+        assert numbers == list(range(len(numbers)))
+        path = [role_repair.START, *({r.out_turn: role_repair.ROLES.index(r.role) + 1 for r in rs}[n] for n in numbers)]
+        assert all(b in role_repair.FOLLOWS[a] for a, b in zip(path, path[1:])) and path[-1] in role_repair.ENDS
+        text = "".join(r.rendered for r in rs)
+        assert text.startswith("<|") and text.endswith("<|end|>") and text.count("<|end|>") == len(numbers)
+
+
 @pytest.fixture(scope="module")
 def model(spark, sf):
     docs = spark.read.parquet(f"{sf}/../sf0.01/documents.parquet")
