@@ -101,6 +101,8 @@ def contaminated_spans(
     found = materialize(found.groupBy("k1", "k2").agg(F.collect_set(F.struct("len", "fp", "pos")).alias("found")), "found")
 
     whole = docs.select(F.col(text).alias("_text")).filter("_text is not null").select(*text_key(F.col("_text")), "_text")
+    # copies of a text go on as one, and are made so before the shuffle as well as after it
+    whole = whole.dropDuplicates(["k1", "k2"])
     # always by shuffle: a size at which the plan changes would only move the cost, and hits grow with the texts
     whole = whole.join(found.hint("merge"), ["k1", "k2"]).select("k1", "k2", "found", words_of(F.col("_text")).alias("_words"))
     # words around a hit: all windows that hold it lie between pos - (window - k) and pos + window
