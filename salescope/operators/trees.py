@@ -8,9 +8,10 @@ from pyspark import SparkContext
 from pyspark.ml.regression import (
     GBTRegressionModel, GBTRegressor, GeneralizedLinearRegression, LinearRegression, RandomForestRegressor,
 )
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salescope.operators.boosting import BoostedModel, Loss, gamma, newton_boost, pseudo_huber, quantile, tweedie
 from salescope.operators.evaluate import dual_scale_metrics, split_summary
 from salescope.operators.features import FeatureBundle
 
@@ -99,38 +100,48 @@ def tree_table(bundle: FeatureBundle, estimators: Mapping[str, object]) -> DataF
     return split_summary(dual_scale_metrics(predict(bundle, fitted), ["model", "split"]))
 
 
-def skew_aware_losses(bundle: FeatureBundle, raw_target: str, iterations: int = 20, depth: int = 5,
-                      tweedie_power: float = 1.5, ridge: float = 0.01) -> DataFrame:
-    """Robust losses on the log target, and distribution losses on the raw target.
+def skew_aware_losses(bundle: FeatureBundle, raw_target: str, iterations: int = 500, depth: int = 6, rate: float = 0.05,
+                      tweedie_power: float = 1.5, huber_slope: float = 1.0, alpha: float = 0.5, ridge: float = 0.01) -> DataFrame:
+    """Boosted trees with robust losses on the log target and distribution losses on the raw one.
 
-    The gamma family needs a positive target and is fitted on target + 1. The log
-    link of the raw-scale families is regularised to keep the tail from diverging.
+    The gamma family needs a positive target and is fitted on target + 1. The models named
+    ``linear_...`` are the same families as linear models, for comparison; their log link
+    is regularised to keep the tail from diverging.
     """
     data = bundle.data.withColumn("raw_plus", F.col(raw_target).cast("double") + 1.0)
-    train = data.where(F.col("split") == "train")
-    log_models = {
-        "absolute": boosted_trees(iterations, depth=depth, lossType="absolute").fit(train),
-        "huber": LinearRegression(loss="huber", epsilon=1.35, maxIter=200).fit(train),
+    train, val = data.where(F.col("split") == "train"), data.where(F.col("split") == "val")
+
+    def boost(loss: Loss, label: str):
+        return newton_boost(train, val, loss, label, iterations=iterations, depth=depth, rate=rate)
+
+    def linear(family: str, label: str, **params):
+        return GeneralizedLinearRegression(family=family, regParam=ridge, labelCol=label, maxIter=50, **params).fit(train)
+
+    logged = {
+        "absolute": boosted_trees(iterations, rate, depth, lossType="absolute").fit(train),
+        "huber": boost(pseudo_huber(huber_slope), "label"),
+        f"quantile{alpha:g}": boost(quantile(alpha), "label"),
+        "linear_huber": LinearRegression(loss="huber", epsilon=1.35, maxIter=200).fit(train),
     }
-    raw_models = {
-        f"tweedie{tweedie_power:g}": (GeneralizedLinearRegression(
-            family="tweedie", variancePower=tweedie_power, linkPower=0.0, regParam=ridge,
-            labelCol=raw_target, maxIter=50), 0.0),
-        "gamma": (GeneralizedLinearRegression(
-            family="gamma", link="log", regParam=ridge, labelCol="raw_plus", maxIter=50), 1.0),
+    raw = {
+        f"tweedie{tweedie_power:g}": (boost(tweedie(tweedie_power), raw_target), 0.0),
+        "gamma": (boost(gamma(), "raw_plus"), 1.0),
+        f"linear_tweedie{tweedie_power:g}": (linear("tweedie", raw_target, variancePower=tweedie_power, linkPower=0.0), 0.0),
+        "linear_gamma": (linear("gamma", "raw_plus", link="log"), 1.0),
     }
-    logs = dual_scale_metrics(predict(bundle, log_models), ["model", "split"])
-    raw = data.select("split", F.col(raw_target).cast("double").alias("y_true"), "features")
-    columns: dict[str, Column] = {}
-    for i, (name, (est, shift)) in enumerate(raw_models.items()):
-        model = est.fit(train)
-        raw = model.copy({model.predictionCol: f"__p{i}"}).transform(raw)
-        columns[name] = F.col(f"__p{i}") - shift
-    stacked = raw.select("split", "y_true", F.explode(F.array(*[
-        F.struct(F.lit(n).alias("model"), c.alias("y_pred")) for n, c in columns.items()
-    ])).alias("p")).select("p.model", "split", "y_true", "p.y_pred")
-    raws = dual_scale_metrics(stacked, ["model", "split"], scale="raw")
-    return split_summary(logs.unionByName(raws))
+
+    def stacked(models: dict, target: str) -> DataFrame:
+        out, columns = data.select("split", F.col(target).cast("double").alias("y_true"), "features"), {}
+        for i, (name, (model, shift)) in enumerate(models.items()):
+            p = f"__p{i}"
+            out = model.transform(out, p) if isinstance(model, BoostedModel) else model.copy({model.predictionCol: p}).transform(out)
+            columns[name] = F.col(p) - shift
+        return out.select("split", "y_true", F.explode(F.array(*[
+            F.struct(F.lit(n).alias("model"), c.alias("y_pred")) for n, c in columns.items()
+        ])).alias("p")).select("p.model", "split", "y_true", "p.y_pred")
+
+    logs = dual_scale_metrics(stacked({n: (m, 0.0) for n, m in logged.items()}, "label"), ["model", "split"])
+    return split_summary(logs.unionByName(dual_scale_metrics(stacked(raw, raw_target), ["model", "split"], scale="raw")))
 
 
 def feature_toggle_ab(bundle: FeatureBundle, arms: Mapping[str, Sequence[str]], make) -> DataFrame:

@@ -190,7 +190,7 @@ def _(spark, sf):
 @query("skew_aware_losses")
 def _(spark, sf):
     return rounded(T.skew_aware_losses(launch_bundle(spark, sf, keep=["copies_sold"]), "copies_sold",
-                                       iterations=8, depth=4), 4)
+                                       iterations=8, depth=4, rate=0.2), 4)
 
 
 @query("feature_toggle_ab")
