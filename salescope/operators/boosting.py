@@ -1,7 +1,8 @@
 """Boosted trees for losses that Spark ML's own boosting lacks.
 
 Each round is one Newton step: with gradient g and curvature h of the loss at the present
-margin, a tree fitted to -g / h with row weight h has leaves of -sum(g) / sum(h).
+margin, a tree fitted to -g / h with row weight h has leaves of -sum(g) / sum(h). A loss
+whose curvature vanishes on one side of the target gives a larger h for the step.
 The margin is a column beside the features; a round reads the rows, fits one tree on the
 executors, and adds its output by a projection. Every ``write_every`` rounds the rows are
 written, so neither the plan nor the work lost with an executor grows with the rounds.
@@ -32,6 +33,8 @@ class Loss:
     curvature: Callable[[Column, Column], Column]
     start: Callable[[Column], Column]
     prediction: Callable[[Column], Column] = lambda m: m
+    #: The h of a step in place of the curvature.
+    damped: Callable[[Column, Column], Column] | None = None
 
 
 def tweedie(power: float = 1.5) -> Loss:
@@ -47,10 +50,19 @@ def tweedie(power: float = 1.5) -> Loss:
 
 
 def gamma() -> Loss:
-    """Deviance of a gamma law with a log link; targets above 0."""
+    """Deviance of a gamma law with a log link; targets above 0.
+
+    Far above the target the curvature falls as exp(-m) while the slope stays near 1, so a
+    Newton step from there grows without bound. There h is the chord of the slope from the
+    margin to the row's best, log y; a leaf then moves no further than its furthest row asks.
+    """
+    def damped(y, m):
+        x = F.log(y) - m
+        return F.when(x < -1e-6, F.expm1(x) / x).otherwise(F.exp(x))
+
     return Loss(
         lambda y, m: y * F.exp(-m) + m, lambda y, m: 1 - y * F.exp(-m), lambda y, m: y * F.exp(-m),
-        lambda y: F.log(F.avg(y)), F.exp)
+        lambda y: F.log(F.avg(y)), F.exp, damped)
 
 
 def pseudo_huber(slope: float = 1.0) -> Loss:
@@ -120,7 +132,7 @@ def newton_boost(
     rows = rows.withColumn("__m", F.lit(float(start)))
     trees, losses, best = [], [], 0
     for i in range(iterations):
-        h = F.greatest(loss.curvature(y, m), F.lit(1e-6))
+        h = F.greatest((loss.damped or loss.curvature)(y, m), F.lit(1e-6))
         work = rows.where("__part = 'train'").select(features, (-loss.gradient(y, m) / h).alias("__t"), h.alias("__h"))
         tree = RandomForestRegressor(
             numTrees=1, bootstrap=False, subsamplingRate=subsample, featureSubsetStrategy=str(column_share), maxDepth=depth,

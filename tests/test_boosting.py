@@ -82,3 +82,14 @@ def test_quantile_covers_its_share(rows):
     model = B.newton_boost(data, data, B.quantile(0.8), "y", iterations=10, rate=2.0, depth=2)
     got = model.transform(data).select("y", "prediction").toPandas()
     assert 0.7 < (got.y <= got.prediction).mean() < 0.9
+
+
+def test_gamma_steps_stay_between_the_targets(spark):
+    """A leaf of targets far under the mean once took a step that ended in NaN."""
+    df = spark.createDataFrame([(float(i % 50 == 0), 1.0 if i % 50 == 0 else 1e6 + i) for i in range(500)], "a double, y double")
+    data = VectorAssembler(inputCols=["a"], outputCol="features").transform(df)
+    model = B.newton_boost(data, data, B.gamma(), "y", iterations=6, rate=1.0, depth=1, subsample=1.0, column_share=1.0)
+    losses = [r.train_loss for r in model.curve.orderBy("iteration").collect()]
+    assert np.isfinite(losses).all() and (np.diff(losses) <= 1e-9).all()
+    got = model.transform(data).select("y", "prediction").toPandas()
+    assert got.prediction.between(0.9, got.y.max()).all()
