@@ -101,54 +101,71 @@ def _starts(rows: DataFrame, k: int, n_init: int, seed: int) -> np.ndarray:
     return np.array(chosen)
 
 
+def _assigned(rows: DataFrame, runs: list[np.ndarray], exact: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes, sums of rows and, if ``exact``, costs of the centres of several runs one after the other, from one scan.
+
+    A task takes a few hundred rows at a time, so their distances to all centres stay in
+    its cache, and returns one row of sums per centre.
+    """
+    centres = np.concatenate(runs)
+    ends = np.cumsum([0, *(len(c) for c in runs)])
+    squares, at_once = (centres * centres).sum(axis=1)[:, None], max(256, 2**18 // len(centres))
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n, cost = np.zeros_like(centres), np.zeros(len(centres), np.int64), np.zeros(len(centres))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            matrix = _matrix(batch.column(0))
+            for x in (matrix[i : i + at_once] for i in range(0, len(matrix), at_once)):
+                d = centres @ x.T
+                d *= -2.0
+                d += (x * x).sum(axis=1)
+                d += squares
+                np.maximum(d, 0.0, out=d)
+                hot = np.empty_like(d)
+                for lo, hi in zip(ends, ends[1:]):
+                    np.equal(d[lo:hi], d[lo:hi].min(axis=0), out=hot[lo:hi])
+                    if exact or hot[lo:hi].sum() != len(x):  # the first of equally near centres
+                        pick = d[lo:hi].argmin(axis=0)
+                        hot[lo:hi] = np.arange(hi - lo)[:, None] == pick
+                        if exact:
+                            cost[lo:hi] += np.bincount(pick, ((x - centres[lo + pick]) ** 2).sum(axis=1), hi - lo)
+                n += hot.sum(axis=1).astype(np.int64)
+                total += hot @ x
+        yield pa.RecordBatch.from_pydict({
+            "centre": pa.array(range(len(n)), pa.int32()), "n": n, "cost": cost, "x": pa.array(total.tolist(), pa.list_(pa.float64()))})
+
+    parts = rows.select("scaled").mapInArrow(sums, "centre int, n long, cost double, x array<double>").groupBy("centre").agg(
+        F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.array(*[F.sum(F.col("x")[i]) for i in range(centres.shape[1])]).alias("x")).collect()
+    parts.sort(key=lambda r: r.centre)
+    return np.array([r.n for r in parts]), np.array([r.x for r in parts]), np.array([r.cost for r in parts])
+
+
 def _lloyd(rows: DataFrame, runs: list[np.ndarray], iterations: int, tolerance: float) -> list[tuple[np.ndarray, np.ndarray, float]]:
     """(centres, sizes, inertia) of each run, all runs sharing one scan per iteration.
 
-    Centres of all open runs are stacked; a task returns one row of sums per centre. A
-    run closes when its centres move by less than ``tolerance`` in all. An empty cluster
-    keeps its centre.
+    Centres of all open runs are stacked. A run closes when its centres move by less than
+    ``tolerance`` in all. An empty cluster keeps its centre. Sizes and inertia come from
+    one more scan, over the centres of all closed runs.
     """
     runs, open_ = [np.array(c) for c in runs], list(range(len(runs)))
-    results: list = [None] * len(runs)
-    for turn in range(iterations + 1):
-        held = [runs[r] for r in open_]
-        stacked = np.concatenate(held)
-        ends = np.cumsum([0, *(len(c) for c in held)])
-
-        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total, n, cost = np.zeros_like(stacked), np.zeros(len(stacked), np.int64), np.zeros(len(stacked))
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                x = _matrix(batch.column(0))
-                d = _distances(x, stacked)
-                for lo, hi in zip(ends, ends[1:]):
-                    pick = lo + d[:, lo:hi].argmin(axis=1)
-                    exact = ((x - stacked[pick]) ** 2).sum(axis=1)
-                    n += np.bincount(pick, minlength=len(n))
-                    cost += np.bincount(pick, exact, len(n))
-                    hot = np.zeros((len(x), hi - lo))
-                    hot[np.arange(len(x)), pick - lo] = 1.0
-                    total[lo:hi] += hot.T @ x
-            yield pa.RecordBatch.from_pydict({
-                "centre": pa.array(range(len(n)), pa.int32()), "n": n, "cost": cost, "x": pa.array(total.tolist(), pa.list_(pa.float64()))})
-
-        width = stacked.shape[1]
-        parts = rows.select("scaled").mapInArrow(sums, "centre int, n long, cost double, x array<double>").groupBy("centre").agg(
-            F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.array(*[F.sum(F.col("x")[i]) for i in range(width)]).alias("x")).collect()
-        parts.sort(key=lambda r: r.centre)
+    for _ in range(iterations):
+        sizes, sums, _ = _assigned(rows, [runs[r] for r in open_], exact=False)
+        ends = np.cumsum([0, *(len(runs[r]) for r in open_)])
         still = []
         for r, lo, hi in zip(open_, ends, ends[1:]):
-            mine = parts[lo:hi]
-            moved = np.array([np.array(q.x) / q.n if q.n else c for q, c in zip(mine, runs[r])])
-            results[r] = runs[r], np.array([q.n for q in mine]), float(sum(q.cost for q in mine))
-            if turn < iterations and np.sqrt(((moved - runs[r]) ** 2).sum()) > tolerance:
+            n = sizes[lo:hi, None]
+            moved = np.where(n > 0, sums[lo:hi] / np.maximum(n, 1), runs[r])
+            if np.sqrt(((moved - runs[r]) ** 2).sum()) > tolerance:
                 runs[r] = moved
                 still.append(r)
         open_ = still
         if not open_:
             break
-    return results
+    sizes, _, costs = _assigned(rows, runs, exact=True)
+    ends = np.cumsum([0, *(len(c) for c in runs)])
+    return [(c, sizes[lo:hi], float(sum(costs[lo:hi]))) for c, lo, hi in zip(runs, ends, ends[1:])]
 
 
 def fit_kmeans(df: DataFrame, k: int = 3, features: str = "features", n_init: int = 10, seed: int = 42,
