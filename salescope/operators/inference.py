@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescope.functions.hashing import hex_uint32, md5_of
+from salescope.functions.hashing import digits_of, hex_uint32, md5_of, md5_words
 from salescope.operators.order_stats import exact_quantiles, hash_ranks, null_safe, values_at_ranks
 from salescope.operators.relational import union_summaries
 from salescope.session import materialize
@@ -42,6 +42,8 @@ PRICES_AT_ONCE = 1_000_000
 ROUNDS = 6
 #: Bytes of round tables in a task.
 TABLE_BYTES = 2**26
+#: Rows of a task that are shuffled together.
+PIECE_ROWS = 2**15
 
 
 def _batches(n_rep: int, size: int):
@@ -64,17 +66,31 @@ def _result(spark, name: str, observed: float, null: DataFrame, extreme: Column,
     )
 
 
-def round_tables(seed: int, rep: int, sides: tuple[int, int]) -> list[np.ndarray]:
-    """The round functions of a replicate's permutation, as hashes modulo the side they move.
+def round_tables(seed: int | str, rep: int, sides: tuple[int, int]) -> list[np.ndarray]:
+    """The round functions of one replicate."""
+    return [table[:side] for table, side in zip(rounds_of(seed, [rep], sides)[0], sides[::-1] * ROUNDS)]
 
-    The hash of ``seed:rep:round:block`` holds the values of four numbers in a row.
+
+def rounds_of(seed: int | str, reps: Sequence[int], sides: tuple[int, int]) -> np.ndarray:
+    """The round functions of the permutations of some replicates, as hashes modulo the side they move.
+
+    An array of (replicate, round, number). The hash of ``seed:rep:round:block`` holds the
+    values of four numbers in a row; messages of one length are hashed together.
     """
-    tables = []
-    for j in range(ROUNDS):
-        moved, other = sides[j % 2], sides[1 - j % 2]
-        blocks = b"".join(md5(f"{seed}:{rep}:{j}:{x}".encode()).digest() for x in range(-(-other // 4)))
-        tables.append((np.frombuffer(blocks, ">u4")[:other] % moved).astype(np.int32))
-    return tables
+    blocks = -(-max(sides) // 4)
+    out = np.empty((len(reps), ROUNDS, blocks, 4), np.uint32)
+    reps, x = np.array(reps), np.arange(blocks)
+    rep_widths, x_widths = (np.char.str_len(v.astype(str)) for v in (reps, x))
+    for rw in np.unique(rep_widths):
+        places = np.flatnonzero(rep_widths == rw)
+        for xw in np.unique(x_widths):
+            xs = x[x_widths == xw]
+            step = max(1, 2**15 // (ROUNDS * len(xs)))
+            for some in (places[i : i + step] for i in range(0, len(places), step)):
+                rep, j, block = (v.ravel() for v in np.meshgrid(reps[some], np.arange(ROUNDS), xs, indexing="ij"))
+                words = md5_words([f"{seed}:".encode(), digits_of(rep, rw), b":", digits_of(j, 1), b":", digits_of(block, xw)], len(rep))
+                out[some, :, xs[0] : xs[-1] + 1] = np.stack(words, axis=1).reshape(len(some), ROUNDS, len(xs), 4)
+    return out.reshape(len(reps), ROUNDS, -1) % np.array([sides[j % 2] for j in range(ROUNDS)], np.uint32)[:, None]
 
 
 def feistel_sides(n: int) -> tuple[int, int]:
@@ -83,24 +99,57 @@ def feistel_sides(n: int) -> tuple[int, int]:
     return a, -(-n // a)
 
 
-def permuted(index: np.ndarray, n: int, sides: tuple[int, int], tables: Sequence[np.ndarray]) -> np.ndarray:
-    """A permutation of 0 to n - 1 at ``index``: rounds on the rectangle, repeated while outside."""
-    out = index.astype(np.int64)
-    todo = np.arange(len(out))
+def grid_places(index: np.ndarray, sides: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The row and column of each number on the rectangle, in the narrowest type that holds twice a side."""
+    kind = np.uint16 if max(sides) <= 2**15 else np.uint32 if max(sides) <= 2**31 else np.uint64
+    return tuple(x.astype(kind) for x in np.divmod(index, sides[1]))
+
+
+def _rounds(left: np.ndarray, right: np.ndarray, sides: tuple[int, int], tables: Sequence[np.ndarray]) -> np.ndarray:
+    """The numbers of the places to which one turn of the network sends ``left``, ``right``."""
+    a, b = (left.dtype.type(side) for side in sides)
+    for j, table in enumerate(tables):
+        # a sum over its side is less by that side; one under it wraps round and is the larger
+        if j % 2 == 0:
+            left = left + table.take(right)
+            np.minimum(left, left - a, out=left)
+        else:
+            right = right + table.take(left)
+            np.minimum(right, right - b, out=right)
+    wide = np.uint32 if sides[0] * sides[1] < 2**32 else np.int64
+    return left.astype(wide) * wide(sides[1]) + right
+
+
+def shuffled_places(left: np.ndarray, right: np.ndarray, n: int, sides: tuple[int, int], tables: Sequence[np.ndarray]) -> np.ndarray:
+    """A permutation of 0 to n - 1 at the numbers of ``grid_places``: turns of the network, repeated while outside."""
+    out = _rounds(left, right, sides, tables)
+    todo = np.flatnonzero(out >= n)
     while len(todo):
-        left, right = np.divmod(out[todo], sides[1])
-        for j, table in enumerate(tables):
-            if j % 2 == 0:
-                left += table[right]
-                np.subtract(left, sides[0], out=left, where=left >= sides[0])
-            else:
-                right += table[left]
-                np.subtract(right, sides[1], out=right, where=right >= sides[1])
-        out[todo] = left * sides[1] + right
+        out[todo] = _rounds(*grid_places(out[todo], sides), sides, tables)
         todo = todo[out[todo] >= n]
     return out
 
 
+def permuted(index: np.ndarray, n: int, sides: tuple[int, int], tables: Sequence[np.ndarray]) -> np.ndarray:
+    """A permutation of 0 to n - 1 at ``index``."""
+    left, right = grid_places(index, sides)
+    return shuffled_places(left, right, n, sides, [t.astype(left.dtype) for t in tables]).astype(np.int64)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns of some ten thousand rows at a time, so that the round tables are fetched for many rows at once."""
+    held, rows = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            rows += batch.num_rows
+        if rows >= PIECE_ROWS:
+            yield [np.concatenate(c) for c in zip(*held)]
+            held, rows = [], 0
+    if held:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
 def _spread(rows: DataFrame) -> DataFrame:
     """Rows over all cores: each is worked on once per replicate, so even small tables keep them busy."""
     return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, 2))
@@ -123,16 +172,16 @@ def _summed_over(indexed: DataFrame, columns: Sequence[str], n: int, first: int,
     sides = feistel_sides(n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables: list[list[np.ndarray]] = []
+        tables = None
         sums = np.zeros((last - first + 1, len(out)))
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            index, *values = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            tables = tables or [round_tables(seed, rep, sides) for rep in range(first, last + 1)]
+        for index, *values in _pieces(batches):
+            left, right = grid_places(index, sides)
+            if tables is None:
+                tables = rounds_of(seed, range(first, last + 1), sides).astype(left.dtype)
+            held = np.column_stack(values)
             for i, table in enumerate(tables):
-                sums[i] += of(permuted(index, n, sides, table), np.column_stack(values))
-        if tables:
+                sums[i] += of(shuffled_places(left, right, n, sides, table), held)
+        if tables is not None:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, last + 1), pa.int32()), *(pa.array(s) for s in sums.T)],
                                              names=["rep", *out])
 
@@ -146,19 +195,21 @@ def _shuffled_medians(indexed: DataFrame, n: int, reps: Sequence[int], seed: int
     sides, sizes = feistel_sides(n), (n_first, n - n_first)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables: list[list[np.ndarray]] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            index, v = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            tables = tables or [round_tables(seed, rep, sides) for rep in reps]
-            places = [(v < lo, (v >= lo) & (v <= hi)) for lo, hi in bands]
+        tables = None
+        for index, v in _pieces(batches):
+            order = np.argsort(v)
+            v = v[order]
+            # in value order the rows below a band and those inside are slices; rows over both bands count for neither side
+            places = [(np.searchsorted(v, lo), np.searchsorted(v, hi, side="right")) for lo, hi in bands]
+            left, right = grid_places(index[order[: max(end for _, end in places)]], sides)
+            if tables is None:
+                tables = rounds_of(seed, reps, sides).astype(left.dtype)
             below, inside = [], []
             for table in tables:
-                first = permuted(index, n, sides, table) < n_first
-                for mine, (under, within) in zip((first, ~first), places):
-                    below.append(int(np.count_nonzero(mine & under)))
-                    inside.append(v[mine & within])
+                first = shuffled_places(left, right, n, sides, table) < n_first
+                for mine, (start, end) in zip((first, ~first), places):
+                    below.append(int(np.count_nonzero(mine[:start])))
+                    inside.append(v[start:end][mine[start:end]])
             ends = np.concatenate([[0], np.cumsum([len(x) for x in inside])])
             yield pa.RecordBatch.from_pydict({
                 "rep": pa.array(np.repeat(list(reps), 2), pa.int32()), "side": pa.array(np.tile([0, 1], len(reps)), pa.int32()),
@@ -266,11 +317,14 @@ def perm_anova_f(df: DataFrame, key: str, group: str, value: str, n_rep: int = 1
         return (between / (k - 1)) / ((squares - between) / (total - k))
 
     observed = f_of(sum((r.s - r.n * mean) ** 2 / r.n for r in stats))
-    ends, names = np.cumsum(sizes), [f"s{j}" for j in range(k)]
+    ends, names = np.cumsum(sizes)[:-1].tolist(), [f"s{j}" for j in range(k)]
     indexed, n, most = _numbered(centred, key, seed)
 
     def sums(place: np.ndarray, values: np.ndarray) -> np.ndarray:
-        return np.bincount(np.searchsorted(ends, place, side="right"), values[:, 0], k)
+        label = np.zeros(len(place), np.int64)
+        for end in ends:
+            label += place >= end
+        return np.bincount(label, values[:, 0], k)
 
     def run(first: int, last: int) -> DataFrame:
         between = reduce(lambda a, b: a + b, [F.col(c) * F.col(c) / m for c, m in zip(names, sizes)])
@@ -295,6 +349,25 @@ def _price_slices(rows: DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray
         start += sum(c for _, c in got)
 
 
+def run_lookup(ends: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """The function that tells in which run each place lies, if runs end before the places ``ends``.
+
+    A table over equal stretches of places names the run at the head of each; there are
+    some eight stretches to a run, so few places lie behind a further end and are searched.
+    """
+    ends = ends.astype(np.uint32) if ends[-1] < 2**32 else ends
+    shift = max(0, int(ends[-1] // (8 * len(ends))).bit_length() - 1)
+    heads = np.searchsorted(ends, np.arange((int(ends[-1]) >> shift) + 1, dtype=np.int64) << shift, side="right").astype(np.int32)
+
+    def which(place: np.ndarray) -> np.ndarray:
+        run = heads.take(place >> place.dtype.type(shift))
+        late = np.flatnonzero(ends.take(run) <= place)
+        run[late] = np.searchsorted(ends, place[late], side="right")
+        return run
+
+    return which
+
+
 def _shuffled_sums(indexed: DataFrame, basis: Sequence[str], n: int, first: int, last: int, seed: int,
                    place: int, prices: np.ndarray, counts: np.ndarray) -> DataFrame:
     """``rep`` and, per column of ``basis``, its cross sum with the shuffled prices of one slice.
@@ -302,11 +375,14 @@ def _shuffled_sums(indexed: DataFrame, basis: Sequence[str], n: int, first: int,
     Places run in price order: a row takes the price at its shuffled place, and those of
     ``prices`` begin at ``place``.
     """
-    ends = place + np.cumsum(counts)
+    ends, whole = np.cumsum(counts), counts.sum() == n
+    which = run_lookup(ends)
 
     def sums(at: np.ndarray, values: np.ndarray) -> np.ndarray:
-        here = (at >= place) & (at < ends[-1])
-        return prices[np.searchsorted(ends, at[here], side="right")] @ values[here]
+        if whole:
+            return prices[which(at)] @ values
+        here = (at >= place) & (at < place + int(ends[-1]))
+        return prices[which(at[here] - at.dtype.type(place))] @ values[here]
 
     return _summed_over(indexed, basis, n, first, last, seed, basis, sums)
 
@@ -462,6 +538,24 @@ def poisson_weight(h: Column) -> Column:
     return poisson_count(hex_uint32(h) / F.lit(float(2 ** 32)))
 
 
+def poisson_weights(keys: Sequence[str | None], first: int, last: int, seed: int | str) -> np.ndarray:
+    """(key, replicate): Poisson(1) counts at the hash of ``seed:rep:key``; keys of one length are hashed together.
+
+    A null key is left out of the message.
+    """
+    texts = [b"" if k is None else f":{k}".encode() for k in keys]
+    lengths = np.array([len(t) for t in texts])
+    out = np.empty((len(texts), last - first + 1), np.uint8)
+    cuts = np.ceil(np.array(POISSON_CDF) * 2.0**32)
+    for length in np.unique(lengths):
+        for rows in np.array_split(at := np.flatnonzero(lengths == length), -(-len(at) // 2**15)):
+            matrix = np.frombuffer(b"".join(texts[i] for i in rows), np.uint8).reshape(len(rows), length)
+            for rep in range(first, last + 1):
+                h = md5_words([f"{seed}:{rep}".encode(), matrix], len(rows))[0]
+                out[rows, rep - first] = np.searchsorted(cuts, h.astype(float), side="right")
+    return out
+
+
 def bootstrap_coefs(df: DataFrame, key: str, target: str, features: Sequence[str], n_rep: int = 500,
                     seed: int = 42) -> DataFrame:
     """``(rep, feature, coef)``: OLS on weighted rows, one weight per (rep, row).
@@ -475,17 +569,17 @@ def bootstrap_coefs(df: DataFrame, key: str, target: str, features: Sequence[str
     base = materialize(_spread(df.where(F.col(target).isNotNull()).select(
         key, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()), "boot")
     means = base.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    rows = base.select(F.col(key).alias("__key"), *[(F.col(c) - means[c]).alias(f"v{i}") for i, c in enumerate(cols)])
+    rows = base.select(F.col(key).cast("string").alias("__key"), *[(F.col(c) - means[c]).alias(f"v{i}") for i, c in enumerate(cols)])
     names, width = list(features), len(cols) + 1
     upper = np.triu_indices(width)
 
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sums(batches: Iterator[pa.RecordBatch], first: int, last: int) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = np.column_stack([np.ones(batch.num_rows), *(c.to_numpy(zero_copy_only=False) for c in batch.columns[1:])])
-            w = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
+            w = poisson_weights(batch.column(0).to_pylist(), first, last, seed)
             part = np.empty((w.shape[1], len(upper[0])))
             step = max(1, 2**22 // len(upper[0]))
             for at in range(0, len(x), step):  # products of pairs of columns, some million numbers at a time
@@ -520,11 +614,7 @@ def bootstrap_coefs(df: DataFrame, key: str, target: str, features: Sequence[str
         return pa.RecordBatch.from_pydict({"place": pa.array([place] * len(names), pa.int32()), "feature": names, "coef": beta[1:]})
 
     def run(first: int, last: int) -> DataFrame:
-        shares = F.transform(F.sequence(F.lit(first), F.lit(last)),
-                             lambda rep: hex_uint32(md5_of(seed, rep, F.col("__key"))) / F.lit(float(2 ** 32)))
-        weights = F.transform(shares, lambda u: poisson_count(u).cast("tinyint"))
-        weighted = rows.select(weights.alias("w"), *[f"v{i}" for i in range(len(cols))])
-        partial = weighted.mapInArrow(sums, "place int, sums array<double>")
+        partial = rows.mapInArrow(lambda batches: sums(batches, first, last), "place int, sums array<double>")
         solved = partial.repartition("place").sortWithinPartitions("place").mapInArrow(solve, "place int, feature string, coef double")
         return solved.select((F.col("place") + first).alias("rep"), "feature", "coef")
 
