@@ -237,3 +237,19 @@ def test_r2_of_constant_and_single_rows(spark):
     df = spark.createDataFrame(rows, "g string, y_true double, y_pred double")
     got = {r.g: r.r2_log for r in dual_scale_metrics(df, ["g"]).collect()}
     assert got == {"off": 0.0, "exact": 1.0, "one": None}
+
+
+def test_centres_of_several_runs_share_a_scan(spark):
+    """Sizes, sums and costs against numpy, equally near centres included; iterations ask for no cost."""
+    import numpy as np
+
+    from salescope.operators import segments as G
+
+    x = np.array([[0.0, 0.0], [1.0, 0.0], [2.0, 0.0], [5.0, 1.0]] * 300)
+    rows = spark.createDataFrame([(r.tolist(),) for r in x], "scaled array<double>")
+    runs = [np.array([[0.0, 0.0], [2.0, 0.0]]), np.array([[5.0, 1.0], [0.0, 0.0], [0.0, 0.0]])]
+    for exact in (False, True):
+        sizes, sums, costs = G._assigned(rows, runs, exact)
+        assert sizes.tolist() == [600, 600, 300, 900, 0]
+        assert sums.tolist() == [[300, 0], [2100, 300], [1500, 300], [900, 0], [0, 0]]
+        assert costs.tolist() == ([300, 3000, 0, 1500, 0] if exact else [0] * 5)
