@@ -5,7 +5,8 @@ margin, a tree fitted to -g / h with row weight h has leaves of -sum(g) / sum(h)
 whose curvature vanishes on one side of the target gives a larger h for the step.
 The margin is a column beside the features; a round reads the rows, fits one tree on the
 executors, and adds its output by a projection. Every ``write_every`` rounds the rows are
-written, so neither the plan nor the work lost with an executor grows with the rounds.
+written, so neither the plan nor the work lost with an executor grows with the rounds; the
+losses of these rounds are taken in one pass.
 """
 
 from __future__ import annotations
@@ -130,8 +131,9 @@ def newton_boost(
     rows = materialize(rows_of(train, "train").unionByName(rows_of(val, "val")), "boost")
     start = rows.where("__part = 'train'").agg(loss.start(y)).first()[0]
     rows = rows.withColumn("__m", F.lit(float(start)))
-    trees, losses, best = [], [], 0
-    for i in range(iterations):
+    trees, losses, best, ended = [], [], 0, False
+    while not ended and len(trees) < iterations:
+        i = len(trees)
         h = F.greatest((loss.damped or loss.curvature)(y, m), F.lit(1e-6))
         work = rows.where("__part = 'train'").select(features, (-loss.gradient(y, m) / h).alias("__t"), h.alias("__h"))
         tree = RandomForestRegressor(
@@ -140,15 +142,24 @@ def newton_boost(
             maxMemoryInMB=1024, seed=seed + i).fit(work).trees[0]
         trees.append(tree)
         rows = tree.copy({tree.featuresCol: features, tree.predictionCol: "__p"}).transform(rows)
-        rows = rows.select("__part", "__y", features, (m + rate * F.col("__p")).alias("__m"))
-        if (i + 1) % write_every == 0:
+        margins = [F.col(f"__m{j}") for j in range(len(losses), i)]
+        rows = rows.select("__part", "__y", features, *margins, (m + rate * F.col("__p")).alias("__m"))
+        rows = rows.withColumn(f"__m{i}", m)
+        written = (i + 1) % write_every == 0
+        # losses are taken for many rounds in one pass: when the rows are written, and where the search could end
+        if not (written or i + 1 == iterations or i - best >= patience):
+            continue
+        if written:
             rows = materialize(rows, "boost")
-        got = {r["__part"]: r["v"] for r in rows.groupBy("__part").agg(F.avg(loss.value(y, m)).alias("v")).collect()}
-        losses.append((i, got.get("train"), got.get("val")))
-        if losses[i][2] is None or losses[i][2] < losses[best][2]:
-            best = i
-        if i - best >= patience:
-            break
+        rounds = range(len(losses), i + 1)
+        got = {r["__part"]: r for r in rows.groupBy("__part").agg(
+            *[F.avg(loss.value(y, F.col(f"__m{j}"))).alias(f"v{j}") for j in rounds]).collect()}
+        rows = rows.drop(*[f"__m{j}" for j in rounds])
+        for j in rounds:
+            losses.append((j, *(got[part][f"v{j}"] if part in got else None for part in ("train", "val"))))
+            if losses[j][2] is None or losses[j][2] < losses[best][2]:
+                best = j
+        ended = i - best >= patience
     curve = train.sparkSession.createDataFrame(
         [(*r, r[0] == best) for r in losses], "iteration int, train_loss double, val_loss double, is_best boolean")
     return BoostedModel(loss, float(start), _ensemble(trees[: best + 1], rate, features), best, curve)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark import SparkContext
 from pyspark.ml.regression import (
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from salescope.operators.boosting import BoostedModel, Loss, gamma, newton_boost, pseudo_huber, quantile, tweedie
 from salescope.operators.evaluate import dual_scale_metrics, split_summary
 from salescope.operators.features import FeatureBundle
+from salescope.session import at_once
 
 
 def random_forest(trees: int = 300, min_leaf: int = 5, depth: int = 30, seed: int = 42) -> RandomForestRegressor:
@@ -63,8 +65,8 @@ def gbt_early_stop(bundle: FeatureBundle, patience: int = 50, truncate: bool = T
     estimator = boosted_trees(**params)
     model = estimator.fit(train)
     loss = estimator.getLossType()
-    curves = [[v ** 0.5 if loss == "squared" else v for v in model.evaluateEachIteration(part, loss)]
-              for part in (train, val)]
+    errors = at_once(bundle.data.sparkSession, [partial(model.evaluateEachIteration, part, loss) for part in (train, val)])
+    curves = [[v ** 0.5 if loss == "squared" else v for v in e] for e in errors]
     best = 0
     for i, v in enumerate(curves[1]):
         if v < curves[1][best]:
@@ -96,7 +98,8 @@ def predict(bundle: FeatureBundle, models: Mapping[str, object]) -> DataFrame:
 def tree_table(bundle: FeatureBundle, estimators: Mapping[str, object]) -> DataFrame:
     """Fit each estimator on the training rows; metrics per split."""
     train = bundle.part("train")
-    fitted = {n: e.fit(train) for n, e in estimators.items()}
+    models = at_once(train.sparkSession, [partial(e.fit, train) for e in estimators.values()])
+    fitted = dict(zip(estimators, models))
     return split_summary(dual_scale_metrics(predict(bundle, fitted), ["model", "split"]))
 
 
@@ -112,23 +115,26 @@ def skew_aware_losses(bundle: FeatureBundle, raw_target: str, iterations: int =
     train, val = data.where(F.col("split") == "train"), data.where(F.col("split") == "val")
 
     def boost(loss: Loss, label: str):
-        return newton_boost(train, val, loss, label, iterations=iterations, depth=depth, rate=rate)
+        return partial(newton_boost, train, val, loss, label, iterations=iterations, depth=depth, rate=rate)
 
     def linear(family: str, label: str, **params):
-        return GeneralizedLinearRegression(family=family, regParam=ridge, labelCol=label, maxIter=50, **params).fit(train)
+        return partial(GeneralizedLinearRegression(family=family, regParam=ridge, labelCol=label, maxIter=50, **params).fit, train)
 
-    logged = {
-        "absolute": boosted_trees(iterations, rate, depth, lossType="absolute").fit(train),
+    fits = {
+        "absolute": partial(boosted_trees(iterations, rate, depth, lossType="absolute").fit, train),
         "huber": boost(pseudo_huber(huber_slope), "label"),
         f"quantile{alpha:g}": boost(quantile(alpha), "label"),
-        "linear_huber": LinearRegression(loss="huber", epsilon=1.35, maxIter=200).fit(train),
-    }
-    raw = {
-        f"tweedie{tweedie_power:g}": (boost(tweedie(tweedie_power), raw_target), 0.0),
-        "gamma": (boost(gamma(), "raw_plus"), 1.0),
-        f"linear_tweedie{tweedie_power:g}": (linear("tweedie", raw_target, variancePower=tweedie_power, linkPower=0.0), 0.0),
-        "linear_gamma": (linear("gamma", "raw_plus", link="log"), 1.0),
+        "linear_huber": partial(LinearRegression(loss="huber", epsilon=1.35, maxIter=200).fit, train),
+        f"tweedie{tweedie_power:g}": boost(tweedie(tweedie_power), raw_target),
+        "gamma": boost(gamma(), "raw_plus"),
+        f"linear_tweedie{tweedie_power:g}": linear("tweedie", raw_target, variancePower=tweedie_power, linkPower=0.0),
+        "linear_gamma": linear("gamma", "raw_plus", link="log"),
     }
+    fitted = dict(zip(fits, at_once(data.sparkSession, list(fits.values()))))
+    # the raw scale: what is taken off the prediction
+    shifts = {f"tweedie{tweedie_power:g}": 0.0, "gamma": 1.0, f"linear_tweedie{tweedie_power:g}": 0.0, "linear_gamma": 1.0}
+    logged = {n: m for n, m in fitted.items() if n not in shifts}
+    raw = {n: (fitted[n], shift) for n, shift in shifts.items()}
 
     def stacked(models: dict, target: str) -> DataFrame:
         out, columns = data.select("split", F.col(target).cast("double").alias("y_true"), "features"), {}
@@ -146,11 +152,11 @@ def skew_aware_losses(bundle: FeatureBundle, raw_target: str, iterations: int =
 
 def feature_toggle_ab(bundle: FeatureBundle, arms: Mapping[str, Sequence[str]], make) -> DataFrame:
     """The same estimators with features left out per arm; ``make()`` gives them."""
-    tables = []
-    for arm, left_out in arms.items():
+    def table(arm: str, left_out: Sequence[str]) -> DataFrame:
         names = [n for n in bundle.names if n not in set(left_out)]
-        tables.append(tree_table(bundle.select(names), make()).withColumns(
-            {"arm": F.lit(arm), "n_features": F.lit(len(names))}))
+        return tree_table(bundle.select(names), make()).withColumns({"arm": F.lit(arm), "n_features": F.lit(len(names))})
+
+    tables = at_once(bundle.data.sparkSession, [partial(table, *arm) for arm in arms.items()])
     out = tables[0]
     for t in tables[1:]:
         out = out.unionByName(t)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, tempfile.TemporaryDirectory] = {}
@@ -65,6 +68,16 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def at_once(spark: SparkSession, tasks: Sequence[Callable], most: int = 4) -> list:
+    """The results of independent tasks in order, up to ``most`` of them running in threads.
+
+    A task submits Spark jobs. Fits are long rows of small jobs, so several at once use cores
+    that one leaves idle between and at the end of its jobs.
+    """
+    with ThreadPool(max(1, min(most, len(tasks)))) as pool:
+        return pool.map(lambda task: task(), [inheritable_thread_target(spark)(t) for t in tasks], chunksize=1)
+
+
 def drop_materialized(spark: SparkSession) -> None:
     """Delete the intermediate tables of this process, once no plan reads them."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
