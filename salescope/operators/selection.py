@@ -7,6 +7,7 @@ is a Spark job over the written bundle.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescope.operators.features import FeatureBundle, kfold_assign
-from salescope.session import materialize
+from salescope.session import at_once, materialize
 
 RANKING_SCHEMA = "feature string, ranking int, selected boolean, importance_in_final double"
 
@@ -69,12 +70,14 @@ def rfe_cv(bundle: FeatureBundle, key: str, make: Callable, min_features: int =
     spark = bundle.data.sparkSession
     train = materialize(kfold_assign(bundle.part("train"), key, folds, seed), "folds")
     judge = RegressionEvaluator(metricName="rmse")
-    scores = []
-    for f in range(folds):
+
+    def scores(f: int) -> list:
         held_out = train.where(F.col("fold") == f)
-        for names, model, _ in elimination_path(train.where(F.col("fold") != f), bundle.names, make, min_features, step):
-            scores.append((f, len(names), float(judge.evaluate(model.transform(_vectors(held_out, names))))))
-    long = spark.createDataFrame(scores, "fold int, n_features int, rmse double")
+        return [(f, len(names), float(judge.evaluate(model.transform(_vectors(held_out, names)))))
+                for names, model, _ in elimination_path(train.where(F.col("fold") != f), bundle.names, make, min_features, step)]
+
+    rows = [r for fold in at_once(spark, [partial(scores, f) for f in range(folds)]) for r in fold]
+    long = spark.createDataFrame(rows, "fold int, n_features int, rmse double")
     table = score_table(long, folds)
     best = table.where("chosen_by_min").first().n_features
     path = list(elimination_path(train, bundle.names, make, best, step))
