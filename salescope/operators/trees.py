@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from salescope.operators.boosting import BoostedModel, Loss, gamma, newton_boost, pseudo_huber, quantile, tweedie
 from salescope.operators.evaluate import dual_scale_metrics, split_summary
 from salescope.operators.features import FeatureBundle
-from salescope.session import at_once
+from salescope.session import at_once, checkpoint_dir
 
 
 def random_forest(trees: int = 300, min_leaf: int = 5, depth: int = 30, seed: int = 42) -> RandomForestRegressor:
@@ -63,6 +63,9 @@ def gbt_early_stop(bundle: FeatureBundle, patience: int = 50, truncate: bool = T
     """
     train, val = bundle.part("train"), bundle.part("val")
     estimator = boosted_trees(**params)
+    context = bundle.data.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:  # without one the lineage of the residuals is never cut
+        context.setCheckpointDir(checkpoint_dir(bundle.data.sparkSession))
     model = estimator.fit(train)
     loss = estimator.getLossType()
     errors = at_once(bundle.data.sparkSession, [partial(model.evaluateEachIteration, part, loss) for part in (train, val)])

@@ -168,7 +168,7 @@ def _(spark, sf):
 
 @query("gbt_early_stop")
 def _(spark, sf):
-    _, curve, _ = T.gbt_early_stop(launch_bundle(spark, sf), iterations=12, rate=0.1, depth=4)
+    _, curve, _ = T.gbt_early_stop(launch_bundle(spark, sf))
     return rounded(curve, 4)
 
 
